@@ -66,13 +66,14 @@ def standardize(
     """Good and malformed rows of ``df``; a row whose typed ``key`` is NULL is malformed.
 
     Values that do not convert become NULL. With ``dedupe_by`` one row stays per raw key
-    (before the conversion), the greatest by those columns and then by all the others, so
-    a replay keeps the same row. ``persist`` keeps the typed rows for the two writes that
+    (before the conversion), the greatest by those columns as converted and then by all raw
+    ones, so a replay keeps the same row. ``persist`` keeps the typed rows for the two writes that
     usually follow; unpersist the good frame when done.
     """
     if dedupe_by is not None:
-        rest = [c for c in df.columns if c != key and c not in dedupe_by]
-        order = [F.col(f"`{c}`").desc_nulls_last() for c in [*dedupe_by, *rest]]
+        typed_order = [_apply(c, spec.get(c)) for c in dedupe_by]
+        raw_order = [F.col(f"`{c}`") for c in df.columns if c != key]
+        order = [c.desc_nulls_last() for c in [*typed_order, *raw_order]]
         df = first_per_key(df, [key], order)
     typed = df.select(*[_apply(name, rule) for name, rule in spec.items()])
     typed = typed.withColumns(stamp(load_id, loaded_on))

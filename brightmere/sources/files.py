@@ -49,7 +49,7 @@ def read_json(
 def read_json_split(
     spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """The parsed records, and the raw text of those that do not parse with their file."""
+    """The parsed records, and those that do not parse: source file, raw text, and what did."""
     schema = _schema(schema)
     with_text = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     rows = (
@@ -61,7 +61,9 @@ def read_json_split(
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
     good = rows.where(F.col(CORRUPT).isNull()).select(*schema.names)
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT, *schema.names)
+    bad = rows.where(F.col(CORRUPT).isNotNull()).select(
+        "source_file", F.col(CORRUPT).alias("record"), *schema.names
+    )
     return good, bad
 
 

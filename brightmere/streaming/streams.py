@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -122,8 +123,10 @@ def split_by_limit(
 
     def write(batch: DataFrame, number: int) -> None:
         in_bounds = F.coalesce(within(col, limit), F.lit(False))
-        for path, rows in ((ok_path, batch.where(in_bounds)), (out_path, batch.where(~in_bounds))):
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        for path, rows in ((ok_path, kept.where(in_bounds)), (out_path, kept.where(~in_bounds))):
             rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        kept.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -153,9 +156,11 @@ def keep_decoded(
     reports of the query under ``decode``.
     """
     def write(batch: DataFrame, number: int) -> None:
-        good, dead = decode(batch, schema, compat=compat)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        good, dead = decode(kept, schema, compat=compat)
         good.write.mode("overwrite").parquet(f"{good_path}/{BATCH}={number}")
         dead.write.mode("overwrite").parquet(f"{dead_path}/{BATCH}={number}")
+        kept.unpersist()
 
     parsed = F.from_json("body", _with_corrupt(schema), _PERMISSIVE)
     unreadable = parsed.isNull() | parsed.getField(_CORRUPT).isNotNull()

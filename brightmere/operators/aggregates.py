@@ -101,7 +101,8 @@ def bin_aggregate(
         return result.select(F.col("_w.start").alias("time_bin"), *keys, *rest)
     binned = with_bin(df, ts, width)
     if kind == "quantile":
-        return quantiles(binned, ["time_bin", *keys], value, q, exact)
+        found = quantiles(binned, ["time_bin", *keys], [value], q, exact)
+        return found.withColumnRenamed(value, "quantiles")
     return binned.groupBy("time_bin", *keys).agg(_aggregate(kind, value, exact).alias("value"))
 
 

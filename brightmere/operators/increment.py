@@ -32,8 +32,13 @@ def _latest(spark: SparkSession, path: str, layout: str, name: str, column: str)
 
 
 def _note(spark: SparkSession, path: str, layout: str, name: str, value: object) -> None:
-    row = spark.createDataFrame([(name, value)], ", ".join(layout.split(", ")[:2]))
-    append_path(row.withColumn("written_at", F.current_timestamp()).coalesce(1), path)
+    column, kind = layout.split(", ")[1].split()
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(name).alias("name"),
+        F.lit(str(value)).cast(kind).alias(column),
+        F.current_timestamp().alias("written_at"),
+    )
+    append_path(row, path)
 
 
 def watermark(spark: SparkSession, marks: str, name: str) -> dt.datetime:
@@ -101,12 +106,9 @@ def cdf_increment(
     Both frames are empty when there is nothing new. Pass the marker to ``confirm`` once the
     rows are stored; until then the same changes come again.
     """
-    changes = versions.changes_since(spark, root, marker(spark, marks, name))
-    return (
-        enrich(changes.drop(versions.VERSION), ref, on),
-        changes,
-        versions.current_version(spark, root) + 1,
-    )
+    newest = versions.current_version(spark, root)
+    changes = versions.changes_since(spark, root, marker(spark, marks, name), newest)
+    return enrich(changes.drop(versions.VERSION), ref, on), changes, newest + 1
 
 
 def confirm(spark: SparkSession, marks: str, name: str, version: int) -> None:

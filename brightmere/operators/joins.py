@@ -51,13 +51,13 @@ def hierarchy(
     path = scratch(spark, "hierarchy")
     rows = df.select(F.col(id).alias("id"), F.col(name).alias("name"), F.col(parent).alias("parent"))
     rows.where(F.col("parent").isNull()).select("id", "name").write.parquet(f"{path}/level=0")
-    for level in range(1, max_levels + 2):
+    for level in range(1, max_levels + 3):
         above = spark.read.parquet(f"{path}/level={level - 1}").select(
             F.col("id").alias("_up"), F.col("name").alias("parent_name")
         )
         if above.isEmpty():
             break
-        if level > max_levels:
+        if level - 1 > max_levels:
             raise ValueError(f"more than {max_levels} levels below the roots")
         children = rows.join(above, F.col("parent") == F.col("_up")).select(
             "id", "name", "parent", "parent_name"

@@ -133,10 +133,27 @@ def _app(sep: str = "-") -> list[Column | str]:
     return [F.col("start_cluster"), sep, F.col("start_apptag")]
 
 
-def _p90(stacked: DataFrame, width: str, exact: bool) -> DataFrame:
-    binned = with_bin(stacked, "time_generated", width)
-    found = quantiles(binned, ["query", "time_bin", "slice"], "value", [0.9], exact)
-    return found.select("query", "time_bin", "slice", F.element_at("quantiles", 1).alias("value"))
+def _p90(
+    df: DataFrame, ts: str, width: str, keys: list[str], measures: dict[str, Column], labels: dict[str, Column],
+    exact: bool,
+) -> DataFrame:
+    """The 90th percentile of each measure per bin and keys, stacked as (query, time_bin,
+    slice, value). All measures are columns of one grouping; the labels are made of its
+    keys afterwards."""
+    binned = with_bin(df.select(ts, *keys, *[m.cast("double").alias(n) for n, m in measures.items()]), ts, width)
+    found = quantiles(binned, ["time_bin", *keys], list(measures), [0.9], exact)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("query"),
+                "time_bin",
+                labels[n].alias("slice"),
+                F.element_at(n, 1).alias("value"),
+            )
+            for n in measures
+        ]
+    )
+    return found.select(F.inline(rows)).where(F.col("value").isNotNull())
 
 
 def duration_quantiles(
@@ -144,22 +161,33 @@ def duration_quantiles(
 ) -> DataFrame:
     """Quantiles 10, 30, 50 and 90 of stage and job durations."""
     chosen = _chosen(["stage_latency", "job_latency"], only)
+    app = ["start_cluster", "start_apptag"]
     parts = []
     if "stage_latency" in chosen:
         stages = _started(events, SUBMITTED, _of(events, COMPLETED), STAGE_KEYS, [])
-        label = _text(*_app(), " ", F.col("stage_name"))
         took = F.col("stage_completion") - F.col("stage_submission")
-        parts.append(_stack(stages, "start_time_generated", [_Slice("stage_latency", label, took)]))
+        parts.append(("stage_latency", stages, took, "stage_name"))
     if "job_latency" in chosen:
         done = _of(events, JOB_END).where(text_contains(F.col("job_result"), "JobSucceeded"))
         jobs = _started(events, JOB_START, done, JOB_KEYS, ["submission"])
         took = F.col("completion") - F.col("start_submission")
-        parts.append(_stack(jobs, "start_time_generated", [_Slice("job_latency", _text(*_app()), took)]))
-    stacked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(("job_latency", jobs.drop("stage_name"), took, None))
+    measured = [
+        df.select(
+            F.lit(name).alias("query"),
+            F.col("start_time_generated").alias("time_generated"),
+            *app,
+            (F.lit(None).cast("string") if stage is None else F.col(stage)).alias("stage"),
+            took.alias("took"),
+        )
+        for name, df, took, stage in parts
+    ]
+    stacked = measured[0] if len(measured) == 1 else measured[0].unionByName(measured[1])
     binned = with_bin(stacked, "time_generated", width)
-    found = quantiles(binned, ["query", "time_bin", "slice"], "value", [0.1, 0.3, 0.5, 0.9], exact)
-    named = [F.element_at("quantiles", i + 1).alias(f"p{p}") for i, p in enumerate((10, 30, 50, 90))]
-    return found.select("query", "time_bin", "slice", *named)
+    found = quantiles(binned, ["query", "time_bin", *app, "stage"], ["took"], [0.1, 0.3, 0.5, 0.9], exact)
+    label = _text(*_app(), F.when(F.col("stage").isNotNull(), F.concat(F.lit(" "), "stage")))
+    named = [F.element_at("took", i + 1).alias(f"p{p}") for i, p in enumerate((10, 30, 50, 90))]
+    return found.where(F.col("took").isNotNull()).select("query", "time_bin", label.alias("slice"), *named)
 
 
 def task_p90(
@@ -167,24 +195,26 @@ def task_p90(
 ) -> DataFrame:
     """The 90th percentile of task measures per stage."""
     chosen = _chosen(TASK_P90, only)
-    tasks = _of(events, TASK_END).where(text_contains(F.col("task_reason"), "Success"))
-    stacks = []
+    tasks = _of(events, TASK_END).where(text_contains(F.col("task_reason"), "Success")).drop("stage_name")
+    results = []
     for kind, names in (
         (SUBMITTED, [n for n in chosen if n not in FROM_COMPLETED]),
         (COMPLETED, [n for n in chosen if n in FROM_COMPLETED]),
     ):
         if not names:
             continue
-        ended = tasks.drop("stage_name")
-        started = _started(events, kind, ended, STAGE_KEYS, ["stage_name", "stage_submission"])
-        slices = []
-        for n in names:
-            label, measure = TASK_P90[n]
-            app = [] if n in FROM_COMPLETED else [*_app(), "-" if n == "task_latency" else " "]
-            slices.append(_Slice(n, _text(label, *app, F.col("start_stage_name")), F.expr(measure)))
-        stacks.append(_stack(started, "start_time_generated", slices))
-    stacked = stacks[0] if len(stacks) == 1 else stacks[0].unionByName(stacks[1])
-    return _p90(stacked, width, exact)
+        started = _started(events, kind, tasks, STAGE_KEYS, ["stage_name", "stage_submission"])
+        stage = F.col("start_stage_name")
+        if kind == COMPLETED:
+            keys, labels = ["start_stage_name"], {n: _text(TASK_P90[n][0], stage) for n in names}
+        else:
+            keys = ["start_cluster", "start_apptag", "start_stage_name"]
+            labels = {
+                n: _text(TASK_P90[n][0], *_app(), "-" if n == "task_latency" else " ", stage) for n in names
+            }
+        measures = {n: F.expr(TASK_P90[n][1]) for n in names}
+        results.append(_p90(started, "start_time_generated", width, keys, measures, labels, exact))
+    return results[0] if len(results) == 1 else results[0].unionByName(results[1])
 
 
 def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None = None) -> DataFrame:
@@ -202,9 +232,20 @@ def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None
         if slices:
             parts.append(_stack(df, ts, slices))
 
-    stages = _started(events, SUBMITTED, _of(events, COMPLETED), STAGE_KEYS, [])
+    # Finished stages and tasks meet the starts of their stages in one join.
+    is_task = text_contains(F.col("event"), TASK_END)
+    is_stage = text_contains(F.col("event"), COMPLETED)
+    success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
+    ended = events.where(is_stage | (is_task & success))
+    begun = _started(events, SUBMITTED, ended, STAGE_KEYS, ["stage_name"])
     stage_label = _text("# StagesCompleted ", *_app(), " ", F.col("stage_name"))
-    add(stages, "start_time_generated", _Slice("stage_throughput", stage_label, one))
+    task_label = _text("#TasksCompleted ", *_app(), " ", F.col("start_stage_name"))
+    add(
+        begun,
+        "start_time_generated",
+        _Slice("stage_throughput", stage_label, one, is_stage),
+        _Slice("task_throughput", task_label, one, is_task),
+    )
 
     jobs = _started(events, JOB_START, _of(events, JOB_END), JOB_KEYS, ["call_site"])
     succeeded = F.coalesce(text_contains(F.col("job_result"), "JobSucceeded"), F.lit(False))
@@ -215,17 +256,13 @@ def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None
         _Slice("job_errors", _text("JobErrors ", F.col("start_call_site")), one, ~succeeded),
     )
 
-    ended = _of(events, TASK_END).drop("stage_name")
-    success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
-    failed = _started(events, COMPLETED, ended.where(~success), STAGE_KEYS, ["stage_name"])
+    failed_tasks = events.where(is_task & ~success).drop("stage_name")
+    failed = _started(events, COMPLETED, failed_tasks, STAGE_KEYS, ["stage_name"])
     add(
         failed,
         "start_time_generated",
         _Slice("task_errors", _text("#TaskErrors ", F.col("start_stage_name")), one),
     )
-    fine = _started(events, SUBMITTED, ended.where(success), STAGE_KEYS, ["stage_name"])
-    task_label = _text("#TasksCompleted ", *_app(), " ", F.col("start_stage_name"))
-    add(fine, "start_time_generated", _Slice("task_throughput", task_label, one))
 
     errors = events.where(text_contains(F.col("level"), "Error"))
     stream_label = _text("CountExceptions", F.col("progress_name"))
@@ -273,11 +310,10 @@ def ratio_p90(
         F.max(F.when(_named(RUN_TIME), F.col("count"))).alias("_run"),
         *[F.max(F.when(_named(RATIOS[n][0]), F.col("count") / RATIOS[n][1])).alias(n) for n in chosen],
     )
-    slices = [
-        _Slice(n, F.col("executor"), F.try_divide(F.col(n) * 100, F.col("_run")), F.col(n).isNotNull())
-        for n in chosen
-    ]
-    return _p90(_stack(at_once.where(F.col("_run").isNotNull()), "time_generated", slices), width, exact)
+    shares = {n: F.try_divide(F.col(n) * 100, F.col("_run")) for n in chosen}
+    labels = {n: F.col("executor") for n in chosen}
+    ran = at_once.where(F.col("_run").isNotNull())
+    return _p90(ran, "time_generated", width, ["executor"], shares, labels, exact)
 
 
 def _metric_slices(table: dict, chosen: list[str], value: str) -> list[_Slice]:
@@ -296,7 +332,9 @@ def gauge_p90(
 ) -> DataFrame:
     """The 90th percentile of gauges per executor."""
     slices = _metric_slices(GAUGES, _chosen(GAUGES, only), "value")
-    return _p90(_stack(metrics, "time_generated", slices), width, exact)
+    binned = with_bin(_stack(metrics, "time_generated", slices), "time_generated", width)
+    found = quantiles(binned, ["query", "time_bin", "slice"], ["value"], [0.9], exact)
+    return found.withColumn("value", F.element_at("value", 1)).where(F.col("value").isNotNull())
 
 
 def host_sum(events: DataFrame, width: str = MINUTE) -> DataFrame:
@@ -320,15 +358,15 @@ def stream_p90(
     events: DataFrame, width: str = MINUTE, only: list[str] | None = None, exact: bool = True
 ) -> DataFrame:
     """The 90th percentile of trigger time and row rates per stream."""
-    slices = []
-    for n in _chosen(STREAM_P90, only):
+    chosen = _chosen(STREAM_P90, only)
+    measures, labels = {}, {}
+    for n in chosen:
         kind, label, path = STREAM_P90[n]
         value = F.col("trigger_execution") if path is None else json_number(F.col("progress_sources"), path)
-        slices.append(
-            _Slice(n, _text(F.col("progress_name"), label), value, text_contains(F.col("event"), kind))
-        )
+        measures[n] = F.when(text_contains(F.col("event"), kind), value)
+        labels[n] = _text(F.col("progress_name"), label)
     progress = _of(events, "progress")
-    return _p90(_stack(progress, "time_generated", slices), width, exact)
+    return _p90(progress, "time_generated", width, ["progress_name"], measures, labels, exact)
 
 
 def errors(events: DataFrame) -> DataFrame:

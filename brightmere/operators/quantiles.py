@@ -20,64 +20,72 @@ HOT_GROUP = 1_000_000
 def quantiles(
     df: DataFrame,
     keys: list[str],
-    value: str,
+    values: list[str],
     qs: list[float],
     exact: bool = True,
     hot: int = HOT_GROUP,
 ) -> DataFrame:
-    """Per group of ``keys``: the array ``quantiles`` of ``value`` at ``qs``; NULLs do not count.
+    """Per group of ``keys``: for each column of ``values`` the array of its values at ``qs``.
 
-    ``exact=False`` gives a sampled value of bounded rank error from one pass. Exact
-    quantiles interpolate between the two neighbouring values. Groups of more than ``hot``
-    rows are narrowed first: a sketch brackets each wanted quantile, values outside the
-    brackets move to the nearest bracket's edge (which leaves the wanted ranks where they
-    are), and what remains is counted per value before it meets in one place.
+    NULLs do not count; a group without values has a NULL array. ``exact=False`` gives
+    values of bounded rank error from one pass. Exact quantiles interpolate between the two
+    neighbouring values, and take a first pass that counts the groups. Groups of more than
+    ``hot`` rows are then narrowed: a sketch brackets each wanted quantile, and values
+    outside the brackets move to the nearest bracket's edge, which leaves the wanted ranks
+    where they are but few different values to hold.
     """
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
     wanted = F.array(*[F.lit(float(q)) for q in qs])
     if not exact:
-        return rows.groupBy(*keys).agg(F.percentile_approx("_v", wanted, ACCURACY).alias("quantiles"))
+        found = [F.percentile_approx(v, wanted, ACCURACY).alias(v) for v in values]
+        return rows.groupBy(*keys).agg(*found)
     if hot < 2 * ACCURACY:
         raise ValueError(f"hot must be at least {2 * ACCURACY}")
-    hot_groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
-    if hot_groups.isEmpty():
-        return rows.groupBy(*keys).agg(F.percentile("_v", wanted).alias("quantiles"))
-    return _narrowed(df, rows, keys, qs, hot).groupBy(*keys).agg(
-        F.percentile("_v", wanted, F.col("_n")).alias("quantiles")
-    )
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if not sizes.where(F.col("_rows") > hot).isEmpty():
+        rows = _narrowed(rows, keys, values, qs, hot)
+    return rows.groupBy(*keys).agg(*[F.percentile(v, wanted).alias(v) for v in values])
+
 
+def _narrowed(rows: DataFrame, keys: list[str], values: list[str], qs: list[float], hot: int) -> DataFrame:
+    """``rows`` with the far values of hot groups moved to a bracket's edge.
 
-def _narrowed(df: DataFrame, rows: DataFrame, keys: list[str], qs: list[float], hot: int) -> DataFrame:
-    """(keys, value, count) with the far values of hot groups moved to a bracket's edge."""
+    A value whose non-NULL rows in a hot group are few keeps all of them: the margin in
+    ranks has to cover the neighbours of the wanted ones.
+    """
+    spark = rows.sparkSession
     edges = [min(max(q + side * MARGIN, 0.0), 1.0) for q in sorted(qs) for side in (-1, 1)]
-    path = scratch(df.sparkSession, "brackets")
-    (
-        rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("_edges"),
-        )
-        .where(F.col("_rows") > hot)
-        .write.parquet(path)
+    points = F.array(*[F.lit(e) for e in edges])
+    path = scratch(spark, "brackets")
+    sketched = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(v).alias(f"_n_{v}") for v in values],
+        *[F.percentile_approx(v, points, ACCURACY).alias(f"_e_{v}") for v in values],
     )
-    brackets = df.sparkSession.read.parquet(path)
+    few = 2 * ACCURACY
+    sketched.where(F.col("_rows") > hot).select(
+        *[f"_{k}" for k in keys],
+        *[F.when(F.col(f"_n_{v}") > few, F.col(f"_e_{v}")).alias(f"_e_{v}") for v in values],
+    ).write.parquet(path)
+    brackets = spark.read.parquet(path)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    moved = rows.join(brackets, same, "left").withColumn(
-        "_v", F.when(F.col("_edges").isNull(), F.col("_v")).otherwise(_snap(F.col("_v"), edges))
-    )
-    return moved.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    moved = {
+        v: F.when(F.col(f"_e_{v}").isNull(), F.col(v)).otherwise(_snap(F.col(v), F.col(f"_e_{v}"), edges))
+        for v in values
+    }
+    return rows.join(brackets, same, "left").withColumns(moved).select(*keys, *values)
 
 
-def _snap(v: Column, edges: list[float]) -> Column:
+def _snap(v: Column, found: Column, edges: list[float]) -> Column:
     """``v`` inside a bracket, else the edge next to it; the order of values is kept."""
 
     def edge(i: int) -> Column:
-        return F.element_at("_edges", i + 1)
+        return F.element_at(found, i + 1)
 
     snapped = F.when(v < edge(0), v if edges[0] == 0.0 else edge(0))
     last = len(edges) - 1
     for low in range(0, len(edges), 2):
         snapped = snapped.when(v <= edge(low + 1), v)
-        if low + 2 <= last:
+        if low < last - 1:
             snapped = snapped.when(v < edge(low + 2), edge(low + 1))
     return snapped.otherwise(v if edges[last] == 1.0 else edge(last))

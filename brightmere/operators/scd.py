@@ -120,6 +120,8 @@ def process_dim_parking_bay(
     parkingbay: DataFrame, dim: DataFrame, load_id: object, loaded_on: dt.datetime, **options
 ) -> DataFrame:
     attrs = ["marker_id", "meter_id", "rd_seg_dsc", "rd_seg_id"]
+    # Standardised bays hold one row per raw number, so few can share a converted one.
+    options = {"duplicates": "unique", **options}
     return scd1_upsert(
         parkingbay, dim, ["bay_id"], attrs, "dim_parking_bay_id", load_id, loaded_on, **options
     )

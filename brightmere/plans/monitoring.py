@@ -104,16 +104,6 @@ def metric_ratio(spark, t):
 # The saved queries ----------------------------------------------------------------------
 
 
-def _conform(df, layout: str):
-    """``df`` with all columns of a layout, absent ones NULL."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in StructType.fromDDL(layout).fields
-        ]
-    )
-
-
 def event_log(t):
     """An event log: orders as stages and as jobs, line items as tasks, events as progress.
 
@@ -180,7 +170,14 @@ def event_log(t):
             ).alias("progress_sources"),
         ),
     ]
-    return reduce(lambda a, b: a.unionByName(b), [_conform(p, observe.EVENTS) for p in parts])
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    present = set(whole.columns)
+    return whole.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in StructType.fromDDL(observe.EVENTS).fields
+        ]
+    )
 
 
 WIDE = "30 days"
@@ -282,7 +279,7 @@ def obs_errors(spark, t):
     return observe.errors(event_log(t))
 
 
-# Which metric an event stands for: by its type, and by whether its number is below 50.
+# Which metric an event stands for: by its type, and by whether its value is below 15.
 METRIC_NAMES = {
     "click": ("executor.cpuTime", "executor.jvmGCTime"),
     "view": ("executor.RunTime", "executor.RunTime"),
@@ -294,12 +291,11 @@ METRIC_NAMES = {
 
 def metric_log(t):
     """Executor metrics, sampled daily: users are executors, errors also come from the driver."""
-    number = F.get_json_object("props", "$.k").cast("int")
     name = F.lit("")
     for kind, (low, high) in METRIC_NAMES.items():
-        metric = F.when(number < 50, low).otherwise(high)
+        metric = F.when(F.col("value") < 15, low).otherwise(high)
         name = F.when(F.col("event_type") == kind, metric).otherwise(name)
-    executor = F.when((F.col("event_type") == "error") & (number >= 50), F.lit("driver")).otherwise(
+    executor = F.when((F.col("event_type") == "error") & (F.col("value") >= 15), F.lit("driver")).otherwise(
         F.col("user_id").cast("string")
     )
     return t.events.select(
@@ -311,11 +307,11 @@ def metric_log(t):
 
 
 _NAME_CASES = " ".join(
-    f"WHEN '{kind}' THEN CASE WHEN k < 50 THEN '{low}' ELSE '{high}' END" for kind, (low, high) in METRIC_NAMES.items()
+    f"WHEN '{kind}' THEN CASE WHEN value < 15 THEN '{low}' ELSE '{high}' END" for kind, (low, high) in METRIC_NAMES.items()
 )
 METRIC_SQL = f"""(SELECT *, date_trunc('day', ts) AS day, value * 100 AS cnt, CASE event_type {_NAME_CASES} END AS metric,
-                         CASE WHEN event_type = 'error' AND k >= 50 THEN 'driver' ELSE CAST(user_id AS VARCHAR) END AS executor
-                  FROM (SELECT ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events))"""
+                         CASE WHEN event_type = 'error' AND value >= 15 THEN 'driver' ELSE CAST(user_id AS VARCHAR) END AS executor
+                  FROM events)"""
 WEEK = "7 days"
 WEEK_BIN = "time_bucket(INTERVAL 7 DAY, day, TIMESTAMP '1970-01-01')"
 

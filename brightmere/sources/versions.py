@@ -41,14 +41,14 @@ def commit(df: DataFrame, root: str, operation: str = "append") -> int:
     version = current_version(spark, root) + 1
     folder = f"{root}/data/{VERSION}={version}"
     df.write.mode("overwrite").parquet(folder)
-    rows = spark.read.parquet(folder).count()
-    log = spark.range(1).select(
+    rows = spark.read.schema(df.schema).parquet(folder).count()
+    log = spark.range(0, 1, 1, 1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.lit(operation).alias("operation"),
         F.lit(rows).cast("bigint").alias("rows"),
         F.current_timestamp().alias("committed_at"),
     )
-    log.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    log.write.mode("append").parquet(f"{root}/log")
     return version
 
 
@@ -63,19 +63,21 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
 
     The commits to read are found in the log; the data scan prunes to their partitions.
     """
-    log = history(spark, root)
-    newest = current_version(spark, root)
+    upto = F.lit(True) if version is None else F.col("version") <= version
+    start = F.when((F.col("operation") == "overwrite") & upto, F.col("version"))
+    newest, base = history(spark, root).agg(F.max("version"), F.max(start)).first()
     wanted = newest if version is None else version
-    if not 0 <= wanted <= newest:
+    if newest is None or not 0 <= wanted <= newest:
         raise ValueError(f"version {wanted} does not exist, newest is {newest}")
-    starts = log.where((F.col("operation") == "overwrite") & (F.col("version") <= wanted))
-    base = starts.agg(F.max("version")).first()[0] or 0
-    return _commits(spark, root, base, wanted).drop(VERSION)
+    return _commits(spark, root, base or 0, wanted).drop(VERSION)
 
 
-def changes_since(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """Rows committed in ``version`` or later, with their commit version."""
-    return _commits(spark, root, version, current_version(spark, root))
+def changes_since(
+    spark: SparkSession, root: str, version: int, upto: int | None = None
+) -> DataFrame:
+    """Rows committed in ``version`` or later (and up to ``upto``), with their commit version."""
+    last = current_version(spark, root) if upto is None else upto
+    return _commits(spark, root, version, last)
 
 
 def convert_to_versioned(spark: SparkSession, parquet: str, root: str) -> int:

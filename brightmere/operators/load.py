@@ -17,6 +17,15 @@ def _ordered(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns)
 
 
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` arranged for a write partitioned by ``columns``.
+
+    Rows of a partition come together, so it gets few files; adaptive execution splits the
+    partitions that are large and joins the small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def append_into(df: DataFrame, table: str) -> None:
     _ordered(df, table).write.insertInto(table)
 
@@ -168,6 +177,12 @@ def insert_only(df: DataFrame, table: str) -> None:
     append_into(df.withColumn("status", F.lit("processed")), table)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def merge_files(
     spark: SparkSession, source: str, target: str, limit: int = 256 * 1024 * 1024
 ) -> int:

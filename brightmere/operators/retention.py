@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightmere.operators.load import by_partition
 from brightmere.session import scratch
+from brightmere.sources import versions
 from brightmere.sources.files import identifier
 
 
@@ -39,10 +41,11 @@ def retain_rows(
     kept = keep_rows(rows, ts, cutoff).join(affected.drop("_n"), partitions, "left_semi")
     kept.write.parquet(staging)
     staged = spark.read.schema(kept.schema).parquet(staging).select(*rows.columns)
+    arranged = by_partition(staged, *partitions)
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        staged.write.insertInto(table, overwrite=True)
+        arranged.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     emptied = affected.select(*partitions).join(
@@ -54,6 +57,13 @@ def retain_rows(
     return removed
 
 
+def retain_version(spark: SparkSession, root: str, ts: str, cutoff: dt.datetime) -> int:
+    """Commit a version without the rows before ``cutoff``, and remove the ones before it."""
+    version = versions.commit(keep_rows(versions.read_version(spark, root), ts, cutoff), root, "overwrite")
+    versions.vacuum(spark, root)
+    return version
+
+
 def retention_plan(partitions: DataFrame, cutoff: dt.date) -> DataFrame:
     """(year, month, action, drop_year) for a list of month partitions.
 

@@ -9,14 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+# Up to this many rows per key Spark cuts the groups before the shuffle by itself.
+EARLY_CUT = 1000
+SALTS = 64
+
+
+def _ranked(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key by ``order``.
 
-    The rank filter lets Spark cut every task's rows to ``n`` per key before the
-    shuffle, so a key that holds most of the input sends only ``n`` rows per task.
+    The rank filter lets Spark cut every task's rows to ``n`` per key before the shuffle, so
+    a key that holds most of the input sends only ``n`` rows per task. For a large ``n``
+    that cut does not apply; there the rows of a key are first ranked in salted parts, each
+    of which keeps its first ``n``.
     """
-    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+    if n > EARLY_CUT:
+        salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        df = _ranked(salted, [*keys, "_salt"], order, n).drop("_salt")
+    return _ranked(df, keys, order, n)
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, n: int = 1, tie: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from brightmere.operators import increment, joins, retention
+from brightmere.operators.load import by_partition
 from brightmere.plans.registry import query
 from brightmere.plans.scans import _order_versions, _orders_by_month
 from brightmere.session import scratch
@@ -136,9 +137,10 @@ def retention_rows(spark, t):
 
     table = scratch_name("orders")
     undated = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderdate"))
-    t.orders.select(
+    dated = t.orders.select(
         "o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), undated.alias("o_orderdate")
-    ).write.partitionBy("year", "month").option("path", scratch(spark, table)).saveAsTable(table)
+    )
+    by_partition(dated, "year", "month").write.partitionBy("year", "month").option("path", scratch(spark, table)).saveAsTable(table)
     retention.retain_rows(spark, table, "o_orderdate", CUTOFF, ["year", "month"])
     return spark.table(table).select("o_orderkey", "o_orderdate", "year")
 
@@ -163,6 +165,24 @@ def retention_partitions(spark, t):
     return months.join(rows, "month", "left")
 
 
+@query(
+    "retention_versioned",
+    """SELECT 'rows' AS what, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1997-05-15'
+       UNION ALL SELECT 'oldest version', 2""",
+)
+def retention_versioned(spark, t):
+    """A versioned table after retention: its rows, and the oldest version that is left."""
+    root = scratch(spark, "versions")
+    for batch in (F.year("o_orderdate") <= 1996, F.year("o_orderdate") > 1996):
+        versions.commit(t.orders.where(batch).select("o_orderkey", "o_orderdate"), root)
+    retention.retain_version(spark, root, "o_orderdate", CUTOFF)
+    rows = versions.read_version(spark, root).agg(F.count(F.lit(1)).alias("n"))
+    oldest = versions.history(spark, root).where("operation = 'vacuum'").select(F.col("version").alias("n"))
+    return rows.select(F.lit("rows").alias("what"), "n").unionByName(
+        oldest.select(F.lit("oldest version").alias("what"), "n")
+    )
+
+
 @query(
     "retention_plan",
     """SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,

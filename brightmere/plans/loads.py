@@ -151,7 +151,8 @@ def _halves(t):
 def _saved(spark, df, label: str, *partitions: str) -> str:
     """A new catalog table with the rows of ``df``."""
     table = scratch_name(label)
-    writer = df.write.option("path", scratch(spark, table))
+    rows = load.by_partition(df, *partitions) if partitions else df
+    writer = rows.write.option("path", scratch(spark, table))
     (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(table)
     return table
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brightmere.functions.calendar import timestamp_slots
 from brightmere.operators import features
+from brightmere.operators.load import by_partition
 from brightmere.plans.registry import query
 from brightmere.session import scratch, scratch_name
 from brightmere.sources import files, messages, versions
@@ -166,12 +167,12 @@ def scan_parquet(spark, t):
 def scan_monthly_union(spark, t):
     """Orders as one folder per month; the months before 1998 lack a column."""
     root = scratch(spark, "monthly")
-    dated = t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    dated = by_partition(t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")), "month")
     early = F.col("month") < "1998-01"
     columns = ["o_orderkey", "o_totalprice", "month"]
     dated.where(early).select(*columns).write.partitionBy("month").parquet(f"{root}/early")
     dated.where(~early).select("o_orderpriority", *columns).write.partitionBy("month").parquet(f"{root}/late")
-    months = [r[0] for r in dated.select("month").distinct().collect()]
+    months = [r[0] for r in t.orders.select(F.date_format("o_orderdate", "yyyy-MM")).distinct().collect()]
     sides = [(f"{root}/early" if m < "1998-01" else f"{root}/late", m) for m in months]
     return files.read_parquet_many(spark, [f"{side}/month={m}" for side, m in sides]).select(
         "o_orderkey", "o_totalprice", "o_orderpriority"
@@ -184,7 +185,7 @@ def scan_monthly_union(spark, t):
 )
 def scan_glob_view(spark, t):
     root = scratch(spark, "glob")
-    t.customer.write.partitionBy("c_mktsegment").parquet(root)
+    by_partition(t.customer, "c_mktsegment").write.partitionBy("c_mktsegment").parquet(root)
     view = scratch_name("customers")
     files.register_glob_view(spark, f"{root}/c_mktsegment=M*", view)
     return spark.sql(f"SELECT c_custkey, c_name FROM {view}")
@@ -193,9 +194,10 @@ def scan_glob_view(spark, t):
 def _orders_by_month(spark, t) -> str:
     """A catalog table of orders partitioned by year and month."""
     table = scratch_name("orders_by_month")
-    t.orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}).write.partitionBy(
-        "year", "month"
-    ).option("path", scratch(spark, table)).saveAsTable(table)
+    dated = t.orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    by_partition(dated, "year", "month").write.partitionBy("year", "month").option(
+        "path", scratch(spark, table)
+    ).saveAsTable(table)
     return table
 
 

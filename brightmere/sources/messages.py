@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from brightmere.operators.load import by_partition
+
 # The fields of one access-log line, in order.
 ACCESS_LOG_FIELDS = """
 version-number request-start-time operation-type request-status http-status-code
@@ -56,6 +58,5 @@ def topic_file(topic: Column) -> Column:
 
 def write_topics(df: DataFrame, path: str) -> None:
     """Stacked messages as one folder per topic."""
-    df.withColumn("topic", topic_file(F.col("topic"))).write.mode("overwrite").partitionBy(
-        "topic"
-    ).parquet(path)
+    named = df.withColumn("topic", topic_file(F.col("topic")))
+    by_partition(named, "topic").write.mode("overwrite").partitionBy("topic").parquet(path)

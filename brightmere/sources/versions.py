@@ -4,7 +4,8 @@ Every commit is one partition ``_commit_version=N`` of the data folder. An appen
 adds rows to what earlier commits hold; an overwrite starts the table anew from
 its own commit. A commit becomes visible when its row is in the log, which is
 written after the data, so a failed write leaves nothing a reader can see and a
-retry replaces the half-written partition. One writer at a time.
+retry replaces the half-written partition. One writer at a time. ``vacuum`` removes commits
+that only older versions need.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from brightmere.operators.load import remove_folder
+
 VERSION = "_commit_version"
 LOG_LAYOUT = "version BIGINT, operation STRING, rows BIGINT, committed_at TIMESTAMP"
 
@@ -33,6 +36,16 @@ def current_version(spark: SparkSession, root: str) -> int:
     return -1 if newest is None else newest
 
 
+def _log(spark: SparkSession, root: str, version: int, operation: str, rows: int) -> None:
+    entry = spark.range(0, 1, 1, 1).select(
+        F.lit(version).cast("bigint").alias("version"),
+        F.lit(operation).alias("operation"),
+        F.lit(rows).cast("bigint").alias("rows"),
+        F.current_timestamp().alias("committed_at"),
+    )
+    entry.write.mode("append").parquet(f"{root}/log")
+
+
 def commit(df: DataFrame, root: str, operation: str = "append") -> int:
     """Write ``df`` as the next version and return its number."""
     if operation not in ("append", "overwrite"):
@@ -42,13 +55,7 @@ def commit(df: DataFrame, root: str, operation: str = "append") -> int:
     folder = f"{root}/data/{VERSION}={version}"
     df.write.mode("overwrite").parquet(folder)
     rows = spark.read.schema(df.schema).parquet(folder).count()
-    log = spark.range(0, 1, 1, 1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(operation).alias("operation"),
-        F.lit(rows).cast("bigint").alias("rows"),
-        F.current_timestamp().alias("committed_at"),
-    )
-    log.write.mode("append").parquet(f"{root}/log")
+    _log(spark, root, version, operation, rows)
     return version
 
 
@@ -58,30 +65,68 @@ def _commits(spark: SparkSession, root: str, low: int, high: int) -> DataFrame:
     return rows.withColumn(VERSION, F.col(VERSION).cast("bigint")).where(in_range)
 
 
+def _bounds(spark: SparkSession, root: str, version: int | None) -> tuple[int, int, int]:
+    """Newest version, where the table of ``version`` starts, and the oldest version kept."""
+    upto = F.lit(True) if version is None else F.col("version") <= version
+
+    def last(operation: str, when):
+        return F.max(F.when((F.col("operation") == operation) & when, F.col("version")))
+
+    newest, start, kept = (
+        history(spark, root)
+        .agg(F.max("version"), last("overwrite", upto), last("vacuum", F.lit(True)))
+        .first()
+    )
+    return -1 if newest is None else newest, start or 0, kept or 0
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The table as it was after commit ``version`` (the newest by default).
 
     The commits to read are found in the log; the data scan prunes to their partitions.
     """
-    upto = F.lit(True) if version is None else F.col("version") <= version
-    start = F.when((F.col("operation") == "overwrite") & upto, F.col("version"))
-    newest, base = history(spark, root).agg(F.max("version"), F.max(start)).first()
+    newest, start, kept = _bounds(spark, root, version)
     wanted = newest if version is None else version
-    if newest is None or not 0 <= wanted <= newest:
-        raise ValueError(f"version {wanted} does not exist, newest is {newest}")
-    return _commits(spark, root, base or 0, wanted).drop(VERSION)
+    if not kept <= wanted <= newest:
+        raise ValueError(f"there is no version {wanted}, there are {kept} to {newest}")
+    return _commits(spark, root, start, wanted).drop(VERSION)
 
 
 def changes_since(
     spark: SparkSession, root: str, version: int, upto: int | None = None
 ) -> DataFrame:
     """Rows committed in ``version`` or later (and up to ``upto``), with their commit version."""
-    last = current_version(spark, root) if upto is None else upto
-    return _commits(spark, root, version, last)
+    newest, _, kept = _bounds(spark, root, None)
+    if version < kept:
+        raise ValueError(f"changes before version {kept} were removed")
+    return _commits(spark, root, version, newest if upto is None else upto)
+
 
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Remove the commits that the newest version does not read; returns the oldest one kept.
 
-def convert_to_versioned(spark: SparkSession, parquet: str, root: str) -> int:
-    """Make an existing Parquet folder the first version of a versioned table."""
+    Older versions and their changes cannot be read any more. That is noted before anything
+    is deleted, so a run that stops half-way leaves no version that reads in part.
+    """
+    newest, start, kept = _bounds(spark, root, None)
+    if newest < 0 or start <= kept:
+        return kept
+    _log(spark, root, start, "vacuum", 0)
+    for version in range(kept, start):
+        remove_folder(spark, f"{root}/data/{VERSION}={version}")
+    return start
+
+
+def convert_to_versioned(
+    spark: SparkSession, parquet: str, root: str, remove_source: bool = False
+) -> int:
+    """Make an existing Parquet folder the first version of a versioned table.
+
+    ``remove_source`` deletes the folder once the version is there.
+    """
     if current_version(spark, root) >= 0:
         raise ValueError(f"{root} already holds versions")
-    return commit(spark.read.parquet(parquet), root, "overwrite")
+    version = commit(spark.read.parquet(parquet), root, "overwrite")
+    if remove_source:
+        remove_folder(spark, parquet)
+    return version

@@ -64,6 +64,17 @@ def test_latest_with_one_hot_key(spark):
     assert "WindowGroupLimit" in plan(latest)
 
 
+def test_many_rows_per_key(spark):
+    """More rows per key than Spark cuts early: the salted way."""
+    df = spark.range(6000).select((F.col("id") % 2).alias("k"), F.hash("id").alias("t"), "id")
+    found = topk.latest_per_key(df, "k", "t", 1500, "id")
+    best = {}
+    for r in df.collect():
+        best.setdefault(r.k, []).append((r.t, r.id))
+    wanted = sorted((k, t, i) for k, v in best.items() for t, i in sorted(v, reverse=True)[:1500])
+    assert sorted(tuple(r) for r in found.collect()) == wanted
+
+
 def test_ordinal_codes_over_many_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -225,6 +236,36 @@ def test_half_written_commit_is_invisible(spark, rows):
     assert values(versions.read_version(spark, root)) == [(1,), (2,)]
 
 
+def test_vacuum(spark, rows):
+    root = scratch(spark, "versioned")
+    for n in range(2):
+        versions.commit(rows([(n,)], "n INT"), root)
+    assert versions.vacuum(spark, root) == 0
+    versions.commit(rows([(5,)], "n INT"), root, "overwrite")
+    versions.commit(rows([(6,)], "n INT"), root)
+    assert versions.vacuum(spark, root) == 2 == versions.vacuum(spark, root)
+    assert values(versions.read_version(spark, root)) == [(5,), (6,)]
+    assert values(versions.read_version(spark, root, 2)) == [(5,)]
+    with pytest.raises(ValueError):
+        versions.read_version(spark, root, 1)
+    with pytest.raises(ValueError):
+        versions.changes_since(spark, root, 1)
+    assert versions.commit(rows([(7,)], "n INT"), root) == 4
+
+
+def test_conversion_removes_its_source_when_told(spark, rows):
+    for remove in (False, True):
+        source, root = scratch(spark, "source"), scratch(spark, "versioned")
+        rows([(1,)], "n INT").write.parquet(source)
+        versions.convert_to_versioned(spark, source, root, remove_source=remove)
+        assert values(versions.read_version(spark, root)) == [(1,)]
+        if remove:
+            with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+                spark.read.parquet(source)
+        else:
+            assert spark.read.parquet(source).count() == 1
+
+
 def day(d, month=1):
     return dt.datetime(2024, month, d)
 

@@ -23,8 +23,8 @@ BAYS = """SELECT CASE WHEN o_orderstatus = 'F' THEN 'bay ' ELSE '' END || o_cust
 DEDUPED = f"""SELECT *, try_strptime(last_edit, '%Y%m%d%H%M%S') AS edited FROM ({BAYS})
               QUALIFY row_number() OVER (PARTITION BY bay_id ORDER BY try_strptime(last_edit, '%Y%m%d%H%M%S') DESC NULLS LAST,
                                          marker_id DESC, meter_id DESC, last_edit DESC, rd_seg_id DESC) = 1"""
-TYPED = f"""SELECT try_cast(bay_id AS INTEGER) AS bay_id, edited AS last_edit, marker_id, meter_id,
-                   try_cast(rd_seg_id AS INTEGER) AS rd_seg_id, 'load-1' AS load_id,
+TYPED = f"""SELECT CAST(try_cast(bay_id AS INTEGER) AS VARCHAR) AS bay_id, edited AS last_edit, marker_id, meter_id,
+                   CAST(try_cast(rd_seg_id AS INTEGER) AS VARCHAR) AS rd_seg_id, 'load-1' AS load_id,
                    TIMESTAMP '2024-03-01 18:30:00' AS loaded_on FROM ({DEDUPED})"""
 
 
@@ -52,11 +52,9 @@ def _bays(t):
 
 
 def _shown(df):
-    """The columns to compare."""
-    plain = df.drop("the_geom", "rd_seg_dsc", "location")
-    return plain.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("last_edit", "loaded_on") if c in plain.columns}
-    )
+    """The columns to compare; numbers that may be missing as text."""
+    kinds = {"last_edit": "timestamp_ntz", "loaded_on": "timestamp_ntz", "bay_id": "string", "rd_seg_id": "string"}
+    return df.drop("the_geom", "rd_seg_dsc").withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
 
 
 @query("standardize_good", f"SELECT * FROM ({TYPED}) WHERE bay_id IS NOT NULL")
@@ -69,7 +67,7 @@ def standardize_bad(spark, t):
     return _shown(standardize_parking_bay(_bays(t), "load-1", LOADED_ON)[1])
 
 
-SENSORS = """SELECT try_cast(CASE WHEN event_type = 'error' THEN 'n' || user_id ELSE '' || user_id END AS INTEGER) AS bay_id,
+SENSORS = """SELECT CAST(try_cast(CASE WHEN event_type = 'error' THEN 'n' || user_id ELSE '' || user_id END AS INTEGER) AS VARCHAR) AS bay_id,
                     CASE WHEN event_type <> 'view' THEN event_type END AS st_marker_id,
                     value >= 20 AS far, 'load-1' AS load_id, count(*) AS events
              FROM events GROUP BY ALL"""
@@ -88,7 +86,8 @@ def _sensors(t):
 
 
 def _sensor_counts(df):
-    return df.groupBy("bay_id", "st_marker_id", (F.col("lat") >= 20).alias("far"), "load_id").agg(
+    bay = F.col("bay_id").cast("string").alias("bay_id")
+    return df.groupBy(bay, "st_marker_id", (F.col("lat") >= 20).alias("far"), "load_id").agg(
         F.count(F.lit(1)).alias("events")
     )
 
@@ -334,7 +333,7 @@ def write_roundtrip(spark, t):
 
 @query(
     "convert_csv_parquet",
-    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS o_custkey FROM orders""",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey FROM orders""",
 )
 def convert_csv_parquet(spark, t):
     """Customers of low orders are no numbers in the text."""
@@ -343,7 +342,7 @@ def convert_csv_parquet(spark, t):
     t.orders.select("o_orderkey", "o_totalprice", customer.alias("o_custkey")).write.option("header", True).csv(source)
     casts = {"o_orderkey": "bigint", "o_totalprice": "double", "o_custkey": "bigint"}
     load.convert(spark, f"{source}/*.csv", target, casts)
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).withColumn("o_custkey", F.col("o_custkey").cast("string"))
 
 
 @query("convert_to_versioned", PLAIN)

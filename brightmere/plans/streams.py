@@ -163,12 +163,16 @@ def stream_dedupe(spark, t):
     return _stored(spark, unique.select("event_id", "ts", "event_type"), "unique")
 
 
-@query("stream_bins")
+@query(
+    "stream_bins",
+    """SELECT date_trunc('hour', ts) AS time_bin, event_type, count(*) AS value FROM events GROUP BY ALL
+       HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+)
 def stream_bins(spark, t):
     """Hourly counts of a stream: the bins that its watermark has closed."""
     timed = _events(spark, t).withColumn("at", F.col("ts").cast("timestamp"))
     counts = aggregates.bin_aggregate(timed, "at", "1 hour", ["event_type"], "count", late="10 minutes")
-    return _stored(spark, counts, "bins")
+    return _stored(spark, counts, "bins").withColumn("time_bin", F.col("time_bin").cast("timestamp_ntz"))
 
 
 @query("stream_progress")

@@ -39,6 +39,39 @@ def message_bus_stream(spark: SparkSession, servers: str, topic: str, **options)
     return raw.select(F.col("value").cast("string").alias("body"), F.col("timestamp").alias("arrival"))
 
 
+_CORRUPT = "_corrupt_record"
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+_WHOLE = ("byte", "short", "integer", "long")
+
+
+def _readable(body: Column, schema: StructType, compat: bool) -> Column:
+    """The record of a message as an array of one, empty when the message is dead.
+
+    The array binds the parsed record once; conditions on columns of a parsed struct would
+    be pushed below it by the optimiser, each with a parse of its own.
+    """
+    layout = StructType(list(schema.fields)).add(_CORRUPT, "string")
+
+    def alive(m: Column) -> Column:
+        fine = m.isNotNull() & m.getField(_CORRUPT).isNull()
+        if not compat:
+            for name in schema.names:
+                fine = fine & m.getField(name).isNotNull()
+        return fine
+
+    def filled(m: Column) -> Column:
+        values = []
+        for f in schema.fields:
+            value = m.getField(f.name)
+            if compat and f.dataType.typeName() in _WHOLE:
+                value = F.coalesce(value, F.lit(0).cast(f.dataType))
+            values.append(value.alias(f.name))
+        return F.struct(*values)
+
+    parsed = F.array(F.from_json(body, layout, _PERMISSIVE))
+    return F.transform(F.filter(parsed, alive), filled)
+
+
 def decode(
     stream: DataFrame, schema: StructType, body: str = "body", compat: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -46,33 +79,11 @@ def decode(
 
     A message is dead when it is no JSON object of that layout or lacks a field. With
     ``compat`` a missing whole number is 0 and only broken messages are dead. Columns
-    besides the body are carried along.
+    besides the schema's are carried along.
     """
-    whole = ("byte", "short", "integer", "long")
-    parsed = stream.withColumn("_m", F.from_json(body, _with_corrupt(schema), _PERMISSIVE))
-    broken = F.col("_m").isNull() | F.col(f"_m.{_CORRUPT}").isNotNull()
-    values = {f.name: F.col(f"_m.{f.name}") for f in schema.fields}
-    if compat:
-        for f in schema.fields:
-            if f.dataType.typeName() in whole:
-                values[f.name] = F.coalesce(values[f.name], F.lit(0).cast(f.dataType))
-        dead = broken
-    else:
-        missing = F.lit(False)
-        for c in values.values():
-            missing = missing | c.isNull()
-        dead = broken | missing
-    rest = [c for c in stream.columns if c not in values]
-    good = parsed.where(~dead).select(*rest, *[c.alias(n) for n, c in values.items()])
-    return good, parsed.where(dead).select(*stream.columns)
-
-
-_CORRUPT = "_corrupt_record"
-_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-
-
-def _with_corrupt(schema: StructType) -> StructType:
-    return StructType(list(schema.fields)).add(_CORRUPT, "string")
+    readable = _readable(F.col(body), schema, compat)
+    rest = [c for c in stream.columns if c not in schema.names]
+    return stream.select(*rest, F.inline(readable)), stream.where(F.size(readable) == 0)
 
 
 def encode(df: DataFrame, cols: list[str] | None = None, body: str = "body") -> DataFrame:
@@ -153,19 +164,23 @@ def keep_decoded(
     """Decode messages, store the readable and the dead ones, and count both per batch.
 
     A dead message neither stops the batch nor is lost; the counts are in the progress
-    reports of the query under ``decode``.
+    reports of the query under ``decode``. Each message is parsed once.
     """
+    rest = [c for c in stream.columns if c not in schema.names]
+
     def write(batch: DataFrame, number: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        good, dead = decode(kept, schema, compat=compat)
-        good.write.mode("overwrite").parquet(f"{good_path}/{BATCH}={number}")
-        dead.write.mode("overwrite").parquet(f"{dead_path}/{BATCH}={number}")
+        good = kept.select(*rest, F.inline("_record"))
+        dead = kept.where(F.size("_record") == 0).drop("_record")
+        for path, rows in ((good_path, good), (dead_path, dead)):
+            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
         kept.unpersist()
 
-    parsed = F.from_json("body", _with_corrupt(schema), _PERMISSIVE)
-    unreadable = parsed.isNull() | parsed.getField(_CORRUPT).isNotNull()
-    observed = stream.observe(
-        "decode", F.count(F.lit(1)).alias("messages"), F.count_if(unreadable).alias("broken")
+    decoded = stream.withColumn("_record", _readable(F.col("body"), schema, compat))
+    observed = decoded.observe(
+        "decode",
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.size("_record") == 0).alias("dead"),
     )
     return (
         observed.writeStream.foreachBatch(write)

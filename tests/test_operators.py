@@ -574,3 +574,11 @@ def test_status_needs_a_run(rows):
             ("verifychecks", "c", 1, "", "{}", t), ("verifychecks", "c", 1, None, "{}", t), ("other", "c", 1, "r", "{}", t)]
     traces = rows(data, "message STRING, check_name STRING, severity INT, run_id STRING, details STRING, timestamp TIMESTAMP_NTZ")
     assert values(quality.dq_status_counts(traces, ["c"])) == [("failed", 1), ("success", 1)]
+
+
+def test_messages_are_parsed_once(rows):
+    from brightmere.schemas import get_schema
+    from brightmere.streaming import streams
+
+    good, dead = streams.decode(rows([("{}",)], "body STRING"), get_schema("device_event"))
+    assert plan(good).count("from_json") == 1 and plan(dead).count("from_json") == 1

@@ -65,7 +65,7 @@ def test_decode(spark, landing):
     assert values(streams.read_batches(spark, good).select("deviceId", "temperature")) == [(1, 99), (1000, 5), (2, 100)]
     assert streams.read_batches(spark, dead).count() == 5
     counted = [p["observedMetrics"]["decode"] for p in streams.progress_rows(query) if p["observedMetrics"]]
-    assert sum(c["messages"] for c in counted) == 8 and sum(c["broken"] for c in counted) == 3
+    assert sum(c["messages"] for c in counted) == 8 and sum(c["dead"] for c in counted) == 5
 
 
 def test_decode_compat(spark, landing):

@@ -64,11 +64,33 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     )
 
 
-def with_bin(df: DataFrame, ts: str, width: str, late: str | None = None, name: str = "time_bin") -> DataFrame:
-    """Add the start of the time bin of ``ts``. ``late`` is the watermark of a stream."""
+def bin_quantiles(
+    df: DataFrame,
+    ts: str,
+    width: str,
+    keys: list[str],
+    values: list[str],
+    qs: list[float],
+    exact: bool = True,
+    late: str | None = None,
+) -> DataFrame:
+    """(time_bin, keys, an array of quantiles per value). On a stream they are sketched."""
     if df.isStreaming:
-        df = df.withWatermark(ts, late or width)
-    return df.withColumn(name, F.window(ts, width).getField("start"))
+        wanted = F.array(*[F.lit(float(q)) for q in qs])
+        found = [F.percentile_approx(v, wanted).alias(v) for v in values]
+        return _stream_bins(df, ts, width, keys, late, found)
+    binned = df.withColumn("time_bin", F.window(ts, width).getField("start"))
+    return quantiles(binned, ["time_bin", *keys], values, qs, exact)
+
+
+def _stream_bins(
+    df: DataFrame, ts: str, width: str, keys: list[str], late: str | None, found: list[Column]
+) -> DataFrame:
+    """Windows of a stream, each given out once its watermark (``late``, or one bin) has passed."""
+    grouped = df.withWatermark(ts, late or width).groupBy(F.window(ts, width).alias("_w"), *keys)
+    result = grouped.agg(*found)
+    rest = [c for c in result.columns if c not in ("_w", *keys)]
+    return result.select(F.col("_w.start").alias("time_bin"), *keys, *rest)
 
 
 def bin_aggregate(
@@ -88,22 +110,13 @@ def bin_aggregate(
     dcount (distinct values) or quantile. On a stream the bins are windows under a
     watermark, and quantiles and distinct counts are the sketched ones.
     """
-    if df.isStreaming:
-        stream = df.withWatermark(ts, late or width)
-        grouped = stream.groupBy(F.window(ts, width).alias("_w"), *keys)
-        exact = False
-        if kind == "quantile":
-            wanted = F.array(*[F.lit(float(x)) for x in q])
-            result = grouped.agg(F.percentile_approx(value, wanted).alias("quantiles"))
-        else:
-            result = grouped.agg(_aggregate(kind, value, exact).alias("value"))
-        rest = [c for c in result.columns if c not in ("_w", *keys)]
-        return result.select(F.col("_w.start").alias("time_bin"), *keys, *rest)
-    binned = with_bin(df, ts, width)
     if kind == "quantile":
-        found = quantiles(binned, ["time_bin", *keys], [value], q, exact)
+        found = bin_quantiles(df, ts, width, keys, [value], q, exact, late)
         return found.withColumnRenamed(value, "quantiles")
-    return binned.groupBy("time_bin", *keys).agg(_aggregate(kind, value, exact).alias("value"))
+    if df.isStreaming:
+        return _stream_bins(df, ts, width, keys, late, [_aggregate(kind, value, False).alias("value")])
+    time_bin = F.window(ts, width).getField("start").alias("time_bin")
+    return df.groupBy(time_bin, *keys).agg(_aggregate(kind, value, exact).alias("value"))
 
 
 def _aggregate(kind: str, value: str | None, exact: bool) -> Column:

@@ -2,7 +2,8 @@
 
 Event rows follow ``EVENTS`` and metric rows ``METRICS``. Each family answers its saved
 queries in one pass over its input and returns them stacked, told apart by ``query``;
-``only`` names the ones wanted. Times are binned by ``width``.
+``only`` names the ones wanted. Times are binned by ``width``. Families that read one kind
+of row (counters, gauges, stream rates, hosts, executors) also take a stream.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightmere.functions.scalars import first_present, json_number
-from brightmere.operators.aggregates import bin_aggregate, text_contains, with_bin
+from brightmere.operators.aggregates import bin_aggregate, bin_quantiles, text_contains
 from brightmere.operators.joins import correlate
-from brightmere.operators.quantiles import quantiles
 
 EVENTS = """time_generated TIMESTAMP_NTZ, event STRING, app_id STRING, metrics_namespace STRING,
     cluster STRING, level STRING, message STRING, call_site STRING,
@@ -140,8 +140,8 @@ def _p90(
     """The 90th percentile of each measure per bin and keys, stacked as (query, time_bin,
     slice, value). All measures are columns of one grouping; the labels are made of its
     keys afterwards."""
-    binned = with_bin(df.select(ts, *keys, *[m.cast("double").alias(n) for n, m in measures.items()]), ts, width)
-    found = quantiles(binned, ["time_bin", *keys], list(measures), [0.9], exact)
+    measured = df.select(ts, *keys, *[m.cast("double").alias(n) for n, m in measures.items()])
+    found = bin_quantiles(measured, ts, width, keys, list(measures), [0.9], exact)
     rows = F.array(
         *[
             F.struct(
@@ -183,8 +183,9 @@ def duration_quantiles(
         for name, df, took, stage in parts
     ]
     stacked = measured[0] if len(measured) == 1 else measured[0].unionByName(measured[1])
-    binned = with_bin(stacked, "time_generated", width)
-    found = quantiles(binned, ["query", "time_bin", *app, "stage"], ["took"], [0.1, 0.3, 0.5, 0.9], exact)
+    found = bin_quantiles(
+        stacked, "time_generated", width, ["query", *app, "stage"], ["took"], [0.1, 0.3, 0.5, 0.9], exact
+    )
     label = _text(*_app(), F.when(F.col("stage").isNotNull(), F.concat(F.lit(" "), "stage")))
     named = [F.element_at("took", i + 1).alias(f"p{p}") for i, p in enumerate((10, 30, 50, 90))]
     return found.where(F.col("took").isNotNull()).select("query", "time_bin", label.alias("slice"), *named)
@@ -332,8 +333,8 @@ def gauge_p90(
 ) -> DataFrame:
     """The 90th percentile of gauges per executor."""
     slices = _metric_slices(GAUGES, _chosen(GAUGES, only), "value")
-    binned = with_bin(_stack(metrics, "time_generated", slices), "time_generated", width)
-    found = quantiles(binned, ["query", "time_bin", "slice"], ["value"], [0.9], exact)
+    stacked = _stack(metrics, "time_generated", slices)
+    found = bin_quantiles(stacked, "time_generated", width, ["query", "slice"], ["value"], [0.9], exact)
     return found.withColumn("value", F.element_at("value", 1)).where(F.col("value").isNotNull())
 
 

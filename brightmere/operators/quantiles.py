@@ -14,7 +14,7 @@ from brightmere.session import scratch
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
 # Up to this many rows a group's distinct values fit one aggregation buffer.
-HOT_GROUP = 1_000_000
+HOT_GROUP = 100_000
 
 
 def quantiles(

@@ -18,7 +18,7 @@ LOADED_ON = dt.datetime(2024, 3, 1, 18, 30, 0)
 BAYS = """SELECT CASE WHEN o_orderstatus = 'F' THEN 'bay ' ELSE '' END || o_custkey AS bay_id,
                  CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' ELSE strftime(o_orderdate, '%Y%m%d%H%M%S') END AS last_edit,
                  CAST(o_orderkey AS VARCHAR) AS marker_id, o_orderpriority AS meter_id,
-                 CAST(o_orderkey % 97 AS VARCHAR) || CASE WHEN o_orderpriority = '1-URGENT' THEN '?' ELSE '' END AS rd_seg_id
+                 CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderpriority = '1-URGENT' THEN '?' ELSE '' END AS rd_seg_id
           FROM orders"""
 DEDUPED = f"""SELECT *, try_strptime(last_edit, '%Y%m%d%H%M%S') AS edited FROM ({BAYS})
               QUALIFY row_number() OVER (PARTITION BY bay_id ORDER BY try_strptime(last_edit, '%Y%m%d%H%M%S') DESC NULLS LAST,
@@ -45,7 +45,7 @@ def _bays(t):
         .otherwise(F.date_format("o_orderdate", "yyyyMMddHHmmss"))
         .alias("last_edit"),
         F.concat(
-            F.col("o_orderkey") % 97, F.when(F.col("o_orderpriority") == "1-URGENT", "?").otherwise("")
+            "o_custkey", F.when(F.col("o_orderpriority") == "1-URGENT", "?").otherwise("")
         ).alias("rd_seg_id"),
         F.lit(None).cast("string").alias("rd_seg_dsc"),
     )

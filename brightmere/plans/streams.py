@@ -165,8 +165,8 @@ def stream_dedupe(spark, t):
 
 @query(
     "stream_bins",
-    """SELECT date_trunc('hour', ts) AS time_bin, event_type, count(*) AS value FROM events GROUP BY ALL
-       HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    """SELECT * FROM (SELECT date_trunc('hour', ts) AS time_bin, event_type, count(*) AS value FROM events GROUP BY 1, 2)
+       WHERE time_bin + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 )
 def stream_bins(spark, t):
     """Hourly counts of a stream: the bins that its watermark has closed."""

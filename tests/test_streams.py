@@ -166,3 +166,22 @@ def test_load_mix(spark):
     kept = streams.device_filter(events)
     share = kept.count() / 20_000, kept.where(~streams.within("temperature")).count() / kept.count()
     assert share == (pytest.approx(0.5, abs=0.02), pytest.approx(0.2, abs=0.02))
+
+
+def test_monitoring_of_a_stream(spark, landing):
+    from brightmere.operators import observe
+
+    def at(hour, name, count):
+        return {"time_generated": f"2024-01-01T{hour:02d}:00:00", "name": name, "count": count, "value": count}
+
+    spilled, memory = "app.1.executor.diskBytesSpilled", "app.1.shuffle-client.usedHeapMemory"
+    stream = landing(at(1, spilled, 5.0), at(1, spilled, 9.0), at(1, memory, 3.0), at(9, memory, 1.0), at(9, spilled, 9.0))
+    rows = stream.select(F.from_json("body", observe.METRICS).alias("m")).select("m.*")
+    rows = rows.withColumn("time_generated", F.col("time_generated").cast("timestamp"))
+    found = {}
+    for label, family in (("delta", observe.counter_deltas), ("gauge", observe.gauge_p90)):
+        path = scratch(spark, label)
+        run(streams.sink_files(family(rows, "1 hour"), path, scratch(spark, "c")))
+        found[label] = values(spark.read.parquet(path).select("query", "slice", "value"))
+    assert found["delta"] == [("disk_bytes_spilled", "app.1", 4.0), ("shuffle_disk_spilled_per_executor", "executorid:1", 4.0)]
+    assert found["gauge"] == [("shuffle_heap_memory", "app.1", 3.0)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brightmere.functions.calendar import FOREVER
 from brightmere.session import scratch, scratch_name
-from brightmere.sources.files import identifier, read_csv
+from brightmere.sources.files import identifier, read_csv, sql_text
 
 
 def _ordered(df: DataFrame, table: str) -> DataFrame:
@@ -74,9 +74,8 @@ def reload_idempotent(df: DataFrame, table: str, load_id: str) -> None:
     view = scratch_name("reload")
     rows = df.where(F.col("load_id") == load_id) if "load_id" in df.columns else df
     rows.select(*columns).createOrReplaceTempView(view)
-    text = str(load_id).replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"INSERT OVERWRITE TABLE {identifier(table)} PARTITION (load_id = '{text}') "
+        f"INSERT OVERWRITE TABLE {identifier(table)} PARTITION (load_id = {sql_text(load_id)}) "
         f"SELECT * FROM {view}"
     )
     spark.catalog.dropTempView(view)
@@ -166,7 +165,7 @@ def save_reference(df: DataFrame, table: str, path: str | None = None) -> None:
             "valid_till": F.to_timestamp(F.lit(FOREVER)),
         }
     )
-    writer = dated.write.mode("overwrite").format("parquet").option("overwriteSchema", True)
+    writer = dated.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(identifier(table))

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightmere.operators.load import by_partition
 from brightmere.session import scratch
 from brightmere.sources import versions
-from brightmere.sources.files import identifier
+from brightmere.sources.files import identifier, sql_text
 
 
 def keep_rows(df: DataFrame, ts: str, cutoff: dt.datetime) -> DataFrame:
@@ -19,6 +20,12 @@ def keep_rows(df: DataFrame, ts: str, cutoff: dt.datetime) -> DataFrame:
     return df.where((F.col(ts) >= limit) | F.col(ts).isNull())
 
 
+def _same(listed: DataFrame, partitions: list[str]) -> tuple[DataFrame, Column]:
+    """Partitions to join with, and the condition; the NULL partition is one like the others."""
+    names = listed.select(*[F.col(p).alias(f"_{p}") for p in partitions])
+    return names, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partitions])
+
+
 def retain_rows(
     spark: SparkSession, table: str, ts: str, cutoff: dt.datetime, partitions: list[str]
 ) -> int:
@@ -38,7 +45,7 @@ def retain_rows(
     if removed == 0:
         return 0
     staging = scratch(spark, "retained")
-    kept = keep_rows(rows, ts, cutoff).join(affected.drop("_n"), partitions, "left_semi")
+    kept = keep_rows(rows, ts, cutoff).join(*_same(affected, partitions), "left_semi")
     kept.write.parquet(staging)
     staged = spark.read.schema(kept.schema).parquet(staging).select(*rows.columns)
     arranged = by_partition(staged, *partitions)
@@ -48,11 +55,9 @@ def retain_rows(
         arranged.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    emptied = affected.select(*partitions).join(
-        staged.select(*partitions).distinct(), partitions, "left_anti"
-    )
+    emptied = affected.join(*_same(staged.select(*partitions).distinct(), partitions), "left_anti")
     for row in emptied.toLocalIterator():
-        spec = ", ".join(f"{p} = '{row[p]}'" for p in partitions)
+        spec = ", ".join(f"{p} = {sql_text(row[p])}" for p in partitions)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     return removed
 

@@ -22,6 +22,14 @@ def identifier(name: str) -> str:
     return name
 
 
+def sql_text(value: object) -> str:
+    """``value`` as a SQL literal text, or NULL."""
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def read_json(
     spark: SparkSession,
     path: str,
@@ -130,9 +138,8 @@ def external_table(
 ) -> DataFrame:
     """A catalog table over a folder that already exists."""
     columns = f"({ddl})" if ddl else ""
-    location = path.replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {identifier(name)} {columns} USING {identifier(fmt)} LOCATION '{location}'"
+        f"CREATE TABLE {identifier(name)} {columns} USING {identifier(fmt)} LOCATION {sql_text(path)}"
     )
     return spark.table(name)
 

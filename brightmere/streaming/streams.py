@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 # The limits of the filters.
@@ -235,42 +237,58 @@ def dedupe(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> D
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def progress_rows(query: StreamingQuery) -> list[dict]:
-    """The recent progress reports of a query, one small record per micro-batch."""
-    return [report if isinstance(report, dict) else _as_dict(report) for report in query.recentProgress]
+PROGRESS = """query_id STRING, batch_id BIGINT, ts STRING, event STRING, progress_name STRING,
+    trigger_execution DOUBLE, progress_sources STRING"""
+
 
+def _progress_row(report, name: str | None) -> tuple:
+    sources = [
+        {"inputRowsPerSecond": s.inputRowsPerSecond, "processedRowsPerSecond": s.processedRowsPerSecond}
+        for s in report.sources
+    ]
+    return (
+        str(report.id),
+        report.batchId,
+        report.timestamp.rstrip("Z"),
+        "QueryProgressEvent",
+        name or report.name,
+        float(report.durationMs.get("triggerExecution", 0)),
+        json.dumps(sources),
+    )
 
-def _as_dict(report) -> dict:
-    import json
 
-    return json.loads(report.json)
+def _event_rows(df: DataFrame) -> DataFrame:
+    return df.withColumn("time_generated", F.col("ts").cast("timestamp_ntz")).drop("ts")
 
 
 def progress_events(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
-    """A query's progress as event-log rows for the monitoring queries."""
-    import json
-
-    rows = [
-        (
-            report["timestamp"].rstrip("Z"),
-            "QueryProgressEvent",
-            name,
-            float(report.get("durationMs", {}).get("triggerExecution", 0)),
-            json.dumps(
-                [
-                    {
-                        "inputRowsPerSecond": s.get("inputRowsPerSecond"),
-                        "processedRowsPerSecond": s.get("processedRowsPerSecond"),
-                    }
-                    for s in report["sources"]
-                ]
-            ),
-        )
-        for report in progress_rows(query)
-    ]
-    layout = "ts STRING, event STRING, progress_name STRING, trigger_execution DOUBLE, progress_sources STRING"
-    return (
-        spark.createDataFrame(rows, layout)
-        .withColumn("time_generated", F.col("ts").cast("timestamp_ntz"))
-        .drop("ts")
-    )
+    """A query's recent progress reports as event-log rows for the monitoring queries."""
+    reports = [_progress_row(report, name) for report in query.recentProgress]
+    return _event_rows(spark.createDataFrame(reports, PROGRESS))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress report of the session's streams to a folder.
+
+    A query itself remembers only its last reports; add this with
+    ``spark.streams.addListener`` to keep all of them, and read them with ``read``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = self.spark.createDataFrame([_progress_row(event.progress, None)], PROGRESS)
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def read(self) -> DataFrame:
+        return _event_rows(self.spark.read.schema(PROGRESS).parquet(self.path))

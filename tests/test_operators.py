@@ -335,6 +335,16 @@ def test_retention_touches_only_what_expires(spark, rows):
     assert retention.retain_rows(spark, table, "at", day(10), ["year"]) == 0
 
 
+def test_retention_in_the_null_partition(spark, rows):
+    table = scratch_name("kept")
+    data = [(1, None, day(1)), (2, None, day(20)), (3, "it's", day(1)), (4, "z", day(20))]
+    path = scratch(spark, table)
+    rows(data, "n INT, p STRING, at TIMESTAMP_NTZ").write.partitionBy("p").option("path", path).saveAsTable(table)
+    assert retention.retain_rows(spark, table, "at", day(10), ["p"]) == 2
+    assert values(spark.table(table).select("n", "p")) == [(2, None), (4, "z")]
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
+
+
 def test_retention_plan(rows):
     months = rows([(2023, 12), (2024, 1), (2024, 2), (2022, 6)], "year INT, month INT")
     found = values(retention.retention_plan(months, dt.date(2024, 2, 1)))

@@ -64,8 +64,8 @@ def test_decode(spark, landing):
     query = run(streams.keep_decoded(landing(*MESSAGES), get_schema("device_event"), good, dead, scratch(spark, "c")))
     assert values(streams.read_batches(spark, good).select("deviceId", "temperature")) == [(1, 99), (1000, 5), (2, 100)]
     assert streams.read_batches(spark, dead).count() == 5
-    counted = [p["observedMetrics"]["decode"] for p in streams.progress_rows(query) if p["observedMetrics"]]
-    assert sum(c["messages"] for c in counted) == 8 and sum(c["dead"] for c in counted) == 5
+    counted = [p.observedMetrics["decode"] for p in query.recentProgress if p.observedMetrics]
+    assert sum(c.messages for c in counted) == 8 and sum(c.dead for c in counted) == 5
 
 
 def test_decode_compat(spark, landing):
@@ -185,3 +185,27 @@ def test_monitoring_of_a_stream(spark, landing):
         found[label] = values(spark.read.parquet(path).select("query", "slice", "value"))
     assert found["delta"] == [("disk_bytes_spilled", "app.1", 4.0), ("shuffle_disk_spilled_per_executor", "executorid:1", 4.0)]
     assert found["gauge"] == [("shuffle_heap_memory", "app.1", 3.0)]
+
+
+def test_progress_is_kept(spark, landing):
+    import time
+
+    from brightmere.operators import observe
+
+    log = streams.ProgressLog(spark, scratch(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        stream = landing("a", "b")
+        query = stream.writeStream.format("noop").queryName("kept").trigger(availableNow=True)
+        run(query.option("checkpointLocation", scratch(spark, "c")).start())
+        for _ in range(100):
+            time.sleep(0.2)
+            try:
+                if log.read().where("progress_name = 'kept'").count():
+                    break
+            except Exception:  # nothing was written yet
+                continue
+    finally:
+        spark.streams.removeListener(log)
+    found = {r.query for r in observe.stream_p90(log.read(), "1 hour").collect()}
+    assert found == {"stream_trigger_latency", "stream_processed_rows", "stream_input_rows"}

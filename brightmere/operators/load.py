@@ -35,13 +35,17 @@ def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def overwrite_self(spark: SparkSession, df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace a table by rows computed from it.
+    """Replace a table by rows computed from it; a table that does not exist yet is created
+    (at ``path``).
 
-    The rows go to a staging folder first (``path`` or a scratch one): a failure before
-    the final copy leaves the table as it was.
+    The rows go to a scratch folder first: a failure before the final copy leaves the table
+    as it was.
     """
-    staging = path or scratch(spark, "staging")
-    _ordered(df, table).write.mode("overwrite").parquet(staging)
+    if not spark.catalog.tableExists(identifier(table)):
+        create_or_append(df, table, path)
+        return
+    staging = scratch(spark, "staging")
+    _ordered(df, table).write.parquet(staging)
     spark.read.parquet(staging).write.insertInto(table, overwrite=True)
 
 
@@ -102,8 +106,8 @@ def load_dw(
         reload_idempotent(df, table, load_id)
 
 
-def create_tables(spark: SparkSession, spec: dict) -> list[str]:
-    """Create the tables of a configuration.
+def create_tables(spark: SparkSession, spec: dict, root: str | None = None) -> list[str]:
+    """Create the tables of a configuration; those of data files below ``root``, if given.
 
     ``spec["table_types"]`` is a list of groups with ``tables``; a table has a
     ``table_name`` and a ``data_file`` (a CSV with header, loaded in overwrite mode) or else
@@ -115,8 +119,10 @@ def create_tables(spark: SparkSession, spec: dict) -> list[str]:
             name = table.get("table_name")
             try:
                 if table.get("data_file"):
-                    rows = read_csv(spark, table["data_file"])
-                    rows.write.mode("overwrite").saveAsTable(identifier(name))
+                    writer = read_csv(spark, table["data_file"]).write.mode("overwrite")
+                    if root is not None:
+                        writer = writer.option("path", f"{root}/{name}")
+                    writer.saveAsTable(identifier(name))
                 elif table.get("create_sql"):
                     spark.sql(table["create_sql"])
                 else:

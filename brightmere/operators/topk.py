@@ -28,7 +28,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
     of which keeps its first ``n``.
     """
     if n > EARLY_CUT:
-        salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        # The salt is a hash of the row, so a task that runs again makes the same one.
+        hashed = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)))
         df = _ranked(salted, [*keys, "_salt"], order, n).drop("_salt")
     return _ranked(df, keys, order, n)
 

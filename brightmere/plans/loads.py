@@ -298,7 +298,7 @@ def create_tables(spark, t):
         ]
     }
     try:
-        load.create_tables(spark, spec)
+        load.create_tables(spark, spec, scratch(spark, "tables"))
     except ValueError as faults:
         if "neither" not in str(faults):
             raise

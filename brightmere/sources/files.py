@@ -40,7 +40,7 @@ def read_json(
     """JSON (lines, or one document per file with ``multiline``).
 
     With ``bad_path`` the records that do not parse are appended there with their
-    source file, and the returned frame holds only the others. Without a schema
+    source file (a pass over the input), and the returned frame holds only the others. Without a schema
     Spark infers one, which costs a pass over the input.
     """
     reader = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")

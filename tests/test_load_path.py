@@ -135,6 +135,33 @@ def test_versions_of_a_key_stay_apart(rows, dim):
         assert values(after.where("bay_id = 2263").select("dim_parking_bay_id", "marker_id")) == [("id-2", "A"), ("id-2", "Z")]
 
 
+@pytest.mark.parametrize("null_keys", ["ignore", "append"])
+@pytest.mark.parametrize("duplicates", ["keep", "unique"])
+def test_upsert_against_three_branches(rows, null_keys, duplicates):
+    """Random loads against the definition: kept, changed and new rows, one by one."""
+    import random
+
+    draw = random.Random(5)
+
+    def key():
+        return draw.choice([None, *range(30)])
+
+    layout = "id STRING, a INT, b STRING, v INT, load_id STRING, loaded_on TIMESTAMP"
+    keys = {(key(), draw.choice("xy")) for _ in range(40)}
+    dim = [(f"id{n}", a, b, draw.randrange(9), "first", THEN) for n, (a, b) in enumerate(sorted(keys, key=str))]
+    arriving = [(key(), draw.choice("xyz"), draw.randrange(3)) for _ in range(120)]
+    after = scd.scd1_upsert(
+        rows(arriving, "a INT, b STRING, v INT"), rows(dim, layout), ["a", "b"], ["v"], "id", "second", WHEN,
+        null_keys=null_keys, duplicates=duplicates,
+    )
+    ids = {(a, b): i for i, a, b, *_ in dim if a is not None}
+    came = {r for r in arriving if null_keys == "append" or r[0] is not None}
+    wanted = [(i, a, b, v, "first") for i, a, b, v, *_ in dim if (a, b) not in {r[:2] for r in came} or a is None]
+    wanted += [(ids.get((a, b), "new"), a, b, v, "second") for a, b, v in came]
+    found = [(r.id if r.id.startswith("id") else "new", r.a, r.b, r.v, r.load_id) for r in after.collect()]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
 @pytest.mark.parametrize("null_keys, added", [("ignore", 0), ("append", 1)])
 def test_null_keys(rows, null_keys, added):
     dim = rows([("id-0", None, None, "f", THEN)], "dim_location_id STRING, lat FLOAT, lon FLOAT, load_id STRING, loaded_on TIMESTAMP")
@@ -240,6 +267,12 @@ def test_overwrite_self_keeps_the_table_on_failure(spark, rows):
     assert values(spark.table(table)) == [(1,), (2,)]
 
 
+def test_overwrite_self_creates_a_missing_table(spark, rows):
+    table = scratch_name("made")
+    load.overwrite_self(spark, rows([(1,)], "n INT"), table, scratch(spark, table))
+    assert values(spark.table(table)) == [(1,)]
+
+
 def test_table_names_are_checked(spark):
     from brightmere.sources.files import create_partition_view
 

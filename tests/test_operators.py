@@ -491,6 +491,17 @@ def test_masking(rows, text, masked):
     assert "Python" not in plan(df)
 
 
+def test_masking_with_a_model(rows):
+    df = rows([("Anna met Bo",), ("fails",), (None,)], "t STRING")
+
+    def mask(text):
+        if text == "fails":
+            raise RuntimeError
+        return text.replace("Anna", privacy.MASK)
+
+    assert [r.t for r in privacy.anonymize_with(df, "t", mask).collect()] == ["<ANONYMIZED> met Bo", None, None]
+
+
 def test_messages(rows):
     text = rows([("/imu", "1", "seq: 5\nstamp:  a:b \nbare\n")], "topic STRING, ts STRING, text STRING")
     found = messages.stack_messages(text).select("position", "name", "value")

@@ -120,9 +120,7 @@ def _training(t):
     return features.training_frame(_demand(t), _weather_features(t), 2024)
 
 
-@query(
-    "training_frame",
-    f"""WITH w AS (SELECT * FROM ({FEATURES}) WHERE year = 2024),
+TRAINING = f"""WITH w AS (SELECT * FROM ({FEATURES}) WHERE year = 2024),
              fit AS (SELECT min(temperature_2m_c) AS t0, max(temperature_2m_c) AS t1,
                             min(windspeed_10m_km_per_hour) AS w0, max(windspeed_10m_km_per_hour) AS w1,
                             min(precipitation_mm) AS p0, max(precipitation_mm) AS p1,
@@ -132,8 +130,10 @@ def _training(t):
                (windspeed_10m_km_per_hour - w0) / (w1 - w0) AS scaled_windspeed,
                (precipitation_mm - p0) / (p1 - p0) AS scaled_precipitation,
                (cloudcover_percentage - c0) / (c1 - c0)::DOUBLE AS scaled_cloudcover
-        FROM ({DEMAND}) JOIN w ON month_pickup = month AND day_pickup = day AND hour_pickup = hour, fit""",
-)
+        FROM ({DEMAND}) JOIN w ON month_pickup = month AND day_pickup = day AND hour_pickup = hour, fit"""
+
+
+@query("training_frame", TRAINING)
 def training_frame(spark, t):
     return _training(t)
 
@@ -167,9 +167,13 @@ def train_demand(spark, t):
     return measured[0].unionByName(measured[1])
 
 
-@query("score_demand")
+@query(
+    "score_demand",
+    f"""SELECT borough_id, hour_pickup, day_pickup, weekday_pickup, month_pickup, demand, true AS positive FROM ({TRAINING})
+        ORDER BY month_pickup DESC, day_pickup DESC, weekday_pickup DESC, hour_pickup DESC, borough_id DESC LIMIT 30""",
+)
 def score_demand(spark, t):
-    """The last thirty hours and boroughs with their true and predicted demand."""
+    """The last thirty hours and boroughs with their true demand; the prediction is a positive number."""
     path = scratch(spark, "training")
     _training(t).write.parquet(path)
     frame = spark.read.parquet(path)
@@ -177,7 +181,8 @@ def score_demand(spark, t):
     model = models.train_demand(train, family="poisson")
     order = ["month_pickup", "day_pickup", "weekday_pickup", "hour_pickup", "borough_id"]
     newest = frame.orderBy(*[F.col(c).desc() for c in order]).limit(30)
-    return models.score(model, newest)
+    scored = models.score(model, newest)
+    return scored.select(*KEYS, "demand", (F.col("prediction") > 0).alias("positive"))
 
 
 @query(

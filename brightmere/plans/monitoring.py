@@ -30,9 +30,12 @@ def p90_by_bin(spark, t):
     return found.select("time_bin", "event_type", F.round(F.element_at("quantiles", 1), 6).alias("p90"))
 
 
-@query("p90_by_bin_sketch")
+@query(
+    "p90_by_bin_sketch",
+    f"SELECT {HOUR_BIN} AS time_bin, event_type, quantile_disc(value, 0.9) AS p90 FROM events GROUP BY ALL",
+)
 def p90_by_bin_sketch(spark, t):
-    """The sketched form: one value of the bin, of bounded rank error."""
+    """The sketched form: one value of the bin, of a rank error below one in small bins."""
     found = aggregates.bin_aggregate(t.events, "ts", HOUR, ["event_type"], "quantile", "value", [0.9], exact=False)
     return found.select("time_bin", "event_type", F.element_at("quantiles", 1).alias("p90"))
 
@@ -75,9 +78,19 @@ def dcount_by_bin(spark, t):
     return aggregates.bin_aggregate(t.events, "ts", HOUR, ["event_type"], "dcount", "user_id")
 
 
-@query("dcount_by_bin_sketch")
+@query(
+    "dcount_by_bin_sketch",
+    f"""SELECT {HOUR_BIN} AS time_bin, event_type, count(DISTINCT user_id) AS users, true AS close FROM events GROUP BY ALL""",
+)
 def dcount_by_bin_sketch(spark, t):
-    return aggregates.bin_aggregate(t.events, "ts", HOUR, ["event_type"], "dcount", "user_id", exact=False)
+    """Sketched distinct counts, held against the exact ones."""
+
+    def counted(exact):
+        return aggregates.bin_aggregate(t.events, "ts", HOUR, ["event_type"], "dcount", "user_id", exact=exact)
+
+    both = counted(True).join(counted(False).withColumnRenamed("value", "sketched"), ["time_bin", "event_type"])
+    close = F.abs(F.col("value") - F.col("sketched")) <= F.col("value") * 0.3 + 1
+    return both.select("time_bin", "event_type", F.col("value").alias("users"), close.alias("close"))
 
 
 @query(

@@ -281,12 +281,17 @@ def inline_rows(spark, t):
     )
 
 
-@query("range_random")
+@query(
+    "range_random",
+    "SELECT l_returnflag, count(*) AS rows, true AS in_range, true AS centred FROM lineitem GROUP BY l_returnflag",
+)
 def range_random(spark, t):
-    """Every line item with a uniform and a normal random number, summarised per flag."""
+    """Every line item with a uniform and a normal random number; their range and means per flag."""
     drawn = t.lineitem.select("l_returnflag", F.rand(10).alias("uniform"), F.randn(27).alias("normal"))
     return drawn.groupBy("l_returnflag").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("uniform").alias("uniform"), F.avg("normal").alias("normal")
+        F.count(F.lit(1)).alias("rows"),
+        ((F.min("uniform") >= 0) & (F.max("uniform") < 1)).alias("in_range"),
+        ((F.abs(F.avg("uniform") - 0.5) < 0.05) & (F.abs(F.avg("normal")) < 0.15)).alias("centred"),
     )
 
 
@@ -319,18 +324,21 @@ def ts_sequence(spark, t):
        SELECT '/orders/' || o_orderpriority AS topic, ts, position, name, value FROM pairs""",
 )
 def stack_messages(spark, t):
+    return messages.stack_messages(_order_messages(t))
+
+
+def _order_messages(t):
     """Orders as text messages: a plain pair, one with a second colon, and a bare name."""
     text = F.concat(
         F.lit("status:  "), "o_orderstatus",
         F.lit("\nplaced: "), F.date_format("o_orderdate", "HH:mm"),
         F.lit("\nchecked"),
     )
-    texts = t.orders.select(
+    return t.orders.select(
         F.concat(F.lit("/orders/"), "o_orderpriority").alias("topic"),
         F.col("o_orderkey").alias("ts"),
         text.alias("text"),
     )
-    return messages.stack_messages(texts)
 
 
 @query(
@@ -345,6 +353,16 @@ def topic_partition(spark, t):
     return spark.read.parquet(path).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query(
+    "topic_table",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS ts, o_orderstatus AS status, strftime(o_orderdate, '%H') AS placed, CAST(NULL AS VARCHAR) AS checked
+       FROM orders WHERE o_orderpriority = '1-URGENT'""",
+)
+def topic_table(spark, t):
+    """The urgent orders' messages as a table."""
+    return messages.topic_table(_order_messages(t), "/orders/1-URGENT").withColumn("ts", F.col("ts").cast("string"))
+
+
 @query(
     "parse_access_log",
     """SELECT CAST(page_id AS VARCHAR) AS "client-request-id", url || ';v=' || page_id AS "request-url",

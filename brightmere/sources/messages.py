@@ -51,6 +51,24 @@ def stack_messages(df: DataFrame) -> DataFrame:
     return lines.select("topic", "ts", "position", name.alias("name"), value.alias("value"))
 
 
+def topic_table(df: DataFrame, topic: str) -> DataFrame:
+    """The messages of one topic as rows: ts and one column per line.
+
+    The columns are named after the lines of the topic's first message; a name that comes
+    again gets a number. A line that a message lacks, or that has no value, is NULL.
+    """
+    own = df.where(F.col("topic") == topic)
+    first = own.orderBy("ts").select(F.split("text", "\n").alias("lines")).first()
+    names = []
+    for line in first["lines"] if first else []:
+        name = line.split(":")[0].strip()
+        taken = sum(1 for n in names if n == name or n.startswith(f"{name}_"))
+        names.append(f"{name}_{taken + 1}" if taken else name)
+    lines = F.split("text", "\n")
+    cells = [parse_pair(F.get(lines, F.lit(i)))[1].alias(n) for i, n in enumerate(names) if n]
+    return own.select("ts", *cells)
+
+
 def topic_file(topic: Column) -> Column:
     """A topic as a file-system safe name."""
     return F.replace(topic, F.lit("/"), F.lit("_slash_"))

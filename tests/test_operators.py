@@ -509,6 +509,15 @@ def test_messages(rows):
     assert text.select(messages.topic_file(F.col("topic"))).first()[0] == "_slash_imu"
 
 
+def test_topic_table(rows):
+    data = [("/imu", 2, "seq: 6\nid: x\nseq: 8"), ("/imu", 1, "seq: 5\nid:\nseq: 7"), ("/imu", 3, "seq: 9"), ("/gps", 1, "lat: 1")]
+    df = rows(data, "topic STRING, ts INT, text STRING")
+    table = messages.topic_table(df, "/imu")
+    assert table.columns == ["ts", "seq", "id", "seq_2"]
+    assert values(table) == [(1, "5", "", "7"), (2, "6", "x", "8"), (3, "9", None, None)]
+    assert messages.topic_table(df, "/none").columns == ["ts"]
+
+
 def test_access_log(spark, tmp_path):
     line = ["1.0", '"a;b"'] + [""] * 27 + ["last"]
     (tmp_path / "a.log").write_text(";".join(line) + "\n\n" + ";".join(line) + "\n")

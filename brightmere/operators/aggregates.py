@@ -74,7 +74,10 @@ def bin_quantiles(
     exact: bool = True,
     late: str | None = None,
 ) -> DataFrame:
-    """(time_bin, keys, an array of quantiles per value). On a stream they are sketched."""
+    """(time_bin, keys, an array of quantiles per value). On a stream they are sketched.
+
+    A row without a time is in no bin.
+    """
     if df.isStreaming:
         wanted = F.array(*[F.lit(float(q)) for q in qs])
         found = [F.percentile_approx(v, wanted).alias(v) for v in values]
@@ -107,7 +110,7 @@ def bin_aggregate(
     """One aggregate per time bin and keys, as column ``value`` (``quantiles`` for quantiles).
 
     ``kind`` is count, sum, min, max, avg, delta (max - min, the growth of a counter),
-    dcount (distinct values) or quantile. On a stream the bins are windows under a
+    dcount (distinct values) or quantile. A row without a time is in no bin. On a stream the bins are windows under a
     watermark, and quantiles and distinct counts are the sketched ones.
     """
     if kind == "quantile":

@@ -99,14 +99,15 @@ def graph_path(nodes: list[DataFrame], edges: list[DataFrame], ids: list[str]) -
 def correlate(
     start: DataFrame, end: DataFrame, on: list[str], ts: str, keep: list[str] = ()
 ) -> DataFrame:
-    """End events with the first start event of their key.
+    """End events with the first start event of their key (one without a time comes last).
 
     From the start side come ``ts`` as ``start_<ts>`` and the columns ``keep``, prefixed
     ``start_``. Starts are reduced to one row per key before the join, so repeated starts
     do not multiply the ends; ends without a start drop out.
     """
     carried = [c for c in [ts, *keep] if c not in on]
-    first = start.groupBy(*on).agg(F.min(F.struct(*carried)).alias("_s"))
+    untimed = F.col(ts).isNull().alias("_untimed")
+    first = start.groupBy(*on).agg(F.min(F.struct(untimed, *carried)).alias("_s"))
     first = first.select(*on, *[F.col(f"_s.{c}").alias(f"start_{c}") for c in carried])
     return end.join(first, on)
 

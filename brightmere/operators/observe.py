@@ -29,8 +29,8 @@ EVENTS = """time_generated TIMESTAMP_NTZ, event STRING, app_id STRING, metrics_n
 METRICS = "time_generated TIMESTAMP_NTZ, name STRING, count DOUBLE, value DOUBLE"
 
 MINUTE = "1 minute"
-# The keys that tie a task or a stage's end to its start. Stage numbers repeat between
-# applications; ["stage_id"] alone mixes them.
+# The keys that tie a task or a stage's end to the first start of its stage. Stage numbers
+# repeat between applications; stage_keys=["stage_id"] mixes them.
 STAGE_KEYS = ["app_id", "stage_id"]
 JOB_KEYS = ["app_id", "job_id"]
 
@@ -157,14 +157,18 @@ def _p90(
 
 
 def duration_quantiles(
-    events: DataFrame, width: str = MINUTE, only: list[str] | None = None, exact: bool = True
+    events: DataFrame,
+    width: str = MINUTE,
+    only: list[str] | None = None,
+    exact: bool = True,
+    stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
     """Quantiles 10, 30, 50 and 90 of stage and job durations."""
     chosen = _chosen(["stage_latency", "job_latency"], only)
     app = ["start_cluster", "start_apptag"]
     parts = []
     if "stage_latency" in chosen:
-        stages = _started(events, SUBMITTED, _of(events, COMPLETED), STAGE_KEYS, [])
+        stages = _started(events, SUBMITTED, _of(events, COMPLETED), stage_keys, [])
         took = F.col("stage_completion") - F.col("stage_submission")
         parts.append(("stage_latency", stages, took, "stage_name"))
     if "job_latency" in chosen:
@@ -192,7 +196,11 @@ def duration_quantiles(
 
 
 def task_p90(
-    events: DataFrame, width: str = MINUTE, only: list[str] | None = None, exact: bool = True
+    events: DataFrame,
+    width: str = MINUTE,
+    only: list[str] | None = None,
+    exact: bool = True,
+    stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
     """The 90th percentile of task measures per stage."""
     chosen = _chosen(TASK_P90, only)
@@ -204,7 +212,7 @@ def task_p90(
     ):
         if not names:
             continue
-        started = _started(events, kind, tasks, STAGE_KEYS, ["stage_name", "stage_submission"])
+        started = _started(events, kind, tasks, stage_keys, ["stage_name", "stage_submission"])
         stage = F.col("start_stage_name")
         if kind == COMPLETED:
             keys, labels = ["start_stage_name"], {n: _text(TASK_P90[n][0], stage) for n in names}
@@ -218,7 +226,12 @@ def task_p90(
     return results[0] if len(results) == 1 else results[0].unionByName(results[1])
 
 
-def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None = None) -> DataFrame:
+def event_counts(
+    events: DataFrame,
+    width: str = MINUTE,
+    only: list[str] | None = None,
+    stage_keys: list[str] = STAGE_KEYS,
+) -> DataFrame:
     """Numbers of finished and failed stages, jobs, tasks and stream errors."""
     names = [
         "stage_throughput", "job_throughput", "job_errors", "task_errors",
@@ -238,7 +251,7 @@ def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None
     is_stage = text_contains(F.col("event"), COMPLETED)
     success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
     ended = events.where(is_stage | (is_task & success))
-    begun = _started(events, SUBMITTED, ended, STAGE_KEYS, ["stage_name"])
+    begun = _started(events, SUBMITTED, ended, stage_keys, ["stage_name"])
     stage_label = _text("# StagesCompleted ", *_app(), " ", F.col("stage_name"))
     task_label = _text("#TasksCompleted ", *_app(), " ", F.col("start_stage_name"))
     add(
@@ -258,7 +271,7 @@ def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None
     )
 
     failed_tasks = events.where(is_task & ~success).drop("stage_name")
-    failed = _started(events, COMPLETED, failed_tasks, STAGE_KEYS, ["stage_name"])
+    failed = _started(events, COMPLETED, failed_tasks, stage_keys, ["stage_name"])
     add(
         failed,
         "start_time_generated",
@@ -275,9 +288,9 @@ def event_counts(events: DataFrame, width: str = MINUTE, only: list[str] | None
     return bin_aggregate(stacked, "time_generated", width, ["query", "slice"], "count")
 
 
-def tasks_per_stage(events: DataFrame) -> DataFrame:
+def tasks_per_stage(events: DataFrame, stage_keys: list[str] = STAGE_KEYS) -> DataFrame:
     """(time_generated, slice, tasks) per finished stage."""
-    stages = _started(events, SUBMITTED, _of(events, COMPLETED), STAGE_KEYS, [])
+    stages = _started(events, SUBMITTED, _of(events, COMPLETED), stage_keys, [])
     return stages.select(
         F.col("start_time_generated").alias("time_generated"),
         _text(*_app(), " ", F.col("stage_name")).alias("slice"),

@@ -130,7 +130,7 @@ def test_orphans_ignore_missing_keys(rows):
 
 
 def test_correlate_does_not_multiply(rows):
-    start = rows([("a", 5, "x"), ("a", 3, "y"), ("b", 1, "z")], "k STRING, t INT, name STRING")
+    start = rows([("a", 5, "x"), ("a", 3, "y"), ("a", None, "w"), ("b", 1, "z")], "k STRING, t INT, name STRING")
     end = rows([("a", 10), ("a", 11), ("c", 12)], "k STRING, t INT")
     assert values(joins.correlate(start, end, ["k"], "t", ["name"])) == [("a", 10, 3, "y"), ("a", 11, 3, "y")]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import packing, warc
+from brightmere.llm import lang_id, packing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,18 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op7_lang_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    return lang_id.predict_held_out(table(spark, folder, "documents"))
+
+
+@query
+def op8_quality_subwords(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, learned from two thirds of the labels."""
+    return quality.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_pack_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of 2048 tokens that keep the sources' shares."""

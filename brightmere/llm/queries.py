@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import lang_id, packing, quality, warc
+from brightmere.llm import lang_id, packing, pii, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,13 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op6_pii_weak(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document, with labelers weighed over all documents."""
+    docs = table(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 @query
 def op7_lang_kernel(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""

@@ -113,8 +113,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -
     known = labelled.select("doc_id", "text", "lang").where(
         "doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL"
     )
-    chosen = sample_ids(known.select("doc_id", "lang").distinct(), "lang", "doc_id", sample)
-    rows = staged(known.join(chosen.withColumnRenamed("__rank", "place"), ["doc_id", "lang"]).repartition(8), "languages")
+    chosen = sample_ids(known.select("doc_id", "lang"), "lang", "doc_id", sample)
+    rows = staged(known.join(chosen, ["doc_id", "lang"]).repartition(8), "languages")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):

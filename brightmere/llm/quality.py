@@ -109,16 +109,17 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) -> Mode
     return Model(vectors, output, bias)
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from ``labelled`` (doc_id, text, label 0 or 1): at most ``sample`` rows of each
-    label, chosen by hash, texts whole; the bias is then moved to the shares that the labels
-    have among all rows. Null texts are empty; rows without doc_id or with another label are
-    left out; with rows of one label only, that label's bias speaks; with none, 0.5."""
-    known = labelled.where("doc_id IS NOT NULL AND label IN (0, 1)").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int")
-    )
-    chosen = sample_ids(known.select("doc_id", "label").distinct(), "label", "doc_id", sample)
-    rows = staged(known.join(chosen.drop("__rank"), ["doc_id", "label"]).repartition(8), "labelled")
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1; one row for each
+    document): at most ``sample`` documents of each label, chosen by hash, texts whole; the bias
+    is then moved to the shares that the labels have among all documents. Texts travel for the
+    sample alone. Null texts are empty; rows without doc_id or with another label are left out;
+    with rows of one label only, that label's bias speaks; with none, the score is 0.5."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").select("doc_id", F.col("label").cast("int"))
+    known = staged(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")
+    chosen = sample_ids(known, "label", "doc_id", sample)
+    rows = staged(texts.join(chosen.drop("place"), "doc_id").repartition(8), "labelled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -135,12 +136,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     made = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id bigint, label int, slots binary, counts binary")
     made = made.toPandas().sort_values(["doc_id", "label", "slots"])
     examples = [
-        (np.frombuffer(s, "<u4"), np.frombuffer(n, "<u4").astype(np.float64), y)
+        (np.frombuffer(s, "<u4"), np.frombuffer(n, "<u4"), y)
         for s, n, y in zip(made["slots"], made["counts"], made["label"])
     ]
-    model = train(examples)
-    all_rows = {r["label"]: r["count"] for r in known.select("doc_id", "label").groupBy("label").count().collect()}
     taken = made["label"].value_counts()
+    del made
+    model = train(examples)
+    all_rows = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     for label in (0, 1):
         if label in taken:
             model.bias[label] += np.log(all_rows[label] / taken[label])
@@ -167,6 +169,6 @@ def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
     not 1. A document that is labelled more than once has its largest label."""
     given = labels.where(remainder("doc_id", 3) != 1).where("quality IN (0, 1)")
     given = given.groupBy("doc_id").agg(F.max("quality").alias("label"))
-    model = fit(docs.select("doc_id", "text").join(given, "doc_id"))
+    model = fit(docs, given)
     held = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
     return score(docs.select("doc_id", held, "text"), model)

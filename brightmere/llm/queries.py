@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import lang_id, packing, pii, quality, warc
+from brightmere.llm import lang_id, minhash, packing, pii, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,12 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op6_pii_weak(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document, with labelers weighed over all documents."""

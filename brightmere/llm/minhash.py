@@ -32,7 +32,7 @@ SLOTS = BANDS * ROWS
 # Candidates whose signatures agree in a smaller share are not verified: at a similarity of 0.8
 # a share under 0.58 is six standard deviations away (one pair in a hundred million).
 AGREE = 0.58
-PIVOTS = 8  # documents of a bucket that its other documents are held against in one later round
+PIVOTS = 8  # documents of a bucket that are held against the others in the first later round
 
 U = np.uint64
 GOLD, FIRST, SECOND = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -198,8 +198,9 @@ def promising(pairs: DataFrame, slim: DataFrame) -> DataFrame:
     return near.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more."""
+def verified(pairs: DataFrame, docs: DataFrame, few: bool = True) -> DataFrame:
+    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more. Texts are partitioned
+    by doc_id, at any size, unless there are ``few`` pairs and Spark finds them small."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", 1_000_000):
@@ -216,6 +217,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = wanted if few else wanted.hint("merge")
     bags = texts.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id bigint, bag binary")
     bags = staged(bags.dropDuplicates(["doc_id"]), "bags")
     both = pairs.join(bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("y")), "b")
@@ -229,10 +231,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more), kept (doc_id = component_id).
 
     Documents with the same words form one class, whose smallest doc_id stands for it from then
-    on. In each bucket the smallest document is held against all others; buckets whose remaining
-    documents still lie in several components go on with more pivots until every pair of a
-    bucket was compared or is connected already, so a large group of near copies costs a round
-    and no group's pairs are written out. Texts without words, null ones too, and rows without
+    on. In each bucket the smallest document is held against all others. Documents of a bucket
+    that stay outside of its component are then held against the whole bucket, some more of them
+    in each round, until every pair of a bucket was compared or is connected already: a large
+    group of near copies costs one round, and no group's pairs are written out. Texts without words, null ones too, and rows without
     doc_id stay alone; rows that repeat a doc_id share its class; no rows give no rows.
     """
     signed = staged(sketches(docs), "signed")
@@ -249,27 +251,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = staged(rows.join(shared, "band"), "buckets")
     pairs = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     tested = staged(promising(pairs, slim), "pairs")
-    links = staged(verified(tested, docs), "links")
-    # documents of larger buckets that were not a pivot yet
-    left, width = members.where("n > 2 AND doc_id <> pivot").select("band", "doc_id"), PIVOTS
+    links = staged(verified(tested, docs, few=False), "links")
+    # in larger buckets, documents that their pivot doesn't link may be linked by others
+    found, width = components(links), PIVOTS
+    linked = links.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"))
+    loose = members.where("n > 2 AND doc_id <> pivot").join(linked, ["pivot", "doc_id"], "left_anti")
     while True:
-        found = components(links)
-        placed = left.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        placed = placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        left = staged(placed.join(mixed.select("band"), "band"), "buckets")
-        if not left.take(1):
+        of_doc = found.select(F.col("id").alias("doc_id"), F.col("component").alias("x"))
+        of_pivot = found.select(F.col("id").alias("pivot"), F.col("component").alias("y"))
+        loose = loose.select("band", "doc_id", "pivot").join(of_doc, "doc_id", "left").join(of_pivot, "pivot", "left")
+        loose = loose.withColumns({"x": F.coalesce("x", "doc_id"), "y": F.coalesce("y", "pivot")}).where("x <> y")
+        loose = staged(loose, "loose")
+        if not loose.take(1):
             break
         part = F.pmod(F.xxhash64("doc_id"), F.lit(width))
-        pivots = left.groupBy("band", part.alias("part")).agg(F.min(F.struct("doc_id", "component")).alias("p"))
-        pivots = pivots.select("band", F.col("p.doc_id").alias("pivot"), F.col("p.component").alias("other"))
-        pairs = left.join(pivots, "band").where("component <> other")
-        pairs = pairs.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
-        new = staged(promising(pairs, slim).join(tested, ["a", "b"], "left_anti"), "pairs")
+        chosen = loose.groupBy("band", part.alias("part")).agg(F.min(F.struct("doc_id", "x")).alias("p"))
+        chosen = staged(chosen.select("band", F.col("p.doc_id").alias("held"), F.col("p.x").alias("other")), "chosen")
+        pairs = members.select("band", "doc_id").join(chosen, "band").join(of_doc, "doc_id", "left")
+        pairs = pairs.where(F.coalesce("x", "doc_id") <> F.col("other"))
+        pairs = pairs.select(F.least("doc_id", "held").alias("a"), F.greatest("doc_id", "held").alias("b")).distinct()
+        new = staged(promising(pairs.join(tested, ["a", "b"], "left_anti"), slim), "pairs")
         tested = tested.unionByName(new)
-        links = links.unionByName(staged(verified(new, docs), "links"))
-        left = left.join(pivots.select("band", F.col("pivot").alias("doc_id")), ["band", "doc_id"], "left_anti")
-        left, width = left.select("band", "doc_id"), width * 4
+        if new.take(1):
+            links = links.unionByName(staged(verified(new, docs), "links"))
+            found = components(links)
+        loose = loose.join(chosen.select("band", F.col("held").alias("doc_id")), ["band", "doc_id"], "left_anti")
+        width *= 4
     own = signed.select("doc_id", "print_a", "print_b", "weight").join(classes, ["print_a", "print_b"], "left")
     own = own.withColumn("class_id", F.when(F.col("weight") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")))
     own = own.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")

@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         chosen = loose.groupBy("band", part.alias("part")).agg(F.min(F.struct("doc_id", "x")).alias("p"))
         chosen = staged(chosen.select("band", F.col("p.doc_id").alias("held"), F.col("p.x").alias("other")), "chosen")
         pairs = members.select("band", "doc_id").join(chosen, "band").join(of_doc, "doc_id", "left")
-        pairs = pairs.where(F.coalesce("x", "doc_id") <> F.col("other"))
+        pairs = pairs.where(F.coalesce("x", "doc_id") != F.col("other"))
         pairs = pairs.select(F.least("doc_id", "held").alias("a"), F.greatest("doc_id", "held").alias("b")).distinct()
         new = staged(promising(pairs.join(tested, ["a", "b"], "left_anti"), slim), "pairs")
         tested = tested.unionByName(new)

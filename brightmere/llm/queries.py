@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import lang_id, minhash, packing, pii, quality, warc
+from brightmere.llm import epsilon_grid, lang_id, lm_scoring, minhash, mixing, packing, pii, quality, topk_blocks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,31 @@ def op1_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op2_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best rows for every fiftieth embedding."""
+    return topk_blocks.search(topk_blocks.quantised(table(spark, folder, "embeddings")), 50, 5)
+
+
+@query
+def op3_epsilon_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.95."""
+    return epsilon_grid.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of all documents for nine tenths of clean tokens."""
+    labelled = mixing.by_labels(table(spark, folder, "labels"))
+    return mixing.rates(table(spark, folder, "documents"), labelled, {"clean": 0.9, "poor": 0.08, "toxic": 0.02})
+
+
+@query
+def op5_hashed_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents, learned from six sevenths of them."""
+    return lm_scoring.score_held_out(table(spark, folder, "documents"))
+
+
 @query
 def op6_pii_weak(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document, with labelers weighed over all documents."""

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from brightmere.llm.common import chunks, remainder, staged, summed
 
-HEAD = 1 << 17  # most frequent words whose counts every task holds
+HEAD = 1 << 17  # at most so many words, the most frequent, have counts that every task holds
 CLASSES = SIZE = 32
 OUTCOMES = CLASSES * SIZE
 TAILS = 64  # buckets of other words; the last outcomes
@@ -100,7 +100,17 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ends = counts.where(F.length("token") == 0).select("n").first()
     words = counts.where(F.length("token") > 0)
-    top = words.orderBy(F.desc("n"), "token").limit(HEAD).collect()
+    # by a histogram of counts, the least count that no more than HEAD words have
+    eighth = F.floor(F.log2("n") * 8).cast("int")
+    found = words.groupBy(eighth.alias("e")).agg(F.count("*").alias("v"), F.min("n").alias("least")).collect()
+    least, room = None, HEAD
+    for r in sorted(found, key=lambda r: -r["e"]):
+        room -= r["v"]
+        if room < 0:
+            break
+        least = r["least"]
+    top = words.where(F.col("n") >= least).collect() if least else []
+    top = sorted(top, key=lambda r: (-r["n"], bytes(r["token"])))
     tail = F.pmod(F.crc32(F.substring("token", -2, 2)), F.lit(TAILS)).alias("bucket")
     tail_n, tail_v = np.zeros(TAILS), np.zeros(TAILS)
     for r in words.groupBy(tail).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():

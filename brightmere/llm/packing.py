@@ -4,7 +4,7 @@ Deficit round-robin over source queues: in each round a queue's credit grows by
 (its share of a window, in 4096ths of a token); the whole tokens of its credit are served and
 the fraction stays as its deficit. The served tokens of all rounds, queue after queue, form one
 stream, and each window takes the next 2048 of it, so every window holds the target proportions
-to a token or so and only the last window can be short. Because a queue's credit after t rounds
+to about a token for each source and only the last window can be short. Because a queue's credit after t rounds
 is a plain product, the round and the place of any token follow from its position in its queue:
 deficits carry over windows and over partitions without a sequential pass.
 

@@ -32,7 +32,8 @@ SLOTS = BANDS * ROWS
 # Candidates whose signatures agree in a smaller share are not verified: at a similarity of 0.8
 # a share under 0.58 is six standard deviations away (one pair in a hundred million).
 AGREE = 0.58
-PIVOTS = 8  # documents of a bucket that are held against the others in the first later round
+PIVOTS = 4  # documents of a bucket that are held against the others in the first such round
+FAMILY = 6  # bands that share their order of pivots
 
 U = np.uint64
 GOLD, FIRST, SECOND = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -198,15 +199,23 @@ def promising(pairs: DataFrame, slim: DataFrame) -> DataFrame:
     return near.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, few: bool = True) -> DataFrame:
-    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more. Texts are partitioned
-    by doc_id, at any size, unless there are ``few`` pairs and Spark finds them small."""
+def multisets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, bag) of the documents ``ids``, staged. Texts are partitioned by doc_id alike at
+    any size."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", 1_000_000):
             made = [numbered(s).tobytes() for s in shingles(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "bag"])
 
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return staged(texts.mapInArrow(sets, "doc_id bigint, bag binary"), "bags")
+
+
+def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
@@ -215,26 +224,28 @@ def verified(pairs: DataFrame, docs: DataFrame, few: bool = True) -> DataFrame:
             ]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = wanted if few else wanted.hint("merge")
-    bags = texts.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id bigint, bag binary")
-    bags = staged(bags.dropDuplicates(["doc_id"]), "bags")
     both = pairs.join(bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("y")), "b")
     both = both.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def paired(rows: DataFrame, one: str, other: str) -> DataFrame:
+    """Distinct pairs (a, b), a < b."""
+    rows = rows.where(F.col(one) != F.col(other))
+    return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): doc_id, class_id (smallest doc_id with the
     same words in order), component_id (smallest doc_id reachable over similarities of 0.8 or
     more), kept (doc_id = component_id).
 
     Documents with the same words form one class, whose smallest doc_id stands for it from then
-    on. In each bucket the smallest document is held against all others. Documents of a bucket
-    that stay outside of its component are then held against the whole bucket, some more of them
-    in each round, until every pair of a bucket was compared or is connected already: a large
-    group of near copies costs one round, and no group's pairs are written out. Texts without words, null ones too, and rows without
+    on. In each bucket a pivot is held against all others. Documents of a bucket that stay
+    outside of its component are held against three more pivots, and those that still do against
+    the whole bucket, some more of them in each round, until every pair of a bucket was compared
+    or is connected already: a large group of near copies costs two rounds, and no group's pairs
+    are written out. Texts without words, null ones too, and rows without
     doc_id stay alone; rows that repeat a doc_id share its class; no rows give no rows.
     """
     signed = staged(sketches(docs), "signed")
@@ -245,38 +256,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = signed.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     heads = staged(heads.where("weight > 0").select("doc_id", "weight", "sketch", "bands").dropDuplicates(["doc_id"]), "heads")
     slim = heads.select("doc_id", "weight", "sketch")
-    rows = heads.select("doc_id", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    shared = shared.where("pivot < last").select("band", "pivot", "n")
-    members = staged(rows.join(shared, "band"), "buckets")
-    pairs = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tested = staged(promising(pairs, slim), "pairs")
-    links = staged(verified(tested, docs, few=False), "links")
-    # in larger buckets, documents that their pivot doesn't link may be linked by others
-    found, width = components(links), PIVOTS
-    linked = links.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"))
-    loose = members.where("n > 2 AND doc_id <> pivot").join(linked, ["pivot", "doc_id"], "left_anti")
-    while True:
-        of_doc = found.select(F.col("id").alias("doc_id"), F.col("component").alias("x"))
-        of_pivot = found.select(F.col("id").alias("pivot"), F.col("component").alias("y"))
-        loose = loose.select("band", "doc_id", "pivot").join(of_doc, "doc_id", "left").join(of_pivot, "pivot", "left")
-        loose = loose.withColumns({"x": F.coalesce("x", "doc_id"), "y": F.coalesce("y", "pivot")}).where("x <> y")
-        loose = staged(loose, "loose")
-        if not loose.take(1):
-            break
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(width))
-        chosen = loose.groupBy("band", part.alias("part")).agg(F.min(F.struct("doc_id", "x")).alias("p"))
-        chosen = staged(chosen.select("band", F.col("p.doc_id").alias("held"), F.col("p.x").alias("other")), "chosen")
-        pairs = members.select("band", "doc_id").join(chosen, "band").join(of_doc, "doc_id", "left")
-        pairs = pairs.where(F.coalesce("x", "doc_id") != F.col("other"))
-        pairs = pairs.select(F.least("doc_id", "held").alias("a"), F.greatest("doc_id", "held").alias("b")).distinct()
+    rows = heads.select("doc_id", F.posexplode("bands").alias("at", "band"))
+    # the pivots of a bucket are its first documents by hashes that bands of one family share,
+    # so the buckets of a group of near copies have few pivots, but not one and the same
+    family = F.floor(F.col("at") / FAMILY).cast("int")
+    first = [F.min(F.struct(F.xxhash64("doc_id", family, F.lit(i)), "doc_id"))["doc_id"].alias(f"p{i}") for i in range(4)]
+    shared = rows.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), *first)
+    members = staged(rows.select("doc_id", "band").join(shared.where("low < high").drop("low", "high"), "band"), "buckets")
+    bags = multisets(members.select("doc_id").distinct(), docs)
+    tested = staged(promising(paired(members, "doc_id", "p0"), slim), "pairs")
+    links = staged(verified(tested, bags), "links")
+    found = components(links)
+
+    def apart(rows: DataFrame, *of: str) -> DataFrame:
+        """Rows with the component of doc_id (x) and of the columns ``of``, where those of the
+        first of them and of doc_id differ."""
+        for name, column in zip(("doc_id", *of), ("x", *(f"y{i}" for i in range(len(of))))):
+            held = found.select(F.col("id").alias(name), F.col("component").alias(column))
+            rows = rows.join(held, name, "left").withColumn(column, F.coalesce(column, name))
+        return rows.where("x <> y0")
+
+    # documents that their first pivot doesn't link, in larger buckets, may be linked by others:
+    # by three more pivots, and where those fail too, they are held against the whole bucket
+    linked = links.select(F.col("a").alias("doc_id"), F.col("b").alias("p0"))
+    linked = linked.unionByName(links.select(F.col("b").alias("doc_id"), F.col("a").alias("p0")))
+    loose = members.where("n > 2 AND doc_id <> p0").join(linked, ["doc_id", "p0"], "left_anti")
+    loose = staged(apart(loose, "p0").select("band", "doc_id", "p0", "p1", "p2", "p3"), "loose")
+    width = 0
+    while loose.take(1):
+        if not width:
+            pairs = loose.select("doc_id", F.explode(F.array("p1", "p2", "p3")).alias("held"))
+        else:
+            part = F.pmod(F.xxhash64("doc_id"), F.lit(width))
+            chosen = loose.groupBy("band", part.alias("part")).agg(F.min("doc_id").alias("held"))
+            chosen = staged(chosen.select("band", "held"), "chosen")
+            pairs = members.select("band", "doc_id").join(chosen, "band")
+            loose = loose.join(chosen.withColumnRenamed("held", "doc_id"), ["band", "doc_id"], "left_anti")
+        pairs = paired(apart(pairs.select("doc_id", "held").distinct(), "held"), "doc_id", "held")
         new = staged(promising(pairs.join(tested, ["a", "b"], "left_anti"), slim), "pairs")
         tested = tested.unionByName(new)
         if new.take(1):
-            links = links.unionByName(staged(verified(new, docs), "links"))
+            links = links.unionByName(staged(verified(new, bags), "links"))
             found = components(links)
-        loose = loose.join(chosen.select("band", F.col("held").alias("doc_id")), ["band", "doc_id"], "left_anti")
-        width *= 4
+        loose = staged(apart(loose.select("band", "doc_id", "p0", "p1", "p2", "p3"), "p0"), "loose")
+        width = width * 4 or PIVOTS
     own = signed.select("doc_id", "print_a", "print_b", "weight").join(classes, ["print_a", "print_b"], "left")
     own = own.withColumn("class_id", F.when(F.col("weight") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")))
     own = own.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")

@@ -22,6 +22,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``staged``, with files dealt by ``key`` into as many buckets as a shuffle has partitions:
+    a join on ``key`` moves the other side only. It is an external table of the session's catalog."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n``; null where the column is null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

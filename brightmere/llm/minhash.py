@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightmere.llm.common import chunks, components, staged
+from brightmere.llm.common import bucketed, chunks, components, staged
 
 WORDS = 5
 SIMILAR = 0.8
@@ -190,18 +190,18 @@ def promising(pairs: DataFrame, slim: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
-            yield batch.filter(pa.array((x == y).mean(1) >= AGREE)).select([0, 1])
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (3, 4))
+            yield batch.filter(pa.array((x == y).mean(1) >= AGREE)).select([0, 1, 2])
 
     a = slim.select(F.col("doc_id").alias("a"), F.col("weight").alias("wa"), F.col("sketch").alias("x"))
     b = slim.select(F.col("doc_id").alias("b"), F.col("weight").alias("wb"), F.col("sketch").alias("y"))
     near = pairs.join(a, "a").join(b, "b").where(F.least("wa", "wb") >= SIMILAR * F.greatest("wa", "wb"))
-    return near.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return near.select("a", "b", "turned", "x", "y").mapInArrow(run, "a bigint, b bigint, turned boolean")
 
 
 def multisets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, bag) of the documents ``ids``, staged. Texts are partitioned by doc_id alike at
-    any size."""
+    """(doc_id, bag) of the documents ``ids``, staged by doc_id, so that rounds of verification
+    move pairs and no bags. Texts are partitioned by doc_id alike at any size."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", 1_000_000):
@@ -210,11 +210,12 @@ def multisets(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return staged(texts.mapInArrow(sets, "doc_id bigint, bag binary"), "bags")
+    return bucketed(texts.mapInArrow(sets, "doc_id bigint, bag binary"), "doc_id", "bags")
 
 
 def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more."""
+    """Pairs (a, b) of documents whose multisets overlap by 0.8 or more. Pairs go to the bags of
+    the members; the bags of the pivots, few, are dealt anew, so a pivot's pairs may be split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,15 +225,20 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             ]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    both = pairs.join(bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("y")), "b")
-    both = both.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("x")), "a")
+    member, pivot = F.when(F.col("turned"), F.col("b")).otherwise(F.col("a")), F.when(F.col("turned"), F.col("a")).otherwise(F.col("b"))
+    pairs = pairs.select("a", "b", member.alias("member"), pivot.alias("pivot"))
+    wanted = pairs.select(F.col("pivot").alias("doc_id")).distinct()
+    held = staged(bags.join(wanted, "doc_id", "left_semi"), "held")
+    both = pairs.join(bags.select(F.col("doc_id").alias("member"), F.col("bag").alias("x")), "member")
+    both = both.join(held.select(F.col("doc_id").alias("pivot"), F.col("bag").alias("y")), "pivot")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def paired(rows: DataFrame, one: str, other: str) -> DataFrame:
-    """Distinct pairs (a, b), a < b."""
-    rows = rows.where(F.col(one) != F.col(other))
-    return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+def paired(rows: DataFrame, member: str, pivot: str) -> DataFrame:
+    """Distinct pairs (a, b), a < b, and whether the pivot is a (turned)."""
+    rows = rows.where(F.col(member) != F.col(pivot))
+    rows = rows.select(F.least(member, pivot).alias("a"), F.greatest(member, pivot).alias("b"), (F.col(pivot) < F.col(member)).alias("turned"))
+    return rows.groupBy("a", "b").agg(F.max("turned").alias("turned"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -296,8 +302,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         new = staged(promising(pairs.join(tested, ["a", "b"], "left_anti"), slim), "pairs")
         tested = tested.unionByName(new)
         if new.take(1):
-            links = links.unionByName(staged(verified(new, bags), "links"))
-            found = components(links)
+            added = staged(verified(new, bags), "links")
+            known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            found = components(known.unionByName(added))
         loose = staged(apart(loose.select("band", "doc_id", "p0", "p1", "p2", "p3"), "p0"), "loose")
         width = width * 4 or PIVOTS
     own = signed.select("doc_id", "print_a", "print_b", "weight").join(classes, ["print_a", "print_b"], "left")

@@ -263,12 +263,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = staged(heads.where("weight > 0").select("doc_id", "weight", "sketch", "bands").dropDuplicates(["doc_id"]), "heads")
     slim = heads.select("doc_id", "weight", "sketch")
     rows = heads.select("doc_id", F.posexplode("bands").alias("at", "band"))
+    # most bands belong to one document and go before anything else is known of them
+    ends = rows.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = ends.where("low < high").select("band")
+    rows = staged(rows.join(shared.hint("merge"), "band", "left_semi"), "shared")
     # the pivots of a bucket are its first documents by hashes that bands of one family share,
     # so the buckets of a group of near copies have few pivots, but not one and the same
     family = F.floor(F.col("at") / FAMILY).cast("int")
     first = [F.min(F.struct(F.xxhash64("doc_id", family, F.lit(i)), "doc_id"))["doc_id"].alias(f"p{i}") for i in range(4)]
-    shared = rows.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), *first)
-    members = staged(rows.select("doc_id", "band").join(shared.where("low < high").drop("low", "high"), "band"), "buckets")
+    pivots = rows.groupBy("band").agg(F.count("*").alias("n"), *first)
+    members = staged(rows.select("doc_id", "band").join(pivots, "band"), "buckets")
     bags = multisets(members.select("doc_id").distinct(), docs)
     tested = staged(promising(paired(members, "doc_id", "p0"), slim), "pairs")
     links = staged(verified(tested, bags), "links")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from brightmere.session import scratch
@@ -83,25 +83,24 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id of ``edges`` (a long, b long); component is the smallest id
     that can be reached. Alternates large and small stars until nothing changes; each step is
     minima by key (combined before the shuffle) and a join back that may split large keys."""
-    now = staged(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars"
-    )
+    def kept(rows: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        mark = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+        return staged(rows.observe(seen, *mark), "stars"), seen.get
+
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    now, mark = kept(links.distinct())
     before = None
-    while True:
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == before:
-            break
+    while mark["n"] and mark != before:
         before = mark
-        if mark["n"] == 0:
-            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u <> v").distinct(), "stars")
+        large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v")))
-        now = staged(small.where("u <> v").distinct(), "stars")
+        now, mark = kept(small.where("u <> v").distinct())
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightmere.llm.common import bucketed, chunks, components, staged
@@ -32,7 +32,8 @@ SLOTS = BANDS * ROWS
 # Candidates whose signatures agree in a smaller share are not verified: at a similarity of 0.8
 # a share under 0.58 is six standard deviations away (one pair in a hundred million).
 AGREE = 0.58
-PIVOTS = 4  # documents of a bucket that are held against the others in the first such round
+# A bucket that is compared whole goes in parts of about so many documents and shingles.
+PART_DOCS, PART_WEIGHT = 2048, 1 << 18
 FAMILY = 6  # bands that share their order of pivots
 
 U = np.uint64
@@ -234,6 +235,80 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def compared(info: DataFrame, exact: bool) -> DataFrame:
+    """Whole buckets, without their pairs being written out. ``info`` has a row for each document:
+    doc_id, component, loose, weight, sketch, bands, own (its buckets, each with the number of
+    parts of its documents and of its loose ones) and, for ``exact``, bag. Each part of a bucket
+    meets each part of the loose documents in one group. Pairs with a loose document, of different
+    components, that weights and signatures allow: with ``exact`` those (a, b) whose multisets
+    overlap by 0.8 or more, else the documents (id) in any such pair. A pair belongs to the first
+    bucket that both have in ``own``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp, weight, loose, visits = (
+            table[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "weight", "loose", "visits")
+        )
+        byte = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SLOTS)
+        band = np.array(table["bands"].to_pylist(), np.int64).reshape(-1, BANDS)
+        bags = [np.frombuffer(x.as_buffer(), U) for x in table["bag"]] if exact else []
+        at, there = table["at"][0].as_py(), np.flatnonzero(~visits)
+        pairs: list[np.ndarray] = []
+        for i in np.flatnonzero(visits):
+            other = (comp[there] != comp[i]) & (~loose[there] | (ids[there] > ids[i]))
+            near = np.minimum(weight[there], weight[i]) >= SIMILAR * np.maximum(weight[there], weight[i])
+            j = there[other & near]
+            j = j[(byte[j] == byte[i]).mean(1) >= AGREE]
+            j = j[((band[j] == band[i]) & (band[i] != 0)).argmax(1) == at]
+            if exact and len(j):
+                size = np.array([len(bags[k]) for k in j])
+                flat = np.concatenate([bags[k] for k in j])
+                place = np.minimum(np.searchsorted(bags[i], flat), len(bags[i]) - 1)
+                both = np.add.reduceat(bags[i][place] == flat, np.cumsum(size) - size, dtype=np.int64)
+                j = j[both / (len(bags[i]) + size - both) >= SIMILAR]
+            if len(j):
+                pairs.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
+        found = np.concatenate(pairs, 1) if pairs else np.empty((2, 0), np.int64)
+        return pa.table({"a": found.min(0), "b": found.max(0)} if exact else {"id": np.unique(found)})
+
+    bucket = info.withColumn("o", F.explode("own"))
+    part = F.pmod(F.xxhash64("doc_id"), F.col("o.parts")).cast("int")
+    visit = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("o.visits")).cast("int")
+
+    def each(n: str, place) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(n).cast("int") - 1), place)
+
+    stays = each("o.visits", lambda k: F.struct(part.alias("p"), k.alias("v"), F.lit(False).alias("visits")))
+    goes = each("o.parts", lambda k: F.struct(k.alias("p"), visit.alias("v"), F.lit(True).alias("visits")))
+    places = F.concat(stays, F.when(F.col("loose"), goes).otherwise(F.slice(goes, 1, 0)))
+    known = F.transform("bands", lambda b: F.when(F.array_contains(F.col("own.band"), b), b).otherwise(F.lit(0).cast("bigint")))
+    bucket = bucket.withColumns({"band": F.col("o.band"), "at": (F.array_position("bands", F.col("o.band")) - 1).cast("int")})
+    bucket = bucket.withColumns({"bands": known, "place": F.explode(places)})
+    columns = ["doc_id", "component", "loose", "weight", "sketch", "bands", "at", *(["bag"] if exact else [])]
+    rows = bucket.select("band", "place.p", "place.v", "place.visits", *columns)
+    return rows.groupBy("band", "p", "v").applyInArrow(run, "a bigint, b bigint" if exact else "id bigint")
+
+
+def remaining(members: DataFrame, loose: DataFrame, heads: DataFrame, found: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links (a, b) between documents ``loose`` (band, doc_id) and their whole buckets."""
+    known = found.select(F.col("id").alias("doc_id"), "component")
+    flags = loose.select("doc_id").distinct().withColumn("loose", F.lit(True))
+    rows = members.select("band", "doc_id").join(loose.select("band").distinct(), "band", "left_semi")
+    rows = rows.join(heads.select("doc_id", "weight"), "doc_id").join(flags, "doc_id", "left")
+    rows = staged(rows.withColumn("loose", F.coalesce("loose", F.lit(False))), "wide")
+
+    def parts(of: Column) -> Column:
+        n, weight = F.sum(of.cast("bigint")), F.sum(F.when(of, F.col("weight")).otherwise(0))
+        return F.greatest(F.ceil(n / PART_DOCS), F.ceil(weight / PART_WEIGHT), F.lit(1))
+
+    sizes = rows.groupBy("band").agg(parts(F.lit(True)).alias("parts"), parts(F.col("loose")).alias("visits"))
+    own = rows.join(sizes, "band").groupBy("doc_id", "loose").agg(F.collect_list(F.struct("band", "parts", "visits")).alias("own"))
+    info = own.join(heads, "doc_id").join(known, "doc_id", "left")
+    info = staged(info.withColumn("component", F.coalesce("component", "doc_id")), "info")
+    # texts' multisets travel for the documents only that some signature is near to
+    near = staged(compared(info, False).select(F.col("id").alias("doc_id")).distinct(), "near")
+    return compared(info.join(near, "doc_id", "left_semi").join(bags, "doc_id"), True)
+
+
 def paired(rows: DataFrame, member: str, pivot: str) -> DataFrame:
     """Distinct pairs (a, b), a < b, and whether the pivot is a (turned)."""
     rows = rows.where(F.col(member) != F.col(pivot))
@@ -241,6 +316,13 @@ def paired(rows: DataFrame, member: str, pivot: str) -> DataFrame:
     return rows.groupBy("a", "b").agg(F.max("turned").alias("turned"))
 
 
+def together(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``found`` (id, component) with more links (a, b)."""
+    if not links.take(1):
+        return found
+    return components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): doc_id, class_id (smallest doc_id with the
     same words in order), component_id (smallest doc_id reachable over similarities of 0.8 or
@@ -249,10 +331,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents with the same words form one class, whose smallest doc_id stands for it from then
     on. In each bucket a pivot is held against all others. Documents of a bucket that stay
     outside of its component are held against three more pivots, and those that still do against
-    the whole bucket, some more of them in each round, until every pair of a bucket was compared
-    or is connected already: a large group of near copies costs two rounds, and no group's pairs
-    are written out. Texts without words, null ones too, and rows without
-    doc_id stay alone; rows that repeat a doc_id share its class; no rows give no rows.
+    the whole bucket, part by part, so every pair of a bucket was compared or is connected
+    already: a large group of near copies costs two rounds, and no group's pairs are written out.
+    Texts without words, null ones too, and rows without doc_id stay alone; rows that repeat a
+    doc_id share its class; no rows give no rows.
     """
     signed = staged(sketches(docs), "signed")
     classes = signed.where("weight > 0 AND doc_id IS NOT NULL").groupBy("print_a", "print_b").agg(
@@ -292,25 +374,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = linked.unionByName(links.select(F.col("b").alias("doc_id"), F.col("a").alias("p0")))
     loose = members.where("n > 2 AND doc_id <> p0").join(linked, ["doc_id", "p0"], "left_anti")
     loose = staged(apart(loose, "p0").select("band", "doc_id", "p0", "p1", "p2", "p3"), "loose")
-    width = 0
-    while loose.take(1):
-        if not width:
-            pairs = loose.select("doc_id", F.explode(F.array("p1", "p2", "p3")).alias("held"))
-        else:
-            part = F.pmod(F.xxhash64("doc_id"), F.lit(width))
-            chosen = loose.groupBy("band", part.alias("part")).agg(F.min("doc_id").alias("held"))
-            chosen = staged(chosen.select("band", "held"), "chosen")
-            pairs = members.select("band", "doc_id").join(chosen, "band")
-            loose = loose.join(chosen.withColumnRenamed("held", "doc_id"), ["band", "doc_id"], "left_anti")
+    if loose.take(1):
+        pairs = loose.select("doc_id", F.explode(F.array("p1", "p2", "p3")).alias("held"))
         pairs = paired(apart(pairs.select("doc_id", "held").distinct(), "held"), "doc_id", "held")
         new = staged(promising(pairs.join(tested, ["a", "b"], "left_anti"), slim), "pairs")
-        tested = tested.unionByName(new)
-        if new.take(1):
-            added = staged(verified(new, bags), "links")
-            known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            found = components(known.unionByName(added))
-        loose = staged(apart(loose.select("band", "doc_id", "p0", "p1", "p2", "p3"), "p0"), "loose")
-        width = width * 4 or PIVOTS
+        found = together(found, staged(verified(new, bags), "links"))
+        loose = staged(apart(loose.select("band", "doc_id", "p0"), "p0"), "loose")
+        if loose.take(1):
+            found = together(found, staged(remaining(members, loose, heads, found, bags), "links"))
     own = signed.select("doc_id", "print_a", "print_b", "weight").join(classes, ["print_a", "print_b"], "left")
     own = own.withColumn("class_id", F.when(F.col("weight") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")))
     own = own.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")

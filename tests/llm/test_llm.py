@@ -84,6 +84,32 @@ def test_near_duplicates_match_all_pairs(spark):
         for _ in range(random.choice([0, 0, 1, 2, 4])):
             text[random.randrange(len(text))] = word()
         rows.append((i * 3, " ".join(text)))
+    check_near_duplicates(spark, rows)
+
+
+def test_near_duplicates_in_whole_buckets(spark, monkeypatch):
+    """Documents of one origin, hardly alike enough, of which some have near copies: pivots link
+    few of them, so buckets are compared whole, in several parts."""
+    monkeypatch.setattr(minhash, "PART_DOCS", 16)
+    monkeypatch.setattr(minhash, "PART_WEIGHT", 3000)
+    called, whole = [], minhash.remaining
+    monkeypatch.setattr(minhash, "remaining", lambda *a: called.append(1) or whole(*a))
+    random.seed(3)
+    origin, rows = [f"w{random.randrange(10**6)}" for _ in range(200)], []
+    for i in range(90):
+        text = list(origin)
+        for at in random.sample(range(0, 200, 5), 4):
+            text[at] = f"x{random.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    for i in range(90, 120):
+        text = random.choice(rows)[1].split()
+        text[random.randrange(200)] = f"y{i}"
+        rows.append((i, " ".join(text)))
+    check_near_duplicates(spark, rows)
+    assert called
+
+
+def check_near_duplicates(spark, rows):
     got = {r["doc_id"]: r for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     bags, root = {i: bag(t) for i, t in rows}, {i: i for i, _ in rows}
     for _ in rows:

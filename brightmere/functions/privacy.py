@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,25 +59,6 @@ def anonymize(
     return df.withColumn(col, masked(F.col(col), replacement, patterns))
 
 
-def anonymize_with(df: DataFrame, col: str, mask: Callable[[str], str]) -> DataFrame:
-    """Mask ``col`` with a Python function, such as a recognition model's, in Arrow batches.
-
-    A text the function fails on becomes NULL, as does a NULL.
-    """
-
-    def safely(text: str | None) -> str | None:
-        try:
-            return None if text is None else mask(text)
-        except Exception:
-            return None
-
-    @F.pandas_udf("string")
-    def masked_batch(texts: pd.Series) -> pd.Series:
-        return texts.map(safely)
-
-    return df.withColumn(col, masked_batch(F.col(col)))
-
-
 def leaks(text: Column, patterns: dict[str, str] = PATTERNS) -> Column:
     """How many patterns still match ``text``."""
     return reduce(

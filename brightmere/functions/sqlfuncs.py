@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from brightmere.functions.scalars import INVALID_STATUS, ORDER_STATUS
+from brightmere.operators.joins import hierarchy
+from brightmere.session import scratch_name
 
 _CASES = " ".join(f"WHEN {code} THEN '{name}'" for code, name in ORDER_STATUS.items())
 
@@ -17,7 +19,8 @@ def register_sql_functions(
     ``order_status_text(code)`` is always there. ``customer_information(id)`` is a table
     function over ``customers (CustomerID, Name, Segment)``, ``all_categories()`` one over
     ``categories (ProductCategoryID, ParentProductCategoryID, Name)``; both name views or
-    tables of the catalog.
+    tables of the catalog. ``all_categories`` gives the tree as it is now: it is walked once,
+    level by level without a bound, and stored in the shared folder.
     """
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION order_status_text(code INT) RETURNS STRING
@@ -31,18 +34,14 @@ def register_sql_functions(
                        WHERE CustomerID = customer_information.wanted"""
         )
     if categories:
-        # The default row limit of recursive queries would stop large category sets.
-        spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+        tree = hierarchy(
+            spark.table(categories), "ProductCategoryID", "ParentProductCategoryID", "Name"
+        )
+        view = scratch_name("all_categories")
+        tree.createOrReplaceTempView(view)
         spark.sql(
             f"""CREATE OR REPLACE TEMPORARY FUNCTION all_categories()
                 RETURNS TABLE (ParentProductCategoryName STRING, ProductCategoryName STRING,
                                ProductCategoryID BIGINT)
-                RETURN WITH RECURSIVE tree(id, parent, name) AS (
-                         SELECT ProductCategoryID, ParentProductCategoryID, Name
-                         FROM {categories} WHERE ParentProductCategoryID IS NULL
-                         UNION ALL
-                         SELECT c.ProductCategoryID, c.ParentProductCategoryID, c.Name
-                         FROM {categories} c JOIN tree t ON c.ParentProductCategoryID = t.id)
-                       SELECT p.Name, tree.name, tree.id
-                       FROM tree JOIN {categories} p ON p.ProductCategoryID = tree.parent"""
+                RETURN SELECT parent_name, Name, ProductCategoryID FROM {view}"""
         )

@@ -216,13 +216,12 @@ def permission_errors(config: DataFrame, known_groups: DataFrame, prefix: str =
     return bad_type.unionByName(bad_group)
 
 
-def check_permissions(config: DataFrame, known_groups: DataFrame, shown: int = 20) -> None:
-    """Raise one error that tells of every faulty entry's number and shows the first ones."""
-    errors = permission_errors(config, known_groups)
-    first = errors.orderBy("path", "group", "error").limit(shown).collect()
-    if first:
-        listed = "; ".join(f"{r['path']} {r['group']}: {r['error']}" for r in first)
-        raise ValueError(f"{errors.count()} faulty permission entries: {listed}")
+def check_permissions(config: DataFrame, known_groups: DataFrame) -> None:
+    """Raise one error that lists every faulty entry of the configuration."""
+    errors = permission_errors(config, known_groups).orderBy("path", "group", "error").collect()
+    if errors:
+        listed = "; ".join(f"{r['path']} {r['group']}: {r['error']}" for r in errors)
+        raise ValueError(f"{len(errors)} faulty permission entries: {listed}")
 
 
 def reconcile(incoming: DataFrame, outgoing: DataFrame, count: str) -> DataFrame:

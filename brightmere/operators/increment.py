@@ -62,21 +62,20 @@ def hwm_copy(
     """
     spark = src.sparkSession
     old = watermark(spark, marks, name)
-    new = src.agg(F.max(F.col(col).cast("timestamp_ntz"))).first()[0]
-    if new is None or new <= old:
+    # The filter comes before the maximum, so that the scan skips what was copied.
+    beyond = src.where(F.col(col) > F.lit(old).cast("timestamp_ntz"))
+    new = beyond.agg(F.max(F.col(col).cast("timestamp_ntz"))).first()[0]
+    if new is None:
         return old, old
-    column = F.col(col).cast("timestamp_ntz")
-    rows = src.where(
-        (column > F.lit(old).cast("timestamp_ntz")) & (column <= F.lit(new).cast("timestamp_ntz"))
-    )
+    rows = beyond.where(F.col(col) <= F.lit(new).cast("timestamp_ntz"))
     rows.write.mode("overwrite").parquet(f"{dst}/{FROM_MARK}={old:%Y%m%dT%H%M%S%f}")
     _note(spark, marks, MARKS_LAYOUT, name, new)
     return old, new
 
 
 def read_increments(spark: SparkSession, dst: str) -> DataFrame:
-    """Everything copied to ``dst`` so far."""
-    return spark.read.parquet(dst).drop(FROM_MARK)
+    """Everything copied to ``dst`` so far, with the columns of all copies (NULL where one lacks them)."""
+    return spark.read.option("mergeSchema", True).parquet(dst).drop(FROM_MARK)
 
 
 def filter_month_version(df: DataFrame, col: str, version: int) -> DataFrame:

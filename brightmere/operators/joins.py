@@ -36,34 +36,43 @@ def parents(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
     return df.join(up, F.col(parent) == F.col("_up")).select(id, name, parent, "parent_name")
 
 
-def hierarchy(
-    df: DataFrame, id: str, parent: str, name: str, max_levels: int = 100
-) -> DataFrame:
+def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
     """Every row that a root (NULL parent) leads to, below the roots: (id, name, parent,
     parent_name, level).
 
-    One join per level of the tree. Each level is written to the shared folder and read
-    back, so a level neither repeats the joins above it nor depends on an executor that
-    held them. Rows on a cycle are reached by no root; a row reached from two parents
-    appears for each. A tree deeper than ``max_levels`` is an error, not a cut.
+    One join per level of the tree, however deep it is. Each level is written to the shared
+    folder and read back, so a level neither repeats the joins above it nor depends on an
+    executor that held them. An id leads on only from the first level that reaches it: a row
+    appears once below each row of its parent on that level, and a cycle, even one that a
+    repeated id ties to a root, comes to an end. Rows on a cycle alone are reached by no root.
     """
     spark = df.sparkSession
     path = scratch(spark, "hierarchy")
     rows = df.select(F.col(id).alias("id"), F.col(name).alias("name"), F.col(parent).alias("parent"))
-    rows.where(F.col("parent").isNull()).select("id", "name").write.parquet(f"{path}/level=0")
-    for level in range(1, max_levels + 3):
-        above = spark.read.parquet(f"{path}/level={level - 1}").select(
+    narrow = spark.read.schema(rows.schema)
+    rows.write.parquet(f"{path}/nodes")
+    nodes = narrow.parquet(f"{path}/nodes")
+    # Where every id has one row, no cycle hangs on a root.
+    repeated = not nodes.groupBy("id").count().where("count > 1").isEmpty()
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    known = spark.read.schema(f"id {types['id']}, name {types['name']}")
+    path = f"{path}/levels"
+    nodes.where(F.col("parent").isNull()).select("id", "name").write.parquet(f"{path}/level=0")
+    level = 0
+    while True:
+        above = known.parquet(f"{path}/level={level}").select(
             F.col("id").alias("_up"), F.col("name").alias("parent_name")
         )
         if above.isEmpty():
             break
-        if level - 1 > max_levels:
-            raise ValueError(f"more than {max_levels} levels below the roots")
-        children = rows.join(above, F.col("parent") == F.col("_up")).select(
+        if repeated and level:
+            reached = known.parquet(*[f"{path}/level={n}" for n in range(level)])
+            above = above.join(reached.select(F.col("id").alias("_up")), "_up", "left_anti")
+        level += 1
+        children = nodes.join(above, F.col("parent") == F.col("_up")).select(
             "id", "name", "parent", "parent_name"
         )
         children.write.parquet(f"{path}/level={level}")
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     layout = (
         f"id {types['id']}, name {types['name']}, parent {types['parent']}, "
         f"parent_name {types['name']}, level INT"

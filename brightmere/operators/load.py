@@ -47,6 +47,7 @@ def overwrite_self(spark: SparkSession, df: DataFrame, table: str, path: str | N
     staging = scratch(spark, "staging")
     _ordered(df, table).write.parquet(staging)
     spark.read.parquet(staging).write.insertInto(table, overwrite=True)
+    remove_folder(spark, staging)
 
 
 def create_or_append(df: DataFrame, table: str, path: str | None = None) -> str:
@@ -152,15 +153,35 @@ def audit_counts(df: DataFrame, file: str, run_id: str) -> DataFrame:
     )
 
 
-def convert(spark: SparkSession, source: str, target: str, casts: dict[str, str], **dialect) -> None:
+def convert(
+    spark: SparkSession, source: str, target: str, casts: dict[str, str],
+    rejects: str | None = None, **dialect,
+) -> int:
     """Copy CSV files (a folder or glob) to Parquet, converting some columns.
 
-    A value that does not convert becomes NULL.
+    A value that does not convert fails the copy; with ``rejects`` its whole row goes there
+    instead, as text and with the names of such columns in ``_failed``. Both folders are
+    replaced, so a repeated copy leaves the same rows. Returns the number of rejected rows.
     """
     rows = read_csv(spark, source, **dialect)
-    rows.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()}).write.mode(
-        "overwrite"
-    ).parquet(target)
+    if rejects is None:
+        fault = {c: F.raise_error(F.concat(F.lit(f"{c} is no {t}: "), F.col(c))) for c, t in casts.items()}
+        converted = {
+            c: F.when(F.col(c).isNull(), F.lit(None).cast(t)).otherwise(
+                F.coalesce(F.col(c).try_cast(t), fault[c].cast(t))
+            )
+            for c, t in casts.items()
+        }
+        rows.withColumns(converted).write.mode("overwrite").parquet(target)
+        return 0
+    names = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in casts.items()]
+    judged = rows.withColumn("_failed", F.array_compact(F.array(*names)))
+    bad = F.size("_failed") > 0
+    judged.where(bad).write.mode("overwrite").parquet(rejects)
+    judged.where(~bad).drop("_failed").withColumns(
+        {c: F.col(c).try_cast(t) for c, t in casts.items()}
+    ).write.mode("overwrite").parquet(target)
+    return spark.read.schema("_failed ARRAY<STRING>").parquet(rejects).count()
 
 
 def save_reference(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -189,16 +210,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def merge_files(
-    spark: SparkSession, source: str, target: str, limit: int = 256 * 1024 * 1024
+    spark: SparkSession, source: str, target: str, file_bytes: int = 256 * 1024 * 1024
 ) -> int:
-    """Rewrite a small Parquet folder as one file; returns the bytes read.
+    """Rewrite a Parquet folder as files of about ``file_bytes``; returns the bytes read.
 
-    One task does the write, so more than ``limit`` bytes of input are refused.
+    One task per file, so an input below that size becomes one file and a larger one as many
+    as it needs.
     """
     rows = spark.read.parquet(source)
     files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
     size = files.agg(F.sum("file_size")).first()[0] or 0
-    if size > limit:
-        raise ValueError(f"{source} holds {size} bytes, more than the {limit} that may become one file")
-    rows.coalesce(1).write.mode("overwrite").parquet(target)
+    rows.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
     return size

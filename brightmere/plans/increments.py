@@ -29,6 +29,20 @@ def hwm_copy(spark, t):
     return increment.read_increments(spark, target).select("o_orderkey", "o_orderdate")
 
 
+@query(
+    "hwm_new_columns",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) > 1997 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def hwm_new_columns(spark, t):
+    """The second copy has a column more."""
+    target, marks = scratch(spark, "copy"), scratch(spark, "marks")
+    narrow = t.orders.where(F.year("o_orderdate") <= 1997).select("o_orderkey", "o_orderdate")
+    wide = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority")
+    for source in (narrow, wide):
+        increment.hwm_copy(source, target, "o_orderdate", marks, "orders")
+    return increment.read_increments(spark, target).select("o_orderkey", "o_orderpriority")
+
+
 @query(
     "hwm_marks",
     """SELECT 0 AS run, TIMESTAMP '1900-01-01' AS old, max(o_orderdate) AS new FROM orders WHERE year(o_orderdate) <= 1997

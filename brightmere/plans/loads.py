@@ -37,7 +37,11 @@ def _bays(t):
     Numbers of finished orders carry a word, low orders no edit time, and urgent ones a
     segment that is no number.
     """
-    return t.orders.select(
+    return _bay_rows(t.orders)
+
+
+def _bay_rows(orders):
+    return orders.select(
         F.lit(None).cast(
             "STRUCT<coordinates: ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>, type: STRING>"
         ).alias("the_geom"),
@@ -72,7 +76,8 @@ def standardize_bad(spark, t):
 
 SENSORS = """SELECT CAST(try_cast(CASE WHEN event_type = 'error' THEN 'n' || user_id ELSE '' || user_id END AS INTEGER) AS VARCHAR) AS bay_id,
                     CASE WHEN event_type <> 'view' THEN event_type END AS st_marker_id,
-                    value >= 20 AS far, 'load-1' AS load_id, count(*) AS events
+                    value >= 20 AS far, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS lon,
+                    'load-1' AS load_id, count(*) AS events
              FROM events GROUP BY ALL"""
 
 
@@ -90,7 +95,7 @@ def _sensors(t):
 
 def _sensor_counts(df):
     bay = F.col("bay_id").cast("string").alias("bay_id")
-    return df.groupBy(bay, "st_marker_id", (F.col("lat") >= 20).alias("far"), "load_id").agg(
+    return df.groupBy(bay, "st_marker_id", (F.col("lat") >= 20).alias("far"), F.col("lon").cast("double").alias("lon"), "load_id").agg(
         F.count(F.lit(1)).alias("events")
     )
 
@@ -109,9 +114,10 @@ def standardize_events_bad(spark, t):
     "parking_load",
     """SELECT '20240301' AS dim_date_id, 19800 AS dim_time_id,
               st_marker_id IS NULL AS marker_unknown,
-              user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F') AS bay_unknown,
+              user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F') AS bay_unknown, location_unknown,
               status, count(*) AS facts
        FROM (SELECT CASE WHEN event_type <> 'view' THEN event_type END AS st_marker_id, user_id,
+                    value IS NULL OR json_extract_string(props, '$.k') IS NULL AS location_unknown,
                     CASE WHEN value > 100 THEN 'Present' ELSE 'Unoccupied' END AS status
              FROM events WHERE event_type <> 'error') GROUP BY ALL""",
 )
@@ -133,10 +139,33 @@ def parking_load(spark, t):
         "dim_time_id",
         (F.col("dim_st_marker_id") == unknown).alias("marker_unknown"),
         (F.col("dim_parking_bay_id") == unknown).alias("bay_unknown"),
+        (F.col("dim_location_id") == unknown).alias("location_unknown"),
         "status",
     ).agg(F.count(F.lit(1)).alias("facts"))
 
 
+FIRST, SECOND = "year(o_orderdate) <= 1997", "year(o_orderdate) >= 1995"
+GOOD = {x: f"SELECT * FROM ({TYPED.replace('FROM orders', f'FROM orders WHERE {x}')}) WHERE bay_id IS NOT NULL" for x in (FIRST, SECOND)}
+
+
+@query(
+    "parking_reload",
+    f"""WITH old AS ({GOOD[FIRST]}), new AS ({GOOD[SECOND]})
+        SELECT bay_id, marker_id, meter_id, rd_seg_id, 'load-2' AS load_id FROM new
+        UNION ALL SELECT bay_id, marker_id, meter_id, rd_seg_id, 'load-1' FROM old WHERE bay_id NOT IN (SELECT bay_id FROM new)""",
+)
+def parking_reload(spark, t):
+    """The bays after a second load, which changes some, adds some and lacks some."""
+    path = scratch(spark, "bays")
+    dim = spark.createDataFrame([], get_schema("dw_dim_parking_bay"))
+    for number, chosen in ((1, F.year("o_orderdate") <= 1997), (2, F.year("o_orderdate") >= 1995)):
+        landed, _ = standardize_parking_bay(_bay_rows(t.orders.where(chosen)), f"load-{number}", LOADED_ON)
+        scd.process_dim_parking_bay(landed, dim, f"load-{number}", LOADED_ON).write.parquet(f"{path}/{number}")
+        dim = spark.read.schema(dim.schema).parquet(f"{path}/{number}")
+    texts = [F.col(c).cast("string").alias(c) for c in ("bay_id", "rd_seg_id")]
+    return dim.select(*texts, "marker_id", "meter_id", "load_id")
+
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
 PLAIN = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 
@@ -332,18 +361,35 @@ def write_roundtrip(spark, t):
     )
 
 
-@query(
-    "convert_csv_parquet",
-    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey FROM orders""",
-)
-def convert_csv_parquet(spark, t):
-    """Customers of low orders are no numbers in the text."""
+def _converted(spark, t):
+    """Orders through text, of which low ones have a customer that is no number: where the rest
+    went, where the rejected rows went, and how many those are."""
     source, target = scratch(spark, "csv"), scratch(spark, "parquet")
     customer = F.when(F.col("o_orderpriority") == "5-LOW", "none").otherwise(F.col("o_custkey").cast("string"))
     t.orders.select("o_orderkey", "o_totalprice", customer.alias("o_custkey")).write.option("header", True).csv(source)
     casts = {"o_orderkey": "bigint", "o_totalprice": "double", "o_custkey": "bigint"}
-    load.convert(spark, f"{source}/*.csv", target, casts)
-    return spark.read.parquet(target).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    rejects = scratch(spark, "rejects")
+    return target, rejects, load.convert(spark, f"{source}/*.csv", target, casts, rejects)
+
+
+@query(
+    "convert_csv_parquet",
+    "SELECT o_orderkey, o_totalprice, o_custkey FROM orders WHERE o_orderpriority <> '5-LOW'",
+)
+def convert_csv_parquet(spark, t):
+    return spark.read.parquet(_converted(spark, t)[0])
+
+
+@query(
+    "convert_rejects",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'none' AS o_custkey, 'o_custkey' AS failed,
+              (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW') AS rejected
+       FROM orders WHERE o_orderpriority = '5-LOW'""",
+)
+def convert_rejects(spark, t):
+    _, rejects, rejected = _converted(spark, t)
+    failed = F.concat_ws(",", "_failed").alias("failed")
+    return spark.read.parquet(rejects).select("o_orderkey", "o_custkey", failed, F.lit(rejected).cast("bigint").alias("rejected"))
 
 
 @query("convert_to_versioned", PLAIN)

@@ -292,21 +292,27 @@ def obs_errors(spark, t):
     return observe.errors(event_log(t))
 
 
-# Which metric an event stands for: by its type, and by whether its value is below 15.
+# Which metric an event stands for: by its type, and by whether its value is below 5, 15 or 30.
+METRIC_BOUNDS = (5, 15, 30)
 METRIC_NAMES = {
-    "click": ("executor.cpuTime", "executor.jvmGCTime"),
-    "view": ("executor.RunTime", "executor.RunTime"),
-    "purchase": ("executor.diskBytesSpilled", "executor.shuffleRemoteBytesReadToDisk"),
-    "signup": ("shuffle-client.usedDirectMemory", "shuffle-client.usedHeapMemory"),
-    "error": ("threadpool.activeTasks", "executor.filesystem.file.read_bytes"),
+    "click": ("executor.resultserializationtime", "executor.cpuTime", "executor.deserializetime", "executor.jvmGCTime"),
+    "view": ("executor.RunTime",) * 4,
+    "purchase": (
+        "executor.memoryBytesSpilled", "executor.diskBytesSpilled",
+        "executor.shuffleTotalBytesRead", "executor.shuffleRemoteBytesReadToDisk",
+    ),
+    "signup": ("shuffle-client.usedDirectMemory",) * 2 + ("shuffle-client.usedHeapMemory",) * 2,
+    "error": ("threadpool.activeTasks",) * 2 + ("executor.filesystem.file.write_bytes", "executor.filesystem.file.read_bytes"),
 }
 
 
 def metric_log(t):
     """Executor metrics, sampled daily: users are executors, errors also come from the driver."""
     name = F.lit("")
-    for kind, (low, high) in METRIC_NAMES.items():
-        metric = F.when(F.col("value") < 15, low).otherwise(high)
+    for kind, metrics in METRIC_NAMES.items():
+        metric = F.lit(metrics[-1])
+        for bound, below in zip(METRIC_BOUNDS[::-1], metrics[-2::-1]):
+            metric = F.when(F.col("value") < bound, below).otherwise(metric)
         name = F.when(F.col("event_type") == kind, metric).otherwise(name)
     executor = F.when((F.col("event_type") == "error") & (F.col("value") >= 15), F.lit("driver")).otherwise(
         F.col("user_id").cast("string")
@@ -320,7 +326,10 @@ def metric_log(t):
 
 
 _NAME_CASES = " ".join(
-    f"WHEN '{kind}' THEN CASE WHEN value < 15 THEN '{low}' ELSE '{high}' END" for kind, (low, high) in METRIC_NAMES.items()
+    f"WHEN '{kind}' THEN CASE "
+    + " ".join(f"WHEN value < {bound} THEN '{below}'" for bound, below in zip(METRIC_BOUNDS, metrics))
+    + f" ELSE '{metrics[-1]}' END"
+    for kind, metrics in METRIC_NAMES.items()
 )
 METRIC_SQL = f"""(SELECT *, date_trunc('day', ts) AS day, value * 100 AS cnt, CASE event_type {_NAME_CASES} END AS metric,
                          CASE WHEN event_type = 'error' AND value >= 15 THEN 'driver' ELSE CAST(user_id AS VARCHAR) END AS executor
@@ -333,10 +342,14 @@ WEEK_BIN = "time_bucket(INTERVAL 7 DAY, day, TIMESTAMP '1970-01-01')"
     "obs_metric_ratio",
     f"""WITH at_once AS (
           SELECT executor, day, max(cnt) FILTER (metric = 'executor.RunTime') AS run,
-                 max(cnt / 1000000) FILTER (metric = 'executor.cpuTime') AS cpu, max(cnt) FILTER (metric = 'executor.jvmGCTime') AS gc
+                 max(cnt / 1000000) FILTER (metric = 'executor.cpuTime') AS cpu, max(cnt) FILTER (metric = 'executor.jvmGCTime') AS gc,
+                 max(cnt) FILTER (metric = 'executor.resultserializationtime') AS ser,
+                 max(cnt) FILTER (metric = 'executor.deserializetime') AS deser
           FROM {METRIC_SQL} GROUP BY ALL),
         shares AS (SELECT 'cpu_percent' AS query, day, executor, cpu * 100 / nullif(run, 0) AS v FROM at_once
-                   UNION ALL SELECT 'jvm_gc_percent', day, executor, gc * 100 / nullif(run, 0) FROM at_once)
+                   UNION ALL SELECT 'jvm_gc_percent', day, executor, gc * 100 / nullif(run, 0) FROM at_once
+                   UNION ALL SELECT 'serialize_percent', day, executor, ser * 100 / nullif(run, 0) FROM at_once
+                   UNION ALL SELECT 'deserialize_percent', day, executor, deser * 100 / nullif(run, 0) FROM at_once)
         SELECT query, {WEEK_BIN} AS time_bin, 'app-1.' || executor AS slice, round(quantile_cont(v, 0.9), 6) AS value
         FROM shares WHERE v IS NOT NULL GROUP BY ALL""",
 )

@@ -47,9 +47,13 @@ def double_price(spark, t):
     "SELECT o_orderkey, o_custkey FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199705'",
 )
 def filter_load(spark, t):
-    """Rows of one load, the load being the order month."""
-    loads = t.orders.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("load_id"))
-    return loads.where(F.col("load_id") == "199705").drop("load_id")
+    """Rows of one load, the load being the order month; a range, which the scan can use."""
+    return t.orders.where(_from_to("o_orderdate", "1997-05-01", "1997-06-01")).select("o_orderkey", "o_custkey")
+
+
+def _from_to(col, low, high):
+    low, high = (F.lit(x).cast("timestamp_ntz") for x in (low, high))
+    return (F.col(col) >= low) & (F.col(col) < high)
 
 
 @query(
@@ -163,8 +167,8 @@ def columns_front(spark, t):
     "SELECT o_orderkey, o_custkey, 1996 AS year FROM orders WHERE year(o_orderdate) = 1996",
 )
 def filter_year(spark, t):
-    dated = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
-    return dated.where(F.col("year") == 1996)
+    dated = t.orders.where(_from_to("o_orderdate", "1996-01-01", "1997-01-01"))
+    return dated.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
 
 
 @query(

@@ -245,6 +245,25 @@ def read_version(spark, t):
     return versions.read_version(spark, _order_versions(spark, t), 1)
 
 
+@query(
+    "read_version_new_columns",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) <= 1998 THEN o_custkey END AS o_custkey,
+              CASE WHEN year(o_orderdate) BETWEEN 1997 AND 1998 THEN o_totalprice END AS o_totalprice,
+              CASE WHEN year(o_orderdate) >= 1999 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def read_version_new_columns(spark, t):
+    """Appends that bring columns and leave others out."""
+    root, year = scratch(spark, "versions"), F.year("o_orderdate")
+    batches = [
+        (year <= 1996, ["o_orderkey", "o_custkey"]),
+        (year.between(1997, 1998), ["o_orderkey", "o_custkey", "o_totalprice"]),
+        (year >= 1999, ["o_orderpriority", "o_orderkey"]),
+    ]
+    for batch, columns in batches:
+        versions.commit(t.orders.where(batch).select(*columns), root)
+    return versions.read_version(spark, root)
+
+
 @query(
     "table_history",
     """SELECT CASE WHEN year(o_orderdate) <= 1996 THEN 0 WHEN year(o_orderdate) <= 1998 THEN 1 ELSE 2 END::BIGINT AS version,
@@ -363,6 +382,23 @@ def topic_table(spark, t):
     return messages.topic_table(_order_messages(t), "/orders/1-URGENT").withColumn("ts", F.col("ts").cast("string"))
 
 
+@query(
+    "topic_table_lines",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS ts, o_orderstatus AS status,
+              CASE WHEN o_custkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+              CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS status_2 FROM orders""",
+)
+def topic_table_lines(spark, t):
+    """Messages that differ in their lines: an even customer comes first, each third has two states."""
+    text = F.concat(
+        F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("customer: "), "o_custkey", F.lit("\n"))).otherwise(""),
+        F.lit("status: "), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("\nstatus: "), "o_orderpriority")).otherwise(""),
+    )
+    sent = t.orders.select(F.lit("/orders").alias("topic"), F.col("o_orderkey").alias("ts"), text.alias("text"))
+    return messages.topic_table(sent, "/orders").withColumn("ts", F.col("ts").cast("string"))
+
+
 @query(
     "parse_access_log",
     """SELECT CAST(page_id AS VARCHAR) AS "client-request-id", url || ';v=' || page_id AS "request-url",

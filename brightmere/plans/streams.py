@@ -175,9 +175,25 @@ def stream_bins(spark, t):
     return _stored(spark, counts, "bins").withColumn("time_bin", F.col("time_bin").cast("timestamp_ntz"))
 
 
-@query("stream_progress")
+@query(
+    "stream_progress",
+    """SELECT q AS query, 'events' AS progress_name, 1::BIGINT AS reports, (SELECT count(*) FROM events) AS input_rows
+       FROM (VALUES ('stream_trigger_latency'), ('stream_processed_rows'), ('stream_input_rows')) v(q)""",
+)
 def stream_progress(spark, t):
-    """Trigger time and row rates of a stream, from its own progress reports."""
-    stream = streams.filter_above(_events(spark, t), "value")
-    done = _finished(streams.sink_files(stream, scratch(spark, "warm"), scratch(spark, "checkpoint")))
-    return observe.stream_p90(streams.progress_events(spark, done, "warm"))
+    """Which rates the reports of a stream give, how many reports, and the rows they count."""
+    log = streams.ProgressLog(spark, scratch(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        writer = _events(spark, t).writeStream.format("parquet").queryName("events").trigger(availableNow=True)
+        writer = writer.option("checkpointLocation", scratch(spark, "checkpoint")).outputMode("append")
+        log.wait(_finished(writer.start(scratch(spark, "events"))))
+    finally:
+        spark.streams.removeListener(log)
+    reports = log.read().where(F.col("progress_name") == "events")
+    rows = F.get_json_object("progress_sources", "$[0].numInputRows").cast("bigint")
+    totals = reports.groupBy("progress_name").agg(
+        F.count_if(rows > 0).alias("reports"), F.sum(rows).alias("input_rows")
+    )
+    names = observe.stream_p90(reports, "1 day").select("query").distinct()
+    return names.withColumn("progress_name", F.lit("events")).join(totals, "progress_name")

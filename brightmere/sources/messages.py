@@ -52,21 +52,41 @@ def stack_messages(df: DataFrame) -> DataFrame:
 
 
 def topic_table(df: DataFrame, topic: str) -> DataFrame:
-    """The messages of one topic as rows: ts and one column per line.
+    """The messages of one topic as rows: ts and one column per name of their lines.
 
-    The columns are named after the lines of the topic's first message; a name that comes
-    again gets a number. A line that a message lacks, or that has no value, is NULL.
+    Every name of every message is a column, in the order of its first position in a
+    message, then by name; a name that comes again in a message gets a number. Values go
+    by name. A line that a message lacks, or that has no value, is NULL; lines without a
+    name are left out. Only the names come to the driver.
     """
-    own = df.where(F.col("topic") == topic)
-    first = own.orderBy("ts").select(F.split("text", "\n").alias("lines")).first()
-    names = []
-    for line in first["lines"] if first else []:
-        name = line.split(":")[0].strip()
-        taken = sum(1 for n in names if n == name or n.startswith(f"{name}_"))
-        names.append(f"{name}_{taken + 1}" if taken else name)
-    lines = F.split("text", "\n")
-    cells = [parse_pair(F.get(lines, F.lit(i)))[1].alias(n) for i, n in enumerate(names) if n]
-    return own.select("ts", *cells)
+    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(*_named_pair(line)))
+    named = F.filter(lines, lambda pair: pair["name"] != "")
+    own = df.where(F.col("topic") == topic).select("ts", named.alias("_lines"))
+
+    def numbered(pair: Column, i: Column) -> Column:
+        before = F.slice("_lines", F.lit(1), i)
+        times = F.size(F.filter(before, lambda other: other["name"] == pair["name"]))
+        key = F.concat((times + 1).cast("string"), F.lit(":"), pair["name"])
+        return F.struct(key.alias("key"), pair["value"].alias("value"))
+
+    cells = own.select("ts", F.transform("_lines", numbered).alias("_cells"))
+    seen = cells.select(F.posexplode("_cells.key").alias("position", "key"))
+    keys = seen.groupBy("key").agg(F.min("position").alias("position")).orderBy("position", "key")
+    columns, taken = [], {"ts"}
+    for row in keys.collect():
+        times, name = row["key"].split(":", 1)
+        label, number = (name, 1) if times == "1" else (f"{name}_{times}", int(times))
+        while label.lower() in taken:
+            number += 1
+            label = f"{name}_{number}"
+        taken.add(label.lower())
+        columns.append(F.try_element_at("_values", F.lit(row["key"])).alias(label))
+    return cells.select("ts", F.map_from_entries("_cells").alias("_values")).select("ts", *columns)
+
+
+def _named_pair(line: Column) -> tuple[Column, Column]:
+    name, value = parse_pair(line)
+    return name.alias("name"), value.alias("value")
 
 
 def topic_file(topic: Column) -> Column:

@@ -4,24 +4,33 @@ Every commit is one partition ``_commit_version=N`` of the data folder. An appen
 adds rows to what earlier commits hold; an overwrite starts the table anew from
 its own commit. A commit becomes visible when its row is in the log, which is
 written after the data, so a failed write leaves nothing a reader can see and a
-retry replaces the half-written partition. One writer at a time. ``vacuum`` removes commits
-that only older versions need.
+retry replaces the half-written partition. The log keeps each commit's layout: an append
+may bring new columns (NULL in earlier rows), an overwrite any layout. One writer at a time.
+``vacuum`` removes commits that only older versions need.
 """
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from brightmere.operators.load import remove_folder
 
 VERSION = "_commit_version"
-LOG_LAYOUT = "version BIGINT, operation STRING, rows BIGINT, committed_at TIMESTAMP"
+LOG_LAYOUT = "version BIGINT, operation STRING, rows BIGINT, committed_at TIMESTAMP, layout STRING"
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     """One row per visible commit."""
+    return _entries(spark, root).drop("layout")
+
+
+def _entries(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.schema(LOG_LAYOUT).parquet(f"{root}/log")
     except AnalysisException as missing:
@@ -36,33 +45,96 @@ def current_version(spark: SparkSession, root: str) -> int:
     return -1 if newest is None else newest
 
 
-def _log(spark: SparkSession, root: str, version: int, operation: str, rows: int) -> None:
+def _log(
+    spark: SparkSession, root: str, version: int, operation: str, rows: int, layout: str | None = None
+) -> None:
     entry = spark.range(0, 1, 1, 1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.lit(operation).alias("operation"),
         F.lit(rows).cast("bigint").alias("rows"),
         F.current_timestamp().alias("committed_at"),
+        F.lit(layout).cast("string").alias("layout"),
     )
     entry.write.mode("append").parquet(f"{root}/log")
 
 
 def commit(df: DataFrame, root: str, operation: str = "append") -> int:
-    """Write ``df`` as the next version and return its number."""
+    """Write ``df`` as the next version and return its number.
+
+    An append whose column has another type than in the table is refused.
+    """
     if operation not in ("append", "overwrite"):
         raise ValueError(f"operation is append or overwrite, not {operation!r}")
     spark = df.sparkSession
-    version = current_version(spark, root) + 1
+    newest, start, _ = _bounds(spark, root, None)
+    version = newest + 1
+    if operation == "append" and newest >= 0:
+        _, conflicts = _merged([*_layouts(spark, root, start, newest), df.schema])
+        if conflicts:
+            raise ValueError(f"columns of another type than in {root}: {sorted(conflicts)}")
     folder = f"{root}/data/{VERSION}={version}"
     df.write.mode("overwrite").parquet(folder)
     rows = spark.read.schema(df.schema).parquet(folder).count()
-    _log(spark, root, version, operation, rows)
+    _log(spark, root, version, operation, rows, df.schema.json())
     return version
 
 
+def _layouts(spark: SparkSession, root: str, low: int, high: int) -> list[StructType]:
+    """The different layouts of the commits ``low`` to ``high``, the oldest first."""
+    wanted = _entries(spark, root).where(
+        F.col("version").between(low, high) & F.col("operation").isin("append", "overwrite")
+    )
+    found = wanted.groupBy("layout").agg(F.min("version").alias("version")).orderBy("version")
+    return [
+        # A log written before layouts were kept has none: the files tell.
+        StructType.fromJson(json.loads(layout))
+        if layout
+        else spark.read.parquet(f"{root}/data/{VERSION}={version}").schema
+        for layout, version in found.collect()
+    ]
+
+
+def _merged(layouts: list[StructType]) -> tuple[StructType, set[str]]:
+    """All columns of ``layouts`` by name, and those that have different types in them."""
+    fields, conflicts = {}, set()
+    for field in (f for layout in layouts for f in layout.fields):
+        known = fields.setdefault(field.name.lower(), StructField(field.name, field.dataType))
+        if known.dataType.simpleString() != field.dataType.simpleString():
+            conflicts.add(known.name)
+    return StructType(list(fields.values())), conflicts
+
+
+def _read(spark: SparkSession, root: str, low: int, high: int, layout: StructType) -> DataFrame:
+    columns = StructType([*layout.fields, StructField(VERSION, LongType())])
+    rows = spark.read.schema(columns).option("basePath", f"{root}/data").parquet(f"{root}/data")
+    return rows.where((F.col(VERSION) >= low) & (F.col(VERSION) <= high))
+
+
 def _commits(spark: SparkSession, root: str, low: int, high: int) -> DataFrame:
-    rows = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
-    in_range = (F.col(VERSION) >= low) & (F.col(VERSION) <= high)
-    return rows.withColumn(VERSION, F.col(VERSION).cast("bigint")).where(in_range)
+    """The rows of the commits ``low`` to ``high`` with the columns of all of them, or with those
+    of the table where there are no such commits.
+
+    Where an overwrite in between changed a column's type, the column is text.
+    """
+    layouts = _layouts(spark, root, low, high)
+    if not layouts:
+        newest, start, _ = _bounds(spark, root, None)
+        layouts = _layouts(spark, root, start, newest)
+    layout, conflicts = _merged(layouts)
+    if not conflicts:
+        return _read(spark, root, low, high, layout)
+    starts = _entries(spark, root).where(
+        (F.col("operation") == "overwrite") & (F.col("version") > low) & (F.col("version") <= high)
+    )
+    bounds = [low, *sorted(r["version"] for r in starts.select("version").collect()), high + 1]
+    parts = []
+    for first, after in zip(bounds, bounds[1:]):
+        own, _ = _merged(_layouts(spark, root, first, after - 1))
+        rows = _read(spark, root, first, after - 1, own)
+        texts = {f.name: F.col(f"`{f.name}`").cast("string") for f in own.fields if f.name in conflicts}
+        parts.append(rows.withColumns(texts) if texts else rows)
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(*[f"`{f.name}`" for f in layout.fields], VERSION)
 
 
 def _bounds(spark: SparkSession, root: str, version: int | None) -> tuple[int, int, int]:

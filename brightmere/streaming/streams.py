@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,8 +151,8 @@ def split_by_limit(
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """What ``split_by_limit`` or ``keep_decoded`` wrote."""
-    return spark.read.parquet(path).drop(BATCH)
+    """What ``split_by_limit`` or ``keep_decoded`` wrote, with the columns of all batches."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(BATCH)
 
 
 def keep_decoded(
@@ -243,7 +244,11 @@ PROGRESS = """query_id STRING, batch_id BIGINT, ts STRING, event STRING, progres
 
 def _progress_row(report, name: str | None) -> tuple:
     sources = [
-        {"inputRowsPerSecond": s.inputRowsPerSecond, "processedRowsPerSecond": s.processedRowsPerSecond}
+        {
+            "numInputRows": s.numInputRows,
+            "inputRowsPerSecond": s.inputRowsPerSecond,
+            "processedRowsPerSecond": s.processedRowsPerSecond,
+        }
         for s in report.sources
     ]
     return (
@@ -261,34 +266,49 @@ def _event_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("time_generated", F.col("ts").cast("timestamp_ntz")).drop("ts")
 
 
-def progress_events(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
-    """A query's recent progress reports as event-log rows for the monitoring queries."""
-    reports = [_progress_row(report, name) for report in query.recentProgress]
-    return _event_rows(spark.createDataFrame(reports, PROGRESS))
-
-
 class ProgressLog(StreamingQueryListener):
     """Appends every progress report of the session's streams to a folder.
 
     A query itself remembers only its last reports; add this with
-    ``spark.streams.addListener`` to keep all of them, and read them with ``read``.
+    ``spark.streams.addListener`` to keep all of them, and read them with ``read``. Reports
+    are written when a stream ends, when they are read, and in lots of ``lot``.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, lot: int = 100):
+        self.spark, self.path, self.lot = spark, path, lot
+        self._rows, self._ended, self._news = [], set(), threading.Condition()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        row = self.spark.createDataFrame([_progress_row(event.progress, None)], PROGRESS)
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        with self._news:
+            self._rows.append(_progress_row(event.progress, None))
+        if len(self._rows) >= self.lot:
+            self._write()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self._write()
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def _write(self) -> None:
+        with self._news:
+            rows, self._rows = self._rows, []
+            if rows:
+                frame = self.spark.createDataFrame(rows, PROGRESS).coalesce(1)
+                frame.write.mode("append").parquet(self.path)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the reports of an ended query have arrived, which Spark delivers a little later."""
+        with self._news:
+            if not self._news.wait_for(lambda: str(query.runId) in self._ended, seconds):
+                raise TimeoutError(f"the end of query {query.runId} was not reported")
 
     def read(self) -> DataFrame:
+        self._write()
         return _event_rows(self.spark.read.schema(PROGRESS).parquet(self.path))

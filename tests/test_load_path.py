@@ -249,13 +249,6 @@ def test_tables_are_all_tried(spark):
     assert spark.catalog.tableExists(good)
 
 
-def test_merge_refuses_large_input(spark, rows):
-    path = scratch(spark, "many")
-    spark.range(1000).repartition(4).write.parquet(path)
-    with pytest.raises(ValueError, match="more than"):
-        load.merge_files(spark, path, scratch(spark, "one"), limit=10)
-
-
 def test_overwrite_self_keeps_the_table_on_failure(spark, rows):
     from pyspark.sql import functions as F
 

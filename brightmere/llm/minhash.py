@@ -245,13 +245,13 @@ def compared(info: DataFrame, exact: bool) -> DataFrame:
     bucket that both have in ``own``."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, weight, loose, visits = (
-            table[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "weight", "loose", "visits")
+        ids, comp, weight, loose, stays, visits = (
+            table[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "weight", "loose", "stays", "visits")
         )
         byte = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SLOTS)
         band = np.array(table["bands"].to_pylist(), np.int64).reshape(-1, BANDS)
         bags = [np.frombuffer(x.as_buffer(), U) for x in table["bag"]] if exact else []
-        at, there = table["at"][0].as_py(), np.flatnonzero(~visits)
+        at, there = table["at"][0].as_py(), np.flatnonzero(stays)
         pairs: list[np.ndarray] = []
         for i in np.flatnonzero(visits):
             other = (comp[there] != comp[i]) & (~loose[there] | (ids[there] > ids[i]))
@@ -274,17 +274,21 @@ def compared(info: DataFrame, exact: bool) -> DataFrame:
     part = F.pmod(F.xxhash64("doc_id"), F.col("o.parts")).cast("int")
     visit = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("o.visits")).cast("int")
 
-    def each(n: str, place) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.col(n).cast("int") - 1), place)
+    def each(n: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(n).cast("int") - 1), make)
 
-    stays = each("o.visits", lambda k: F.struct(part.alias("p"), k.alias("v"), F.lit(False).alias("visits")))
-    goes = each("o.parts", lambda k: F.struct(k.alias("p"), visit.alias("v"), F.lit(True).alias("visits")))
-    places = F.concat(stays, F.when(F.col("loose"), goes).otherwise(F.slice(goes, 1, 0)))
+    def place(p, v, stays: Column, visits: Column) -> Column:
+        return F.struct(p.alias("p"), v.alias("v"), stays.alias("stays"), visits.alias("visits"))
+
+    # a document stays in its part, with each part of the loose ones, and a loose one visits the others
+    stay = each("o.visits", lambda k: place(part, k, F.lit(True), F.col("loose") & (k == visit)))
+    visited = each("o.parts", lambda k: place(k, visit, F.lit(False), F.lit(True)))
+    places = F.concat(stay, F.filter(visited, lambda x: F.col("loose") & (x["p"] != part)))
     known = F.transform("bands", lambda b: F.when(F.array_contains(F.col("own.band"), b), b).otherwise(F.lit(0).cast("bigint")))
     bucket = bucket.withColumns({"band": F.col("o.band"), "at": (F.array_position("bands", F.col("o.band")) - 1).cast("int")})
     bucket = bucket.withColumns({"bands": known, "place": F.explode(places)})
     columns = ["doc_id", "component", "loose", "weight", "sketch", "bands", "at", *(["bag"] if exact else [])]
-    rows = bucket.select("band", "place.p", "place.v", "place.visits", *columns)
+    rows = bucket.select("band", "place.p", "place.v", "place.stays", "place.visits", *columns)
     return rows.groupBy("band", "p", "v").applyInArrow(run, "a bigint, b bigint" if exact else "id bigint")
 
 

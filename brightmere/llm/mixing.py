@@ -38,11 +38,13 @@ def weights(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: in
     """For each domain, the log weight of each slot against the mean of the domains."""
     ids = sample_ids(labelled, "domain", "doc_id", sample)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids.drop("place"), "doc_id")
-    counts = texts.select("domain", F.explode(F.array_distinct(slots(F.col("text")))).alias("slot")).groupBy("domain", "slot").count()
-    size = {r["domain"]: r["count"] for r in ids.groupBy("domain").count().collect()}
+    each = F.concat(F.array(F.lit(-1)), F.array_distinct(slots(F.col("text"))))  # -1 counts the texts themselves
+    counts = texts.select("domain", F.explode(each).alias("slot")).groupBy("domain", "slot").count().collect()
+    size = {r["domain"]: r["count"] for r in counts if r["slot"] < 0}
     shares = {d: [0.5 / (size.get(d, 0) + 1)] * SLOTS for d in domains}
-    for r in counts.collect():  # domains x slots numbers at most
-        shares[r["domain"]][r["slot"]] = (r["count"] + 0.5) / (size[r["domain"]] + 1)
+    for r in counts:  # domains x slots numbers at most
+        if r["slot"] >= 0:
+            shares[r["domain"]][r["slot"]] = (r["count"] + 0.5) / (size[r["domain"]] + 1)
     logs = {d: [math.log(x) for x in shares[d]] for d in domains}
     mean = [sum(logs[d][i] for d in domains) / len(domains) for i in range(SLOTS)]
     # a domain without labelled documents has no evidence for it or against it
@@ -103,6 +105,7 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor:
         grow: float = 1.0) -> tuple[Model, DataFrame]:
     """Learn posteriors from ``labelled`` (doc_id, domain) and fit rates to ``targets`` (weights
     of domains, any positive sum). Returns the model and the staged rows doc_id, __tokens, __p.
+    Labels of documents that ``docs`` lacks count nowhere.
 
     The targets' sum is ``grow`` times the tokens of all documents or, with an ``anchor``, so
     large that this domain's target is ``grow`` times its own tokens. Targets that no rates >= 0
@@ -110,6 +113,7 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor:
     """
     domains = sorted(d for d, w in targets.items() if w >= 0)
     known = labelled.where(F.col("domain").isin(domains)).where("doc_id IS NOT NULL").select("doc_id", "domain")
+    known = staged(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labelled")
     size = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
     priors = [(size.get(d, 0) + 1) / (sum(size.values()) + len(domains)) for d in domains]
     model = Model(domains, priors, weights(docs, known, domains), [0.0] * len(domains))

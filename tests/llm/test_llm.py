@@ -207,6 +207,16 @@ def test_mixing_meets_targets(spark, docs):
     assert np.allclose(found[["p_clean", "p_poor", "p_toxic"]].sum(axis=1), 1)
 
 
+def test_mixing_counts_labels_of_its_own_documents(spark, docs):
+    """Labels of documents that earlier stages dropped change nothing, even if one domain lost most."""
+    labelled = mixing.by_labels(spark.read.parquet(f"{SF}/labels.parquet")).cache()
+    left = docs.join(labelled.where("domain = 'clean' AND pmod(doc_id, 4) > 0"), "doc_id", "left_anti")
+    targets = {"clean": 0.7, "poor": 0.2, "toxic": 0.1}
+    model, _ = mixing.fit(left, labelled, targets)
+    same, _ = mixing.fit(left, labelled.join(left, "doc_id", "left_semi"), targets)
+    assert np.allclose(model.table, same.table) and np.allclose(model.priors, same.priors)
+
+
 def test_mixing_is_native_and_takes_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(1, "x"), (5, "y"), (None, "x")], "doc_id bigint, domain string")
     found = mixing.mix(odd, labelled, {"x": 1, "y": 1})

@@ -7,6 +7,10 @@ expected tokens of the domains, sum of r * tokens * posterior, match the targets
 one distributed sum over the documents, and the gradient's step, scaled by the curvature over the
 documents of a rate above 0, joins the steps before it; r is the projection max(0, 1 - p . g) of
 their sum. g is as many numbers as there are domains, so no state is stored between iterations.
+
+With an anchor, the documents of that domain stay: their projection is max(1, 1 - p . g). What
+they bring of other domains may be more than the targets leave, so a miss of the targets then has
+a price (``SOFT``) beside the change of the rates, and the fit has one solution in any case.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ SAMPLE = 2000  # labelled documents of each domain that the weights are learned
 SHARPNESS = 30.0  # of the posterior: times the mean weight of a word
 ITERATIONS = 25
 NEAR = 1e-6  # share of the targets' sum at which the fit ends
+SOFT = 1e-3  # with an anchor: share of the targets' sum that a domain misses for each unit of its g
+HALVINGS = 6  # of a step that leads away from the solution
 
 
 def slots(text: Column) -> Column:
@@ -63,6 +69,8 @@ class Model:
     priors: list[float]
     table: list[list[float]]  # by domain, of each slot
     step: list[float]
+    anchor: int = -1
+    labels: DataFrame | None = None  # with an anchor: doc_id, __sure (labelled as the anchor alone)
 
     def posterior(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``__tokens`` (words) and ``__p`` (array of the domains' posteriors). Null
@@ -79,10 +87,21 @@ class Model:
         whole = sum((F.get("__grown", F.lit(k)) for k in range(len(self.domains))), F.lit(0.0))
         return found.withColumn("__p", F.transform("__grown", lambda x: x / whole)).drop("__slots", "__logit", "__grown")
 
+    def floors(self, found: DataFrame) -> DataFrame:
+        """``found`` (doc_id, __p) with ``__floor``, the least rate: with an anchor 1 where a document
+        is labelled so or, without a label, no other domain is likelier; 0 for all others."""
+        if self.labels is None:
+            return found.withColumn("__floor", F.lit(0.0))
+        likely = F.get("__p", F.lit(self.anchor)) >= F.array_max("__p")
+        found = found.join(self.labels, "doc_id", "left")
+        return found.withColumn("__floor", F.coalesce("__sure", likely).cast("double")).drop("__sure")
+
+    def moved(self) -> Column:
+        return sum((F.get("__p", F.lit(k)) * g for k, g in enumerate(self.step)), F.lit(0.0))
+
     def rate(self) -> Column:
-        """The rate of a document from ``__p``."""
-        moved = sum((F.get("__p", F.lit(k)) * g for k, g in enumerate(self.step)), F.lit(0.0))
-        return F.greatest(F.lit(0.0), 1 - moved)
+        """The rate of a document from ``__p`` and ``__floor``."""
+        return F.greatest(F.col("__floor"), 1 - self.moved())
 
 
 def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
@@ -104,12 +123,13 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None,
         grow: float = 1.0) -> tuple[Model, DataFrame]:
     """Learn posteriors from ``labelled`` (doc_id, domain) and fit rates to ``targets`` (weights
-    of domains, any positive sum). Returns the model and the staged rows doc_id, __tokens, __p.
+    of domains, any positive sum). Returns the model and the rows doc_id, __tokens, __p, __floor.
     Labels of documents that ``docs`` lacks count nowhere.
 
     The targets' sum is ``grow`` times the tokens of all documents or, with an ``anchor``, so
-    large that this domain's target is ``grow`` times its own tokens. Targets that no rates >= 0
-    can meet are met as nearly as least squares allow; a domain that has no tokens gets none.
+    large that this domain's target is ``grow`` times its own tokens; its documents have rates of
+    one or more. Targets that no such rates can meet are met as nearly as least squares allow; a
+    domain that has no tokens gets none.
     """
     domains = sorted(d for d, w in targets.items() if w >= 0)
     known = labelled.where(F.col("domain").isin(domains)).where("doc_id IS NOT NULL").select("doc_id", "domain")
@@ -117,30 +137,50 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor:
     size = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
     priors = [(size.get(d, 0) + 1) / (sum(size.values()) + len(domains)) for d in domains]
     model = Model(domains, priors, weights(docs, known, domains), [0.0] * len(domains))
-    rows = staged(model.posterior(docs.select("doc_id", "text")).drop("text"), "posteriors")
+    if anchor:
+        model.anchor = domains.index(anchor)
+        model.labels = known.groupBy("doc_id").agg(F.bool_and(F.col("domain") == anchor).alias("__sure"))
+    found = model.posterior(docs.select("doc_id", "text")).drop("text")
+    rows = staged(model.floors(found), "posteriors") if anchor else model.floors(staged(found, "posteriors"))
     at = range(len(domains))
 
-    def sums() -> tuple[list[float], list[list[float]]]:
-        """Expected tokens of each domain, and the curvature over documents of a rate above 0."""
+    def sums() -> tuple[list[float], list[list[float]], float]:
+        """Expected tokens of each domain, the curvature over documents of a rate above its floor,
+        and the least of half the rates' squared changes plus g times the tokens."""
         p = [F.get("__p", F.lit(k)) for k in at]
         rate, n = model.rate(), F.col("__tokens")
-        live = F.when(F.col("__rate") > 0, n).otherwise(F.lit(0.0))
+        live = F.when(F.col("__rate") > F.col("__floor"), n).otherwise(F.lit(0.0))
         each = [F.sum(F.col("__rate") * n * p[k]).alias(f"s{k}") for k in at]
         each += [F.sum(live * p[k] * p[m]).alias(f"h{k}_{m}") for k in at for m in at]
+        change = F.col("__rate") - 1
+        each.append(F.sum(n * (change * change / 2 + F.col("__rate") * model.moved())).alias("least"))
         found = [float(x or 0.0) for x in rows.withColumn("__rate", rate).agg(*each).first()]
-        return found[: len(at)], [found[len(at) * (k + 1) : len(at) * (k + 2)] for k in at]
+        return found[: len(at)], [found[len(at) * (k + 1) : len(at) * (k + 2)] for k in at], found[-1]
 
-    now, curve = sums()
+    now, curve, least = sums()
     whole = sum(targets[d] for d in domains) or 1.0
     share = [targets[d] / whole for d in domains]
-    total = grow * (now[domains.index(anchor)] / share[domains.index(anchor)] if anchor else sum(now))
+    total = grow * (now[model.anchor] / share[model.anchor] if anchor else sum(now))
     wanted = [x * total for x in share]
+    soft = SOFT * total if anchor else 0.0
+
+    def bound(least: float) -> float:
+        """What the steps raise: a lower bound of the fit's squares."""
+        return least - sum(g * w + soft * g * g / 2 for g, w in zip(model.step, wanted))
+
     for _ in range(ITERATIONS):
-        gap = [a - b for a, b in zip(now, wanted)]
+        gap = [a - b - soft * g for a, b, g in zip(now, wanted, model.step)]
         if not total or max(map(abs, gap)) <= NEAR * total:
             break
-        model.step = [a + b for a, b in zip(model.step, solve(curve, gap))]
-        now, curve = sums()
+        held, before = model.step, bound(least)
+        curve = [[x + soft * (k == m) for m, x in enumerate(row)] for k, row in enumerate(curve)]
+        step = solve(curve, gap)
+        for _ in range(HALVINGS + 1):
+            model.step = [a + b for a, b in zip(held, step)]
+            now, curve, least = sums()
+            if bound(least) >= before - 1e-9 * total:
+                break
+            step = [x / 2 for x in step]
     return model, rows
 
 
@@ -155,10 +195,10 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Da
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None,
         grow: float = 1.0) -> DataFrame:
     """``docs`` with each row as often as its rate says: its whole part, and once more where a
-    hash of doc_id falls below the rest. Columns stay as they are."""
+    hash of doc_id falls below the rest. Rows of the ``anchor`` stay. Columns stay as they are."""
     model, _ = fit(docs, labelled, targets, anchor, grow)
     chance = F.xxhash64("doc_id", F.lit("mixing")).cast("double") / 2.0**64 + 0.5
-    found = model.posterior(docs).withColumn("__copies", F.floor(model.rate() + chance).cast("int"))
+    found = model.floors(model.posterior(docs)).withColumn("__copies", F.floor(model.rate() + chance).cast("int"))
     found = found.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
     return found.select(*(F.col(f"`{c}`") for c in docs.columns))
 

@@ -30,8 +30,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture wants them. The targets are set so that clean documents
-    have rates of one or more and stay; poor and toxic ones are thinned out or repeated."""
+    """Documents as often as the mixture wants them. Clean documents, those labelled so and those
+    without a label that are likelier clean than anything else, have rates of one or more and
+    stay; poor and toxic ones are thinned out or repeated, as far as the targets then allow."""
     labelled = mixing.by_labels(table(spark, sf_dir, "labels"))
     return mixing.mix(docs, labelled, {"clean": 0.9, "poor": 0.08, "toxic": 0.02}, "clean", 1.1)
 

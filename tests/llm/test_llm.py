@@ -217,6 +217,31 @@ def test_mixing_counts_labels_of_its_own_documents(spark, docs):
     assert np.allclose(model.table, same.table) and np.allclose(model.priors, same.priors)
 
 
+def test_pipeline_mixture_keeps_clean_documents(spark, docs):
+    """No document that is labelled clean, or unlabelled and likeliest clean, goes; rates solve the
+    least squares with these floors, and toxic documents are thinned out."""
+    import corpus_pipeline
+
+    labelled = mixing.by_labels(spark.read.parquet(f"{SF}/labels.parquet"))
+    label = {r["doc_id"]: r["domain"] for r in labelled.collect()}
+    targets = {"clean": 0.9, "poor": 0.08, "toxic": 0.02}
+    model, rows = mixing.fit(docs, labelled, targets, "clean", 1.1)
+    found = rows.withColumn("rate", model.rate()).toPandas()
+    p, n = np.stack(found["__p"]), found["__tokens"].to_numpy()
+    clean = [label[i] == "clean" if i in label else x.argmax() == 0 for i, x in zip(found["doc_id"], p)]
+    assert np.array_equal(found["__floor"], np.array(clean, float)) and (found["rate"] >= found["__floor"]).all()
+    copies = Counter(r["doc_id"] for r in corpus_pipeline.mixture(spark, docs, SF).select("doc_id").collect())
+    assert all(copies[i] >= 1 for i, x in zip(found["doc_id"], clean) if x)
+    assert all(abs(copies[i] - r) < 1 for i, r in zip(found["doc_id"], found["rate"]))
+    # the optimum: no rate moves without a loss
+    total = 1.1 * (n @ p)[0] / 0.9
+    miss = (n * found["rate"].to_numpy()) @ p - total * np.array([0.9, 0.08, 0.02])
+    best = np.maximum(found["__floor"], 1 - p @ (miss / (mixing.SOFT * total)))
+    assert np.allclose(best, found["rate"], atol=0.01)
+    toxic = [r for i, r in zip(found["doc_id"], found["rate"]) if label.get(i) == "toxic"]
+    assert sum(toxic) < 0.7 * len(toxic)
+
+
 def test_mixing_is_native_and_takes_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(1, "x"), (5, "y"), (None, "x")], "doc_id bigint, domain string")
     found = mixing.mix(odd, labelled, {"x": 1, "y": 1})

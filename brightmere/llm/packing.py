@@ -15,6 +15,7 @@ partition are summed with a window, so a source that holds most rows is spread l
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +55,9 @@ class Encoder:
 
     The pattern of such a vocabulary never joins a visible character with white space after it,
     so a text is cut at single spaces and line ends, and the ids of each word (with its space)
-    are remembered. Texts with other runs of white space are encoded as a whole.
+    are remembered. Texts with other runs of white space are encoded as a whole. Wherever a text
+    holds one of the file's added tokens (of several that begin there the longest), it is cut, and
+    the token's own id stands between the ids of the parts.
     """
 
     def __init__(self, path: str):
@@ -68,6 +71,18 @@ class Encoder:
         }
         if model["model"]["type"] != "BPE" or not plain or model["normalizer"] or len(model["model"]["vocab"]) > 65535:
             raise ValueError("a byte-level BPE without normalizer and of fewer than 65,536 ids is needed")
+        added = model.get("added_tokens") or []
+        other = any(x.get(flag) for x in added for flag in ("lstrip", "rstrip", "single_word"))
+        # those with and those without the flag "normalized" are searched one kind after the other
+        other = other or len({bool(x.get("normalized")) for x in added}) > 1
+        known = dict(model["model"]["vocab"])
+        for x in added:  # tokenizers numbers them itself, whatever the file says
+            other = other or x["id"] != known.setdefault(x["content"], len(known)) or x["id"] > 65535
+        if other:
+            raise ValueError("added tokens need plain flags, of one kind, and the next ids below 65,536")
+        self.added = {x["content"]: np.array([x["id"]], np.uint16).tobytes() for x in added if x["content"]}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         # the byte alphabet of byte-level vocabularies: visible Latin-1 stands for itself
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         code = {chr(b): b for b in shown}
@@ -82,6 +97,14 @@ class Encoder:
         return self.first[first] + b"".join(map(self.later.__getitem__, rest))
 
     def ids(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self.plain(text)
+        # odd places are added tokens
+        parts = enumerate(self.cut.split(text))
+        return b"".join(self.added[part] if i % 2 else self.plain(part) for i, part in parts)
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         lines = text.split("\n")
         for line in lines:
             # one kind of white space, single and inside a line only: else the whole text

@@ -431,6 +431,34 @@ def test_encoder_takes_any_white_space():
         assert np.frombuffer(mine.ids(text), np.uint16).tolist() == encode.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_takes_added_tokens(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    random.seed(8)
+    path = queries.tokenizer()
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    one = model["added_tokens"][0]
+    # a second file: tokens that begin alike, and one with white space
+    made = [dict(one, id=one["id"] + 1 + i, content=x) for i, x in enumerate(["<|end", "<|endoftext|><|x|>", "a  b"])]
+    other = tmp_path / "more.json"
+    other.write_text(json.dumps(model | {"added_tokens": [one, *made]}), encoding="utf-8")
+    for file in (path, str(other)):
+        encode, mine = Tokenizer.from_file(file), packing.Encoder(file)
+        texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n x"]
+        parts = ["<|endoftext|>", "<|end", "oftext|>", "<|x|>", " ", "\n", "a", "  b", "é"]
+        texts += ["".join(random.choices(parts, k=9)) for _ in range(400)]
+        for text in texts:
+            assert np.frombuffer(mine.ids(text), np.uint16).tolist() == encode.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.Encoder(path).ids("a <|endoftext|> b"), np.uint16).tolist() == [64, 220, one["id"], 275]
+    strict = tmp_path / "strict.json"
+    strict.write_text(json.dumps(model | {"added_tokens": [dict(one, rstrip=True)]}), encoding="utf-8")
+    with pytest.raises(ValueError):
+        packing.Encoder(str(strict))
+
+
 # 10
 
 

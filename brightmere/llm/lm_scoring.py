@@ -3,9 +3,13 @@
 The outcomes are the end of a text, the most frequent training words, and buckets of all other
 words by their last two bytes; within a bucket a word has its add-one unigram share, so the
 probabilities of all words, an unseen one among them, add up to one. The softmax is factored:
-first the class of an outcome, then the outcome among the class's. Both parts are log-linear in
-the word before (bigram), the word before that (skip), and both together (trigram); features of
-the second part are hashed together with the class.
+first the class of an outcome, then the outcome among the class's, which again may be groups. All
+parts are log-linear in the word before (bigram), the word before that (skip), and both together
+(trigram), each as an outcome, and in the two words themselves (by hashes) where they are no
+outcomes; features of the later parts are hashed together with the class.
+
+Outcomes and hashed rows grow with the square root of the counted training tokens, as does the
+share of the data that a task learns from, so what the tasks write grows in proportion to the input.
 
 Tasks count repeated (context, outcome) triples of a million positions at once and descend along
 the gradient of each batch of triples; Spark averages the tasks' tables by how often each row was
@@ -33,16 +37,74 @@ HEAD = 1 << 17  # at most so many words, the most frequent, have counts that eve
 CLASSES = SIZE = 32
 OUTCOMES = CLASSES * SIZE
 TAILS = 64  # buckets of other words; the last outcomes
-WORDS = OUTCOMES - TAILS - 1
 START = OUTCOMES  # the context before the first word
 TRIGRAMS = 1 << 13
 MEMBERS = 1 << 15
+RARER = 1 << 15  # rows of contexts that are no outcomes
 POSITIONS = 1_000_000
 BATCH = 1 << 14
 RATE = 0.5
 ROUNDS = 1
 BLOCKS = 32
 FLUSH = 300_000
+ROOT_TOKENS = 1 << 25  # training tokens up to which the tables have the sizes above
+HASHED = 1024  # hashes of the words of a bucket as contexts, at these sizes
+TOKENS_A_ROW = 25  # that a task learns from at least
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Sizes of the tables: multiples, by ``leaves``, a power of two, of those above."""
+
+    leaves: int = 1
+    hashed: int = 0  # hashes of the words of a bucket
+
+    @staticmethod
+    def of(tokens: int) -> Sizes:
+        leaves = 1 << max(0, round(np.log2(max(1, tokens) / ROOT_TOKENS) / 2))
+        return Sizes(leaves, HASHED * leaves)
+
+    @property
+    def outcomes(self) -> int:
+        return OUTCOMES * self.leaves
+
+    @property
+    def words(self) -> int:
+        return self.outcomes - TAILS - 1
+
+    @property
+    def start(self) -> int:
+        return self.outcomes
+
+    @property
+    def contexts(self) -> int:
+        """Outcomes, the start, and the hashed words of the buckets."""
+        return self.outcomes + 1 + TAILS * self.hashed
+
+    @property
+    def trigrams(self) -> int:
+        return TRIGRAMS * self.leaves
+
+    @property
+    def rows(self) -> int:
+        return 2 * (self.start + 1) + self.trigrams + (MEMBERS + RARER) * self.leaves
+
+    @property
+    def widths(self) -> list[int]:
+        """Children of a node of each level of the softmax."""
+        found, left = [CLASSES, SIZE], self.leaves
+        while left > 1:
+            found.append(min(SIZE, left))
+            left //= found[-1]
+        return found
+
+    def context(self, word: bytes) -> int:
+        """The context, and by ``outcome`` the bucket, of a word that is no outcome."""
+        return self.outcomes + 1 + bucket(word) + TAILS * ((zlib.crc32(word) >> 8) % self.hashed)
+
+    def outcome(self, context: np.ndarray) -> np.ndarray:
+        tail = (context - self.outcomes - 1) % TAILS + self.outcomes - TAILS
+        return np.where(context > self.outcomes, tail, context)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -87,23 +149,26 @@ class Vocabulary:
     distinct: int
     tail_n: np.ndarray  # tokens of each bucket
     tail_v: np.ndarray  # distinct tokens of each bucket
+    sizes: Sizes
 
     def table(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
 
-    def outcomes(self) -> np.ndarray:
-        tail = [OUTCOMES - TAILS + bucket(w) for w in self.words[WORDS:]]
-        return np.array([*range(1, min(WORDS, len(self.words)) + 1), *tail], np.uint16)
+    def contexts(self) -> np.ndarray:
+        """Of each of the words, by which its outcome is known too."""
+        tail = [self.sizes.context(w) for w in self.words[self.sizes.words :]]
+        return np.array([*range(1, min(self.sizes.words, len(self.words)) + 1), *tail], np.uint32)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ends = counts.where(F.length("token") == 0).select("n").first()
     words = counts.where(F.length("token") > 0)
-    # by a histogram of counts, the least count that no more than HEAD words have
+    sizes = Sizes.of(sums["n"] or 0)
+    # by a histogram of counts, the least count that no more than HEAD words (or outcomes, if more) have
     eighth = F.floor(F.log2("n") * 8).cast("int")
     found = words.groupBy(eighth.alias("e")).agg(F.count("*").alias("v"), F.min("n").alias("least")).collect()
-    least, room = None, HEAD
+    least, room = None, max(HEAD, sizes.outcomes) if sizes.leaves > 1 else HEAD
     for r in sorted(found, key=lambda r: -r["e"]):
         room -= r["v"]
         if room < 0:
@@ -116,108 +181,126 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     for r in words.groupBy(tail).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         tail_n[r["bucket"]], tail_v[r["bucket"]] = r["n"], r["v"]
     names = [bytes(r["token"]) for r in top]
-    for word, r in zip(names[:WORDS], top):
+    for word, r in zip(names[: sizes.words], top):
         tail_n[bucket(word)] -= r["n"]
         tail_v[bucket(word)] -= 1
     number = np.array([r["n"] for r in top], np.int64)
-    return Vocabulary(names, number, ends["n"] if ends else 0, sums["n"] or 0, sums["v"], tail_n, tail_v)
+    return Vocabulary(names, number, ends["n"] if ends else 0, sums["n"] or 0, sums["v"], tail_n, tail_v, sizes)
 
 
 ENCODED = (
     "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, tail_logs double, "
-    "outcomes binary, rare array<binary>, times array<int>"
+    "contexts binary, rare array<binary>, times array<int>"
 )
 
 
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """Each text as outcomes, with the sums that its frequent words give and its rare words."""
+    """Each text as contexts, by which its outcomes are known, with the sums that its frequent words give and its rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, outcome, logs = words.table(), words.outcomes(), np.log10(words.counts + 1.0)
+        table, context, logs = words.table(), words.contexts(), np.log10(words.counts + 1.0)
+        sizes = words.sizes
         end, row = float(np.log10(words.ends + 1)), TaskContext.get().partitionId() << 40
         for batch in chunks(batches, "text"):
             made = []
             for text in batch.column(2).to_pylist():
                 found = tokens(text)
                 at = np.fromiter(map(table.get, found, repeat(-1)), np.int64, len(found))
-                out = np.zeros(len(found) + 1, np.uint16)
+                out = np.zeros(len(found) + 1, np.uint32)
                 have = at >= 0
-                out[:-1][have] = outcome[at[have]]
+                out[:-1][have] = context[at[have]]
                 rare: dict[bytes, int] = {}
                 for i in np.flatnonzero(~have).tolist():
                     word = found[i]
-                    out[i] = OUTCOMES - TAILS + bucket(word)
+                    out[i] = sizes.context(word)
                     rare[word] = rare.get(word, 0) + 1
                 log = logs[at[have]]
                 made.append((row, len(out), int(have.sum()) + (words.ends > 0), float(log.sum()) + end,
-                             float(log[at[have] >= WORDS].sum()), out.tobytes(), list(rare), list(rare.values())))
+                             float(log[at[have] >= sizes.words].sum()), out.tobytes(), list(rare), list(rare.values())))
                 row += 1
             key, n, known, log, tail, out, rare, times = zip(*made)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key, pa.int64()), batch.column(0), batch.column(1), pa.array(n, pa.int64()),
                  pa.array(known, pa.int64()), pa.array(log, pa.float64()), pa.array(tail, pa.float64()),
                  pa.array(out, pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
-                ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "tail_logs", "outcomes", "rare", "times"],
+                ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "tail_logs", "contexts", "rare", "times"],
             )
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, ENCODED)
 
 
-def triples(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def triples(texts: list[np.ndarray], sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
     """(word before last, word before, outcome) of each position as one number, and its text."""
     one = np.concatenate(texts).astype(np.int64)
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-    before = np.r_[START, one[:-1]]
+    before = np.r_[sizes.start, one[:-1]]
     first = np.r_[True, owner[1:] != owner[:-1]]
-    before[first] = START
-    skipped = np.r_[START, before[:-1]]
-    skipped[first] = START
-    return (skipped * (START + 1) + before) * OUTCOMES + one, owner
+    before[first] = sizes.start
+    skipped = np.r_[sizes.start, before[:-1]]
+    skipped[first] = sizes.start
+    return (skipped * sizes.contexts + before) * sizes.outcomes + sizes.outcome(one), owner
 
 
 class Model:
-    """Tables of the two softmaxes. ``weights`` has the rows of the first (bigrams, skips, hashed
-    trigrams), then the hashed rows of the second."""
-
-    ROWS = 2 * (START + 1) + TRIGRAMS + MEMBERS
-
-    def __init__(self, bias: np.ndarray, weights: np.ndarray):
-        self.weights = weights
-        self.second = bias.reshape(CLASSES, SIZE).astype(np.float32)  # log counts of outcomes
-        top = self.second.max(1, keepdims=True)
-        self.first = (np.log(np.exp(self.second - top).sum(1)) + top[:, 0]).astype(np.float32)
-
-    def rows(self, triple: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Class, place in the class, rows of the first and of the second part."""
-        outcome, context = triple % OUTCOMES, triple // OUTCOMES
-        before, skipped = context % (START + 1), context // (START + 1)
-        mixed = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        mixed = mixed.astype(np.int64)
-        one = np.stack([before, START + 1 + skipped, 2 * (START + 1) + mixed % TRIGRAMS])
-        kind = outcome // SIZE
-        seed = np.stack([before, skipped + 5_000, mixed + 50_000]) * CLASSES + kind
-        seed = (seed.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(49)
-        return kind, outcome % SIZE, one, seed.astype(np.int64) % MEMBERS + 2 * (START + 1) + TRIGRAMS
+    """Tables of the softmaxes. ``weights`` has the rows of the first (bigrams, skips, hashed
+    trigrams), then the hashed rows of the others."""
+
+    ROWS = Sizes().rows
+
+    def __init__(self, bias: np.ndarray, weights: np.ndarray, sizes: Sizes = Sizes()):
+        self.weights, self.sizes = weights, sizes
+        self.bias = []  # of each level the log counts of the children (SIZE places) of each node
+        below = bias.astype(np.float32)  # log counts of outcomes
+        for width in reversed(sizes.widths):
+            below = below.reshape(-1, width)
+            self.bias.insert(0, np.pad(below, ((0, 0), (0, SIZE - width)), constant_values=-1e30))
+            top = below.max(1)
+            below = np.log(np.exp(below - top[:, None]).sum(1)) + top
+
+    def rows(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level the node, the place among its children, and the rows."""
+        sizes = self.sizes
+        outcome, context = triple % sizes.outcomes, triple // sizes.outcomes
+        before, skipped = context % sizes.contexts, context // sizes.contexts
+        rarer = np.stack([np.where(x > sizes.start, x, 0) * 2 + i for i, x in enumerate((before, skipped))])
+        before, skipped = sizes.outcome(before), sizes.outcome(skipped)
+        context = (skipped * (sizes.start + 1) + before).astype(np.uint64)
+        mixed = ((context * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+        three = np.stack([before * 3, skipped * 3 + 1, mixed * 3 + 2])
+        free = 2 * (sizes.start + 1) + sizes.trigrams  # the first hashed row
+        span, nodes = sizes.outcomes, 1
+        for level, width in enumerate(sizes.widths):
+            node, span = outcome // span, span // width
+
+            def hashed(x: np.ndarray, low: int, n: int) -> np.ndarray:
+                seed = (x * (2 * sizes.outcomes) + nodes + node).astype(np.uint64)
+                return ((seed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.int64) % n + low
+
+            if level:
+                rows = hashed(three, free, MEMBERS * sizes.leaves)
+            else:
+                rows = np.stack([before, sizes.start + 1 + skipped, 2 * (sizes.start + 1) + mixed % sizes.trigrams])
+            words = hashed(rarer, free + MEMBERS * sizes.leaves, RARER * sizes.leaves)
+            yield node, outcome // span % width, np.concatenate([rows, words])
+            nodes *= width
 
     @staticmethod
     def soft(logit: np.ndarray) -> np.ndarray:
         logit = np.exp(logit - logit.max(1, keepdims=True))
         return logit / logit.sum(1, keepdims=True)
 
-    def parts(self, triple: np.ndarray):
-        kind, place, one, two = self.rows(triple)
+    def parts(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level the place, the rows and the probabilities of all places."""
         w = self.weights
-        first = self.soft(self.first + w[one[0]] + w[one[1]] + w[one[2]])
-        second = self.soft(self.second[kind] + w[two[0]] + w[two[1]] + w[two[2]])
-        return kind, place, one, two, first, second
+        for bias, (node, place, rows) in zip(self.bias, self.rows(triple)):
+            yield place, rows, self.soft(sum((w[x] for x in rows), bias[node]))
 
     def logs(self, triple: np.ndarray) -> np.ndarray:
         """log10 of the probability of each triple's outcome, a batch at a time."""
-        out = np.empty(len(triple))
+        out = np.zeros(len(triple))
         for low in range(0, len(triple), BATCH):
-            kind, place, _, _, first, second = self.parts(triple[low : low + BATCH])
-            at = np.arange(len(kind))
-            out[low : low + BATCH] = np.log10(first[at, kind]) + np.log10(second[at, place])
+            for place, _, found in self.parts(triple[low : low + BATCH]):
+                out[low : low + BATCH] += np.log10(found[np.arange(len(place)), place])
         return out
 
     def learn(self, triple: np.ndarray, times: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
@@ -226,26 +309,23 @@ class Model:
         for low in range(0, len(triple), BATCH):
             some = random[low : low + BATCH]
             n = times[some].astype(np.float32)
-            kind, place, one, two, first, second = self.parts(triple[some])
-            at = np.arange(len(some))
-            first[at, kind] -= 1
-            second[at, place] -= 1
-            first *= n[:, None]
-            second *= n[:, None]
-            for rows, gap in [*((r, first) for r in one), *((r, second) for r in two)]:
-                order = np.argsort(rows, kind="stable")
-                start = np.flatnonzero(np.diff(rows[order], prepend=-1))
-                slope = np.add.reduceat(gap[order], start, axis=0)
-                row = rows[order[start]]
-                touched[row] += np.add.reduceat(n[order], start)
-                squares[row] += (slope * slope).mean(1)
-                self.weights[row] -= (RATE / np.sqrt(squares[row] + 1.0))[:, None] * slope
+            for place, every, gap in list(self.parts(triple[some])):
+                gap[np.arange(len(some)), place] -= 1
+                gap *= n[:, None]
+                for rows in every:
+                    order = np.argsort(rows, kind="stable")
+                    start = np.flatnonzero(np.diff(rows[order], prepend=-1))
+                    slope = np.add.reduceat(gap[order], start, axis=0)
+                    row = rows[order[start]]
+                    touched[row] += np.add.reduceat(n[order], start)
+                    squares[row] += (slope * slope).mean(1)
+                    self.weights[row] -= (RATE / np.sqrt(squares[row] + 1.0))[:, None] * slope
 
 
 def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
-    """Rows until they have about a million positions, with their outcomes."""
+    """Rows until they have about a million positions, with their contexts."""
     for batch in batches:
-        texts = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column(column)]
+        texts = [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(column)]
         low, n = 0, 0
         for i, x in enumerate(texts):
             n += len(x)
@@ -255,61 +335,66 @@ def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[l
 
 
 def train(rows: DataFrame, words: Vocabulary) -> Model:
-    """Fit the tables to the training rows of ``rows`` (held_out, outcomes)."""
-    bias = np.zeros(OUTCOMES)
+    """Fit the tables to the training rows of ``rows`` (held_out, contexts)."""
+    sizes = words.sizes
+    bias = np.zeros(sizes.outcomes)
     bias[0] = words.ends
-    bias[1 : len(words.counts[:WORDS]) + 1] = words.counts[:WORDS]
-    bias[OUTCOMES - TAILS :] = words.tail_n + words.tail_v + 1
+    bias[1 : len(words.counts[: sizes.words]) + 1] = words.counts[: sizes.words]
+    bias[sizes.outcomes - TAILS :] = words.tail_n + words.tail_v + 1
     bias = np.log(bias + 0.5)
-    weights = np.zeros((Model.ROWS, SIZE), np.float32)
-    step = -(-Model.ROWS // BLOCKS)
+    blocks = BLOCKS * sizes.leaves
+    weights, step = None, -(-sizes.rows // blocks)
+    # tables of all tasks are summed: not more tasks than tokens are worth it
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, words.total // (TOKENS_A_ROW * sizes.rows))
+    known = rows.where("NOT held_out").select("contexts").coalesce(tasks)
     for _ in range(ROUNDS):
         begin = weights
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
-            model = Model(bias, begin.copy())
-            squares, touched = (np.zeros(Model.ROWS, np.float32) for _ in range(2))
+            model = Model(bias, np.zeros((sizes.rows, SIZE), np.float32) if begin is None else begin.copy(), sizes)
+            squares, touched = (np.zeros(sizes.rows, np.float32) for _ in range(2))
             held, n = [], 0
             for _, texts in texts_of(batches, 0):
                 held += [x.copy() for x in texts]
                 n += sum(map(len, texts))
                 if n >= POSITIONS:
-                    model.learn(*np.unique(triples(held)[0], return_counts=True), squares, touched)
+                    model.learn(*np.unique(triples(held, sizes)[0], return_counts=True), squares, touched)
                     held, n = [], 0
             if held:
-                model.learn(*np.unique(triples(held)[0], return_counts=True), squares, touched)
-            if touched.any():
-                moved = np.c_[(model.weights - begin) * touched[:, None], touched].astype(np.float32)
-                blocks = [moved[i * step : (i + 1) * step].tobytes() for i in range(BLOCKS)]
+                model.learn(*np.unique(triples(held, sizes)[0], return_counts=True), squares, touched)
+            for i in range(blocks if touched.any() else 0):
+                part = slice(i * step, (i + 1) * step)
+                moved = model.weights[part] - (0 if begin is None else begin[part])
+                moved = np.c_[moved * touched[part, None], touched[part]].astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], ["block", "data"]
+                    [pa.array([i], pa.int32()), pa.array([moved.tobytes()], pa.binary())], ["block", "data"]
                 )
 
-        known = rows.where("NOT held_out").select("outcomes")
         found = summed(known.mapInArrow(run, "block int, data binary"), "float32")
         if found:
-            moved = np.concatenate([found[i].reshape(-1, SIZE + 1) for i in range(BLOCKS)])
-            weights = begin + moved[:, :SIZE] / np.maximum(moved[:, SIZE:], 1e-9)
-    return Model(bias, weights)
+            moved = np.concatenate([found[i].reshape(-1, SIZE + 1) for i in range(blocks)])
+            weights = (0 if begin is None else begin) + moved[:, :SIZE] / np.maximum(moved[:, SIZE:], 1e-9)
+    return Model(bias, np.zeros((sizes.rows, SIZE), np.float32) if weights is None else weights, sizes)
 
 
 def scored(rows: DataFrame, model: Model, words: Vocabulary) -> DataFrame:
     """The rows with ``made``: log10 of the outcomes' probabilities and of the shares that tail
     words have of one count in their bucket."""
-    shares = np.zeros(OUTCOMES)
-    shares[OUTCOMES - TAILS :] = np.log10(words.tail_n + words.tail_v + 1)
+    sizes = words.sizes
+    shares = np.zeros(sizes.outcomes)
+    shares[sizes.outcomes - TAILS :] = np.log10(words.tail_n + words.tail_v + 1)
     names = ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "tail_logs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(batches, len(names)):
-            triple, owner = triples(texts)
+            triple, owner = triples(texts, sizes)
             distinct, at = np.unique(triple, return_inverse=True)
-            log = model.logs(distinct) - shares[distinct % OUTCOMES]
+            log = model.logs(distinct) - shares[distinct % sizes.outcomes]
             made = np.bincount(owner, log[at], minlength=len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(made)], [*names, "made"])
 
     kind = "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, tail_logs double, made double"
-    return rows.select(*names, "outcomes").mapInArrow(run, kind)
+    return rows.select(*names, "contexts").mapInArrow(run, kind)
 
 
 def score_held_out(docs: DataFrame) -> DataFrame:

@@ -287,6 +287,31 @@ def test_lm_beats_unigrams_and_adds_up(spark, docs):
     assert words.total == sum(len(plain(r["text"])) for r in docs.select("text").collect())
 
 
+def test_lm_tables_grow_with_the_tokens(spark, docs, monkeypatch):
+    rng = np.random.default_rng(2)
+    for leaves in (2, 32, 64):  # three levels, a full third one, four levels
+        sizes = lm_scoring.Sizes(leaves, 4)
+        model = lm_scoring.Model(rng.normal(size=sizes.outcomes), rng.normal(size=(sizes.rows, lm_scoring.SIZE)).astype(np.float32), sizes)
+        every = (sizes.contexts * (sizes.contexts - 1) + 5) * sizes.outcomes + np.arange(sizes.outcomes)
+        assert (10.0 ** model.logs(every)).sum() == pytest.approx(1, abs=1e-4)
+        assert all(rows.max() < sizes.rows for _, _, rows in model.rows(every))
+    small, large = lm_scoring.Sizes.of(10**6), lm_scoring.Sizes.of(10**10)
+    assert large.outcomes == 16 * small.outcomes and large.rows > 15 * small.rows
+    # words of one bucket are contexts of their own
+    one, two = (small.context(x) for x in (b"nearing", b"thing"))
+    assert one != two and small.outcome(np.array([one]))[0] == small.outcome(np.array([two]))[0]
+    model = lm_scoring.Model(np.zeros(small.outcomes), rng.normal(size=(small.rows, lm_scoring.SIZE)).astype(np.float32), small)
+    after = [model.logs((7 * small.contexts + x) * small.outcomes + np.arange(9)) for x in (one, two)]
+    assert not np.allclose(*after)
+    monkeypatch.setattr(lm_scoring, "ROOT_TOKENS", 2000)
+    words = lm_scoring.vocabulary(lm_scoring.counted(docs.select("text")))
+    assert words.sizes.leaves > 1 and len(words.contexts()) == len(words.words) > 959
+    assert words.tail_n.sum() + words.counts[: words.sizes.words].sum() + words.ends == words.total
+    found = lm_scoring.score_held_out(docs).toPandas()
+    for _, part in found.groupby("held_out"):
+        assert part["score"].sum() > part["base_score"].sum()
+
+
 # 6
 
 PATTERNS = {

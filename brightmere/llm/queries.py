@@ -1,5 +1,5 @@
 """The queries of this folder over the standard tables. Each applies one operator with production
-parameters to its whole table; none has a SQL equivalent, so tests hold them against brute force."""
+parameters to its whole table. op10 has SQL; tests hold the others against brute force."""
 
 from __future__ import annotations
 
@@ -88,3 +88,20 @@ def op9_pack_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def op10_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     """Write all pages as seekable archives, read the archives, resolve the revisits."""
     return warc.records(warc.read(spark, warc.write(table(spark, folder, "pages"))))
+
+
+SQL["op10_warc_bundles"] = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100
+    GROUP BY payload_digest HAVING count(*) > 1
+), referred AS (
+    SELECT payloads.*, CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+    FROM payloads LEFT JOIN firsts USING (payload_digest)
+)
+SELECT page_id, payload_bytes, payload_digest, refers_to,
+    CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type
+FROM referred
+"""

@@ -511,6 +511,19 @@ def test_warc_round_trip(spark):
     assert warc.records(warc.read(spark, none)).collect() == []
 
 
+def test_warc_bundles_match_their_sql(spark, tmp_path):
+    from tests import oracle
+
+    name = "op10_warc_bundles"
+    con = oracle.connect(SF)
+    assert oracle.differences(spark, con, name, queries.QUERIES[name], queries.SQL[name], SF) == []
+    # and with equal payloads around the least size of a revisit, in bytes
+    rows = [(4, "a", "é" * 50), (2, "b", "é" * 50), (None, "c", "é" * 50), (7, "d", "x" * 99), (8, "d", "x" * 99), (9, None, None)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert oracle.differences(spark, con, name, queries.QUERIES[name], queries.SQL[name], str(tmp_path)) == []
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

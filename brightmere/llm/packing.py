@@ -97,7 +97,7 @@ class Encoder:
         return self.first[first] + b"".join(map(self.later.__getitem__, rest))
 
     def ids(self, text: str) -> bytes:
-        if self.cut is None or not self.cut.search(text):
+        if not any(x in text for x in self.added):
             return self.plain(text)
         # odd places are added tokens
         parts = enumerate(self.cut.split(text))

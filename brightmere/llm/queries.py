@@ -1,5 +1,6 @@
 """The queries of this folder over the standard tables. Each applies one operator with production
-parameters to its whole table. op10 has SQL; tests hold the others against brute force."""
+parameters to its whole table. Those with SQL are compared with it; tests hold the others against
+brute force."""
 
 from __future__ import annotations
 
@@ -7,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import epsilon_grid, lang_id, lm_scoring, minhash, mixing, packing, pii, quality, topk_blocks, warc
+from brightmere.llm import epsilon_grid, lang_id, lexical_scan, lm_scoring, minhash, mixing, packing, pii, quality
+from brightmere.llm import topk_blocks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,6 +92,12 @@ def op10_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.records(warc.read(spark, warc.write(table(spark, folder, "pages"))))
 
 
+@query
+def op13_aho_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return lexical_scan.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 SQL["op10_warc_bundles"] = """
 WITH payloads AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
@@ -105,3 +113,31 @@ SELECT page_id, payload_bytes, payload_digest, refers_to,
     CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type
 FROM referred
 """
+
+SQL["op13_aho_scan"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), texts AS (
+    SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
+), wanted AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts) GROUP BY item_id, term
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0
+), held AS (
+    SELECT r, doc_id, length, term, count(*) AS tf FROM (
+        SELECT r, doc_id, len(terms) AS length, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY r, doc_id, length, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM held, totals GROUP BY term
+), scored AS (
+    SELECT item_id, r, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * length * n_docs) // n_terms))))::BIGINT AS score
+    FROM held JOIN weights USING (term) JOIN wanted USING (term), totals WHERE doc_id IS NOT NULL GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""

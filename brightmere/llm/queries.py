@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from brightmere.llm import epsilon_grid, lang_id, lexical_scan, lm_scoring, minhash, mixing, packing, pii, quality
-from brightmere.llm import topk_blocks, warc
+from brightmere.llm import prefix_trie, topk_blocks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,6 +92,12 @@ def op10_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.records(warc.read(spark, warc.write(table(spark, folder, "pages"))))
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes that the rebuilt conversations share."""
+    return prefix_trie.rebuilt_trie(table(spark, folder, "conversations")).drop("a", "b")
+
+
 @query
 def op13_aho_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The twenty best documents for every benchmark item."""
@@ -114,6 +120,44 @@ SELECT page_id, payload_bytes, payload_digest, refers_to,
 FROM referred
 """
 
+SQL["op12_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+        sha256(coalesce(text, ''))) AS place, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list(said ORDER BY place) AS said, conv_id - conv_id % 100 AS first,
+        xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+            lambda x: ascii(x)::BIGINT)), lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, step: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+    FROM turns GROUP BY conv_id
+), convs AS (
+    SELECT own.conv_id, list_concat(coalesce(opening.said[1:own.h], []), own.said[own.h + 1:]) AS said
+    FROM own LEFT JOIN own AS opening ON own.first = opening.conv_id
+), whole AS (
+    SELECT said, len(said) AS length, count(*) AS n, min(conv_id) AS conv_id,
+        sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM convs GROUP BY said
+), paths AS (
+    SELECT unnest(range(0, length + 1)) AS depth, said AS all_said, length, n, conv_id FROM whole
+), found AS (
+    SELECT depth, all_said[1:depth] AS said, sum(n)::BIGINT AS n_convs, min(conv_id) AS conv_id, max(length) AS longest
+    FROM paths GROUP BY ALL
+), worth AS (
+    SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(said[depth].text) END AS saved,
+        unnest(range(0, depth + 1)) AS above FROM found
+), sums AS (
+    SELECT above AS depth, said[1:above] AS said, sum(saved)::BIGINT AS saved_tokens,
+        count(*) FILTER (longest = worth.depth) AS n_leaves, count(*) FILTER (worth.depth = above + 1) AS n_children
+    FROM worth GROUP BY ALL
+)
+SELECT found.conv_id, found.depth, up.conv_id AS parent_conv_id, found.n_convs, n_children, n_leaves, saved_tokens,
+    coalesce(ends, sha256('')) AS ends_sha256
+FROM found JOIN sums ON found.depth = sums.depth AND found.said = sums.said
+LEFT JOIN whole ON found.said = whole.said
+LEFT JOIN found AS up ON up.depth = found.depth - 1 AND up.said = found.said[1:found.depth - 1]
+"""
+
 SQL["op13_aho_scan"] = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

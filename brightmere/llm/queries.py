@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightmere.llm import epsilon_grid, lang_id, lexical_scan, lm_scoring, minhash, mixing, packing, pii, quality
+from brightmere.llm import epsilon_grid, html_density, lang_id, lexical_scan, lm_scoring, minhash, mixing, packing, pii, quality
 from brightmere.llm import prefix_trie, topk_blocks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,12 @@ def op10_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.records(warc.read(spark, warc.write(table(spark, folder, "pages"))))
 
 
+@query
+def op11_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_density.extract(table(spark, folder, "pages"))
+
+
 @query
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """The nodes that the rebuilt conversations share."""

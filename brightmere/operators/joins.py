@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightmere.session import scratch
+from brightmere.session import remove_folders, scratch
 
 
 def enrich(df: DataFrame, ref: DataFrame, on: str | list[str]) -> DataFrame:
@@ -38,13 +38,14 @@ def parents(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
 
 def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
     """Every row that a root (NULL parent) leads to, below the roots: (id, name, parent,
-    parent_name, level).
-
-    One join per level of the tree, however deep it is. Each level is written to the shared
-    folder and read back, so a level neither repeats the joins above it nor depends on an
-    executor that held them. An id leads on only from the first level that reaches it: a row
-    appears once below each row of its parent on that level, and a cycle, even one that a
-    repeated id ties to a root, comes to an end. Rows on a cycle alone are reached by no root.
+    parent_name, level), as recursion with UNION ALL gives it: a row appears once below each
+    appearance of its parent, so an id with several parents leads on from each of its levels.
+
+    One join per level, however deep the table is. Each level is written to the shared folder and
+    read back, so a level neither repeats the joins above it nor depends on an executor that held
+    them. Only ids on a cycle that hangs on a root (or between two such) lead on from none but
+    the first level that reaches them, which brings every table to an end. Rows on a cycle alone
+    are reached by no root.
     """
     spark = df.sparkSession
     path = scratch(spark, "hierarchy")
@@ -54,6 +55,7 @@ def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
     nodes = narrow.parquet(f"{path}/nodes")
     # Where every id has one row, no cycle hangs on a root.
     repeated = not nodes.groupBy("id").count().where("count > 1").isEmpty()
+    turning = on_cycles(nodes.select("id", "parent")) if repeated else None
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     known = spark.read.schema(f"id {types['id']}, name {types['name']}")
     path = f"{path}/levels"
@@ -65,9 +67,10 @@ def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
         )
         if above.isEmpty():
             break
-        if repeated and level:
+        if turning is not None and level:
             reached = known.parquet(*[f"{path}/level={n}" for n in range(level)])
-            above = above.join(reached.select(F.col("id").alias("_up")), "_up", "left_anti")
+            spent = reached.join(turning, "id", "left_semi").select(F.col("id").alias("_up"))
+            above = above.join(spent, "_up", "left_anti")
         level += 1
         children = nodes.join(above, F.col("parent") == F.col("_up")).select(
             "id", "name", "parent", "parent_name"
@@ -91,6 +94,32 @@ def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
     )
 
 
+def on_cycles(links: DataFrame) -> DataFrame | None:
+    """(id) of ``links`` (id, parent) that lie on a cycle or between two; None if there is none.
+
+    Peels the links: round after round those whose parent has no open parent go, then those whose
+    id has no open child. What stays goes round. The number of rounds is that of the levels; each
+    round is written to the shared folder, which the next one reads.
+    """
+    spark = links.sparkSession
+    path = scratch(spark, "peeled")
+    left = links.where(F.col("id").isNotNull() & F.col("parent").isNotNull()).distinct()
+    step, size = 0, -1
+    for here, there in (("parent", "id"), ("id", "parent")):
+        while True:
+            left.write.parquet(f"{path}/{step}")
+            left = spark.read.schema(left.schema).parquet(f"{path}/{step}")
+            step, before, size = step + 1, size, left.count()
+            if size in (0, before):
+                break
+            open_ = left.select(F.col(there).alias(here)).distinct()
+            left = left.join(open_, here, "left_semi").select("id", "parent")
+        if not size:
+            break
+    remove_folders(spark, [f"{path}/{n}" for n in range(step - 1)])
+    return left.select("id").union(left.select("parent")).distinct() if size else None
+
+
 def graph_path(nodes: list[DataFrame], edges: list[DataFrame], ids: list[str]) -> DataFrame:
     """Rows node-edge-node-...-node of a graph.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from brightmere.functions.scalars import first_present, json_number
 from brightmere.operators.aggregates import bin_aggregate, bin_quantiles, text_contains
-from brightmere.operators.joins import correlate
+from brightmere.operators.quantiles import quantiles
 
 EVENTS = """time_generated TIMESTAMP_NTZ, event STRING, app_id STRING, metrics_namespace STRING,
     cluster STRING, level STRING, message STRING, call_site STRING,
@@ -53,6 +53,10 @@ TASK_P90 = {
 }
 # These are tied to the end of the stage instead of its start.
 FROM_COMPLETED = {"task_shuffle_write_time"}
+TASK_FIELDS = [
+    "task_launch", "task_finish", "run_time", "deserialize_time", "result_serialization_time", "fetch_wait_time",
+    "shuffle_write_time", "remote_bytes_read", "shuffle_bytes_written", "input_bytes_read",
+]
 RUN_TIME = "executor.RunTime"
 RATIOS = {
     "serialize_percent": ("executor.resultserializationtime", 1),
@@ -122,15 +126,76 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
 
 
-def _started(events: DataFrame, kind: str, end: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
-    start = _of(events, kind).withColumn(
-        "apptag", first_present(events, "metrics_namespace", "app_id")
+# What a start lends to the rows tied to it.
+LENT = ["cluster", "stage_name", "stage_submission", "submission", "call_site"]
+NO_KEY = ""
+
+
+def _key(kind: str, keys: list[str]) -> Column:
+    """A kind of start and the values that tie rows to it, NULL where one of them is missing."""
+    return F.concat(F.lit(kind), *[F.concat(F.lit("\n"), F.length(F.col(k).cast("string")), F.lit(" "), F.col(k)) for k in keys])
+
+
+def _lent(events: DataFrame) -> Column:
+    """What a start lends, least for the first one (one without a time comes last)."""
+    tag = first_present(events, "metrics_namespace", "app_id").alias("apptag")
+    return F.struct(F.col("time_generated").isNull().alias("untimed"), "time_generated", tag, *LENT)
+
+
+def _begin(events: DataFrame, key: Column) -> Column:
+    """An entry of the log that other ones are tied to by ``key``."""
+    nothing = F.lit(None).cast("string")
+    return F.struct(
+        key.alias("key"), nothing.alias("query"), nothing.alias("label"),
+        F.lit(None).cast("double").alias("value"), _lent(events).alias("start"),
+    )
+
+
+def _end(events: DataFrame, key: Column | None, query: Column | str, label: str | None = None, value: Column | None = None) -> Column:
+    """An entry that counts for ``query``, tied to the start of its ``key``; without one it has
+    its own time."""
+    return F.struct(
+        (F.lit(NO_KEY) if key is None else key).alias("key"),
+        (F.lit(query) if isinstance(query, str) else query).alias("query"),
+        (F.lit(None) if label is None else F.col(label)).cast("string").alias("label"),
+        (F.lit(None) if value is None else value).cast("double").alias("value"),
+        F.when(F.lit(False), _lent(events)).alias("start"),
+    )
+
+
+def _tied(events: DataFrame, entries: dict[str, list[Column]], width: str, others: Column | None = None) -> DataFrame:
+    """(query, time_bin, start, label, value, n): what rows of the log tell, each with the first
+    start of its key, equal ones counted.
+
+    ``entries`` has the entries of a kind of event, ``others`` an array of further ones. The log is
+    read once: its reading tasks count equal entries and take the first start of each key. Only
+    counts and starts travel and meet, so a start never multiplies what is tied to it.
+    """
+    told = F.lit(None)
+    for kind, made in reversed(entries.items()):
+        told = F.when(text_contains(F.col("event"), kind), F.array(*made)).otherwise(told)
+    if others is not None:
+        told = F.concat(F.coalesce(told, F.array()), F.coalesce(others, F.array())) if entries else others
+    rows = events.select("time_generated", F.explode(told).alias("e")).where("e.key IS NOT NULL")
+    # No key is NULL from here on; entries of one key need no time.
+    key = F.coalesce("e.key", F.lit(NO_KEY))
+    epoch = F.lit("1970-01-01").cast(events.schema["time_generated"].dataType)
+    own = F.coalesce(F.when(key == NO_KEY, F.col("time_generated")), epoch)
+    counted = rows.groupBy(
+        key.alias("key"), "e.query", "e.label", "e.value", F.window(own, width).getField("start").alias("at")
+    ).agg(F.count("e.query").alias("n"), F.min("e.start").alias("start"))
+    # Both conditions name both numbers, so that the two sides read one and the same shuffle.
+    starts = counted.where("n = 0 AND start IS NOT NULL").select("key", "start")
+    ends = counted.where("n > 0 AND start IS NULL").drop("start")
+    tied = ends.join(starts, "key", "left").where(F.col("start").isNotNull() | (F.col("key") == NO_KEY))
+    time = F.when(F.col("start").isNull(), F.col("at")).otherwise(F.col("start.time_generated"))
+    return tied.withColumn("time", time).select(
+        "query", F.window("time", width).getField("start").alias("time_bin"), "start", "label", "value", "n"
     )
-    return correlate(start, end, keys, "time_generated", ["apptag", "cluster", *keep])
 
 
 def _app(sep: str = "-") -> list[Column | str]:
-    return [F.col("start_cluster"), sep, F.col("start_apptag")]
+    return [F.col("start.cluster"), sep, F.col("start.apptag")]
 
 
 def _p90(
@@ -141,16 +206,20 @@ def _p90(
     slice, value). All measures are columns of one grouping; the labels are made of its
     keys afterwards."""
     measured = df.select(ts, *keys, *[m.cast("double").alias(n) for n, m in measures.items()])
-    found = bin_quantiles(measured, ts, width, keys, list(measures), [0.9], exact)
+    return _stacked(bin_quantiles(measured, ts, width, keys, list(measures), [0.9], exact), labels)
+
+
+def _stacked(found: DataFrame, labels: dict[str, Column]) -> DataFrame:
+    """(query, time_bin, slice, value) of the quantiles found for each measure, as its query."""
     rows = F.array(
         *[
             F.struct(
                 F.lit(n).alias("query"),
                 "time_bin",
-                labels[n].alias("slice"),
+                label.alias("slice"),
                 F.element_at(n, 1).alias("value"),
             )
-            for n in measures
+            for n, label in labels.items()
         ]
     )
     return found.select(F.inline(rows)).where(F.col("value").isNotNull())
@@ -165,36 +234,34 @@ def duration_quantiles(
 ) -> DataFrame:
     """Quantiles 10, 30, 50 and 90 of stage and job durations."""
     chosen = _chosen(["stage_latency", "job_latency"], only)
-    app = ["start_cluster", "start_apptag"]
-    parts = []
+    entries = {}
     if "stage_latency" in chosen:
-        stages = _started(events, SUBMITTED, _of(events, COMPLETED), stage_keys, [])
+        stage = _key("stage", stage_keys)
         took = F.col("stage_completion") - F.col("stage_submission")
-        parts.append(("stage_latency", stages, took, "stage_name"))
+        entries |= {SUBMITTED: [_begin(events, stage)], COMPLETED: [_end(events, stage, "stage_latency", "stage_name", took)]}
     if "job_latency" in chosen:
-        done = _of(events, JOB_END).where(text_contains(F.col("job_result"), "JobSucceeded"))
-        jobs = _started(events, JOB_START, done, JOB_KEYS, ["submission"])
-        took = F.col("completion") - F.col("start_submission")
-        parts.append(("job_latency", jobs.drop("stage_name"), took, None))
-    measured = [
-        df.select(
-            F.lit(name).alias("query"),
-            F.col("start_time_generated").alias("time_generated"),
-            *app,
-            (F.lit(None).cast("string") if stage is None else F.col(stage)).alias("stage"),
-            took.alias("took"),
-        )
-        for name, df, took, stage in parts
-    ]
-    stacked = measured[0] if len(measured) == 1 else measured[0].unionByName(measured[1])
-    found = bin_quantiles(
-        stacked, "time_generated", width, ["query", *app, "stage"], ["took"], [0.1, 0.3, 0.5, 0.9], exact
+        job = _key("job", JOB_KEYS)
+        done = F.when(text_contains(F.col("job_result"), "JobSucceeded"), job)
+        entries |= {JOB_START: [_begin(events, job)], JOB_END: [_end(events, done, "job_latency", None, F.col("completion"))]}
+    tied = _tied(events, entries, width)
+    took = F.when(F.col("query") == "job_latency", F.col("value") - F.col("start.submission")).otherwise(F.col("value"))
+    rows = tied.select(
+        "query", "time_bin", F.col("start.cluster").alias("cluster"), F.col("start.apptag").alias("apptag"),
+        F.col("label").alias("stage"), took.alias("took"), "n",
     )
-    label = _text(*_app(), F.when(F.col("stage").isNotNull(), F.concat(F.lit(" "), "stage")))
+    keys = ["query", "time_bin", "cluster", "apptag", "stage"]
+    qs = [0.1, 0.3, 0.5, 0.9]
+    found = quantiles(rows, keys, ["took"], qs, weight="n") if exact else quantiles(_repeated(rows), keys, ["took"], qs, False)
+    label = _text(F.col("cluster"), "-", F.col("apptag"), F.when(F.col("stage").isNotNull(), F.concat(F.lit(" "), "stage")))
     named = [F.element_at("took", i + 1).alias(f"p{p}") for i, p in enumerate((10, 30, 50, 90))]
     return found.where(F.col("took").isNotNull()).select("query", "time_bin", label.alias("slice"), *named)
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``n`` says."""
+    return rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+
+
 def task_p90(
     events: DataFrame,
     width: str = MINUTE,
@@ -202,28 +269,44 @@ def task_p90(
     exact: bool = True,
     stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
-    """The 90th percentile of task measures per stage."""
+    """The 90th percentile of task measures per stage.
+
+    Starts and ends of a stage are reduced to one row, which the stage's tasks meet once.
+    """
     chosen = _chosen(TASK_P90, only)
-    tasks = _of(events, TASK_END).where(text_contains(F.col("task_reason"), "Success")).drop("stage_name")
-    results = []
-    for kind, names in (
-        (SUBMITTED, [n for n in chosen if n not in FROM_COMPLETED]),
-        (COMPLETED, [n for n in chosen if n in FROM_COMPLETED]),
-    ):
-        if not names:
-            continue
-        started = _started(events, kind, tasks, stage_keys, ["stage_name", "stage_submission"])
-        stage = F.col("start_stage_name")
-        if kind == COMPLETED:
-            keys, labels = ["start_stage_name"], {n: _text(TASK_P90[n][0], stage) for n in names}
-        else:
-            keys = ["start_cluster", "start_apptag", "start_stage_name"]
-            labels = {
-                n: _text(TASK_P90[n][0], *_app(), "-" if n == "task_latency" else " ", stage) for n in names
-            }
-        measures = {n: F.expr(TASK_P90[n][1]) for n in names}
-        results.append(_p90(started, "start_time_generated", width, keys, measures, labels, exact))
-    return results[0] if len(results) == 1 else results[0].unionByName(results[1])
+    is_end, is_start = (text_contains(F.col("event"), kind) for kind in (COMPLETED, SUBMITTED))
+    lent = _lent(events)
+    stages = events.where(is_start | is_end).groupBy(*stage_keys).agg(
+        F.min(F.when(is_start, lent)).alias("start"), F.min(F.when(is_end, lent)).alias("end")
+    )
+    tasks = events.where(text_contains(F.col("event"), TASK_END) & text_contains(F.col("task_reason"), "Success"))
+    tied = tasks.select(*stage_keys, *TASK_FIELDS).join(stages, stage_keys)
+    tied = tied.withColumn("start_stage_submission", F.col("start.stage_submission"))
+    sides = []
+    for side, of_end in (("start", False), ("end", True)):
+        names = [n for n in chosen if (n in FROM_COMPLETED) == of_end]
+        if names:
+            given = {"cluster": f"{side}.cluster", "apptag": f"{side}.apptag"} if not of_end else {}
+            keys = [F.col(given[k]).alias(k) if k in given else F.lit(None).cast("string").alias(k) for k in ("cluster", "apptag")]
+            measures = [
+                (F.expr(TASK_P90[n][1]) if n in names else F.lit(None)).cast("double").alias(n) for n in chosen
+            ]
+            made = F.struct(
+                F.lit(side).alias("side"), F.col(f"{side}.time_generated").alias("at"), *keys,
+                F.col(f"{side}.stage_name").alias("stage_name"), *measures,
+            )
+            sides.append(F.when(F.col(side).isNotNull(), made))
+    rows = tied.select(F.inline(F.array(*sides))).where("side IS NOT NULL")
+    found = bin_quantiles(rows, "at", width, ["side", "cluster", "apptag", "stage_name"], chosen, [0.9], exact)
+    stage = F.col("stage_name")
+    app = [F.col("cluster"), "-", F.col("apptag")]
+    labels = {
+        n: _text(TASK_P90[n][0], stage)
+        if n in FROM_COMPLETED
+        else _text(TASK_P90[n][0], *app, "-" if n == "task_latency" else " ", stage)
+        for n in chosen
+    }
+    return _stacked(found, labels)
 
 
 def event_counts(
@@ -237,62 +320,61 @@ def event_counts(
         "stage_throughput", "job_throughput", "job_errors", "task_errors",
         "stream_errors", "task_throughput",
     ]
-    chosen = set(_chosen(names, only))
-    one = F.lit(1)
-    parts = []
-
-    def add(df: DataFrame, ts: str, *slices: _Slice) -> None:
-        slices = [s for s in slices if s.query in chosen]
-        if slices:
-            parts.append(_stack(df, ts, slices))
-
-    # Finished stages and tasks meet the starts of their stages in one join.
-    is_task = text_contains(F.col("event"), TASK_END)
-    is_stage = text_contains(F.col("event"), COMPLETED)
+    chosen = _chosen(names, only)
+    begun, ended, job = _key("stage", stage_keys), _key("stage end", stage_keys), _key("job", JOB_KEYS)
     success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
-    ended = events.where(is_stage | (is_task & success))
-    begun = _started(events, SUBMITTED, ended, stage_keys, ["stage_name"])
-    stage_label = _text("# StagesCompleted ", *_app(), " ", F.col("stage_name"))
-    task_label = _text("#TasksCompleted ", *_app(), " ", F.col("start_stage_name"))
-    add(
-        begun,
-        "start_time_generated",
-        _Slice("stage_throughput", stage_label, one, is_stage),
-        _Slice("task_throughput", task_label, one, is_task),
-    )
-
-    jobs = _started(events, JOB_START, _of(events, JOB_END), JOB_KEYS, ["call_site"])
     succeeded = F.coalesce(text_contains(F.col("job_result"), "JobSucceeded"), F.lit(False))
-    add(
-        jobs,
-        "start_time_generated",
-        _Slice("job_throughput", _text("#JobsCompleted ", *_app()), one, succeeded),
-        _Slice("job_errors", _text("JobErrors ", F.col("start_call_site")), one, ~succeeded),
-    )
-
-    failed_tasks = events.where(is_task & ~success).drop("stage_name")
-    failed = _started(events, COMPLETED, failed_tasks, stage_keys, ["stage_name"])
-    add(
-        failed,
-        "start_time_generated",
-        _Slice("task_errors", _text("#TaskErrors ", F.col("start_stage_name")), one),
-    )
-
-    errors = events.where(text_contains(F.col("level"), "Error"))
-    stream_label = _text("CountExceptions", F.col("progress_name"))
-    add(errors, "time_generated", _Slice("stream_errors", stream_label, one))
-
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return bin_aggregate(stacked, "time_generated", width, ["query", "slice"], "count")
+    # What is not chosen has no key.
+    task = F.when(success, _if("task_throughput", chosen)).otherwise(_if("task_errors", chosen))
+    done = F.when(succeeded, _if("job_throughput", chosen)).otherwise(_if("job_errors", chosen))
+    entries = {
+        TASK_END: [_end(events, F.when(task.isNotNull(), F.when(success, begun).otherwise(ended)), task)],
+        SUBMITTED: [_begin(events, begun)],
+        COMPLETED: [
+            _begin(events, ended),
+            _end(events, F.when(_if("stage_throughput", chosen).isNotNull(), begun), "stage_throughput", "stage_name"),
+        ],
+        JOB_START: [_begin(events, job)],
+        JOB_END: [_end(events, F.when(done.isNotNull(), job), done)],
+    }
+    # Starts that nothing chosen is tied to stay out.
+    for kind, names in ((SUBMITTED, ("stage_throughput", "task_throughput")), (JOB_START, ("job_throughput", "job_errors"))):
+        if not set(names) & set(chosen):
+            del entries[kind]
+    if "task_errors" not in chosen:
+        del entries[COMPLETED][0]
+    errors = None
+    if "stream_errors" in chosen:
+        is_error = text_contains(F.col("level"), "Error")
+        errors = F.when(is_error, F.array(_end(events, None, "stream_errors", "progress_name")))
+    tied = _tied(events, entries, width, errors)
+    stage = F.col("start.stage_name")
+    slices = {
+        "stage_throughput": _text("# StagesCompleted ", *_app(), " ", F.col("label")),
+        "task_throughput": _text("#TasksCompleted ", *_app(), " ", stage),
+        "job_throughput": _text("#JobsCompleted ", *_app()),
+        "job_errors": _text("JobErrors ", F.col("start.call_site")),
+        "task_errors": _text("#TaskErrors ", stage),
+        "stream_errors": _text("CountExceptions", F.col("label")),
+    }
+    slice = F.lit(None).cast("string")
+    for name in chosen:
+        slice = F.when(F.col("query") == name, slices[name]).otherwise(slice)
+    return tied.groupBy("query", "time_bin", slice.alias("slice")).agg(F.sum("n").alias("value"))
+
+
+def _if(name: str, chosen: list[str]) -> Column:
+    """The name of a chosen query, else NULL."""
+    return F.lit(name if name in chosen else None).cast("string")
 
 
 def tasks_per_stage(events: DataFrame, stage_keys: list[str] = STAGE_KEYS) -> DataFrame:
     """(time_generated, slice, tasks) per finished stage."""
-    stages = _started(events, SUBMITTED, _of(events, COMPLETED), stage_keys, [])
-    return stages.select(
-        F.col("start_time_generated").alias("time_generated"),
+    is_start = text_contains(F.col("event"), SUBMITTED)
+    starts = events.where(is_start).groupBy(*stage_keys).agg(F.min(_lent(events)).alias("start"))
+    ends = events.where(text_contains(F.col("event"), COMPLETED)).select(*stage_keys, "stage_name", "stage_tasks")
+    return ends.join(starts, stage_keys).select(
+        F.col("start.time_generated").alias("time_generated"),
         _text(*_app(), " ", F.col("stage_name")).alias("slice"),
         F.col("stage_tasks").alias("tasks"),
     )

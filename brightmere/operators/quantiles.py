@@ -1,91 +1,107 @@
-"""Quantiles per group, exact or sketched, that survive a group holding most rows."""
+"""Exact quantiles of groups of any size, and sketched ones.
 
-from __future__ import annotations
+The exact form selects ranks. Values are counted and dealt into cells of values, the counts of the
+cells tell which of them hold the wanted ranks, and only those are gone through value by value.
+It is one lazy plan for groups of all sizes. No step holds a group: counts are sorted and summed
+up row by row, and a group of most rows is spread over tasks by its values. Groups go by 128 bits
+of hashes of their keys; two of a billion groups share them with a chance below 10^-20.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window, WindowSpec
 
-from brightmere.session import scratch
-
-# A sketch of this accuracy misplaces a value by at most n / ACCURACY ranks. The margin
-# around a wanted quantile is ten times that.
+# A sketch of this accuracy misplaces a value by at most n / ACCURACY ranks.
 ACCURACY = 10_000
-MARGIN = 10 / ACCURACY
-# Up to this many rows a group's distinct values fit one aggregation buffer.
-HOT_GROUP = 100_000
+# Cells for each doubling of a value.
+STEPS = 1 << 9
 
 
 def quantiles(
-    df: DataFrame,
-    keys: list[str],
-    values: list[str],
-    qs: list[float],
-    exact: bool = True,
-    hot: int = HOT_GROUP,
+    df: DataFrame, keys: list[str], values: list[str], qs: list[float], exact: bool = True, weight: str | None = None
 ) -> DataFrame:
     """Per group of ``keys``: for each column of ``values`` the array of its values at ``qs``.
 
-    NULLs do not count; a group without values has a NULL array. ``exact=False`` gives
-    values of bounded rank error from one pass. Exact quantiles interpolate between the two
-    neighbouring values, and take a first pass that counts the groups. Groups of more than
-    ``hot`` rows are then narrowed: a sketch brackets each wanted quantile, and values
-    outside the brackets move to the nearest bracket's edge, which leaves the wanted ranks
-    where they are but few different values to hold.
+    NULLs do not count; a group without values has a NULL array. Exact quantiles interpolate
+    between the two neighbouring values. ``exact=False`` gives values of bounded rank error.
+    ``weight`` names a column that says how many rows each row stands for.
     """
-    rows = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
-    wanted = F.array(*[F.lit(float(q)) for q in qs])
     if not exact:
-        found = [F.percentile_approx(v, wanted, ACCURACY).alias(v) for v in values]
-        return rows.groupBy(*keys).agg(*found)
-    if hot < 2 * ACCURACY:
-        raise ValueError(f"hot must be at least {2 * ACCURACY}")
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if not sizes.where(F.col("_rows") > hot).isEmpty():
-        rows = _narrowed(rows, keys, values, qs, hot)
-    return rows.groupBy(*keys).agg(*[F.percentile(v, wanted).alias(v) for v in values])
+        if weight:
+            raise ValueError("sketches take no weights")
+        wanted = F.array(*[F.lit(float(q)) for q in qs])
+        found = [F.percentile_approx(F.col(v).cast("double"), wanted, ACCURACY).alias(v) for v in values]
+        return df.groupBy(*keys).agg(*found)
+    # Each group has an entry of its own, which carries its keys, so that one without values is not lost.
+    given = ", ".join(f"isnull(`{k}`), `{k}`" for k in keys) or "0"
+    entries = [f"struct(-1 AS _m, CAST(NULL AS DOUBLE) AS _v, struct({', '.join(f'`{k}`' for k in keys) or '0'}) AS _k)"]
+    entries += [f"struct({i} AS _m, CAST(`{v}` AS DOUBLE) AS _v, NULL AS _k)" for i, v in enumerate(values)]
+    melted = df.selectExpr(
+        f"xxhash64({given}) AS _g",
+        f"xxhash64('', {given}) AS _h",
+        f"CAST({f'`{weight}`' if weight else 1} AS BIGINT) AS _n",
+        f"inline(array({', '.join(entries)}))",
+    ).where("_m < 0 OR _v IS NOT NULL")
+    counted = melted.groupBy("_g", "_h", "_m", "_k", _cell(F.col("_v")).alias("_p"), "_v").agg(F.sum("_n").alias("_n"))
+    near = [f"max(IF({_inside(r)}, _v, NULL)) AS _v{j}{side}" for j, q in enumerate(qs) for side, r in zip("lh", _ranks(q))]
+    found = _selected(counted, qs).groupBy("_g", "_h", "_m", "_k").agg(F.max("_total").alias("_total"), *map(F.expr, near))
+    between = ", ".join(_between(f"_v{j}l", f"_v{j}h", _place(q)) for j, q in enumerate(qs))
+    found = found.withColumn("_q", F.expr(f"array({between})")).groupBy("_g", "_h").agg(
+        F.any_value("_k", True).alias("_k"), *[F.expr(f"max(IF(_m = {i}, _q, NULL)) AS _q{i}") for i in range(len(values))]
+    )
+    return found.select(
+        *[F.col("_k")[f"{k}"].alias(k) for k in keys], *[F.col(f"_q{i}").alias(v) for i, v in enumerate(values)]
+    )
 
 
-def _narrowed(rows: DataFrame, keys: list[str], values: list[str], qs: list[float], hot: int) -> DataFrame:
-    """``rows`` with the far values of hot groups moved to a bracket's edge.
+def _place(q: float, total: str = "_total") -> str:
+    """SQL for the place of a quantile among ``total`` values, from 0."""
+    return f"(({total} - 1) * {float(q)}D)"
 
-    A value whose non-NULL rows in a hot group are few keeps all of them: the margin in
-    ranks has to cover the neighbours of the wanted ones.
-    """
-    spark = rows.sparkSession
-    edges = [min(max(q + side * MARGIN, 0.0), 1.0) for q in sorted(qs) for side in (-1, 1)]
-    points = F.array(*[F.lit(e) for e in edges])
-    path = scratch(spark, "brackets")
-    sketched = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(v).alias(f"_n_{v}") for v in values],
-        *[F.percentile_approx(v, points, ACCURACY).alias(f"_e_{v}") for v in values],
-    )
-    few = 2 * ACCURACY
-    sketched.where(F.col("_rows") > hot).select(
-        *[f"_{k}" for k in keys],
-        *[F.when(F.col(f"_n_{v}") > few, F.col(f"_e_{v}")).alias(f"_e_{v}") for v in values],
-    ).write.parquet(path)
-    brackets = spark.read.parquet(path)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    moved = {
-        v: F.when(F.col(f"_e_{v}").isNull(), F.col(v)).otherwise(_snap(F.col(v), F.col(f"_e_{v}"), edges))
-        for v in values
-    }
-    return rows.join(brackets, same, "left").withColumns(moved).select(*keys, *values)
-
-
-def _snap(v: Column, found: Column, edges: list[float]) -> Column:
-    """``v`` inside a bracket, else the edge next to it; the order of values is kept."""
-
-    def edge(i: int) -> Column:
-        return F.element_at(found, i + 1)
-
-    snapped = F.when(v < edge(0), v if edges[0] == 0.0 else edge(0))
-    last = len(edges) - 1
-    for low in range(0, len(edges), 2):
-        snapped = snapped.when(v <= edge(low + 1), v)
-        if low < last - 1:
-            snapped = snapped.when(v < edge(low + 2), edge(low + 1))
-    return snapped.otherwise(v if edges[last] == 1.0 else edge(last))
+
+def _ranks(q: float) -> tuple[str, str]:
+    """SQL for the ranks next to a quantile's place."""
+    return f"floor({_place(q)})", f"ceil({_place(q)})"
+
+
+def _inside(rank: str) -> str:
+    """SQL for whether a rank falls to the _n values after the first _before."""
+    return f"{rank} >= _before AND {rank} < _before + _n"
+
+
+def _between(below: str, above: str, place: str) -> str:
+    """SQL for the value at a place between two ranks."""
+    mixed = f"(ceil({place}) - {place}) * {below} + ({place} - floor({place})) * {above}"
+    return f"IF(floor({place}) = ceil({place}) OR {below} = {above}, {below}, {mixed})"
+
+
+def _selected(counted: DataFrame, qs: list[float]) -> DataFrame:
+    """(_g, _h, _m, _total, _before, _n, _v, _k): the values that the ranks next to the quantiles
+    ``qs`` fall on, among the _total values of a measure _m of a group; _before values are smaller.
+    ``counted`` has one row (_g, _h, _m, _p, _v, _n, _k) for each different value, with its cell
+    and number."""
+    path = ["_g", "_h", "_m", "_p"]
+    wanted = " OR ".join(sorted({_inside(rank) for q in qs for rank in _ranks(q)}))
+    of_group = Window.partitionBy("_g", "_h", "_m")
+    # Both the counts of the cells and the look into them read this one shuffle.
+    dealt = counted.repartition(*path)
+    cells = dealt.groupBy(*path, "_k").agg(F.sum("_n").alias("_n"))
+    cells = cells.withColumns({"_total": F.sum("_n").over(of_group), "_before": _earlier(of_group.orderBy("_p"))})
+    held = dealt.drop("_k").join(cells.where(wanted).select(*path, "_k", "_total", F.col("_before").alias("_start")), path)
+    before = F.col("_start") + _earlier(Window.partitionBy(*path).orderBy("_v"))
+    return held.withColumn("_before", before).where(wanted)
+
+
+def _earlier(order: WindowSpec) -> Column:
+    """How many values the rows before this one stand for."""
+    return F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _cell(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows: the sign and STEPS cells for each doubling."""
+    most = 2_000 * STEPS
+    size = F.when(F.abs(v) == F.lit(float("inf")), 2 * most).otherwise(F.floor(F.log2(F.abs(v)) * STEPS) + most)
+    signed = F.when(F.isnan(v), 3 * most).when(v > 0, size).when(v < 0, -size).otherwise(0)
+    return F.coalesce(signed.cast("bigint"), F.lit(0).cast("bigint"))

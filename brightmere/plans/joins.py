@@ -255,6 +255,33 @@ def hierarchy_recursive(spark, t):
     return joins.hierarchy(_part_tree(t), "id", "parent", "name")
 
 
+# Parts in several assemblies: below the number without its last digit, those divisible by 3 also
+# below their fourth part, those divisible by 5 twice below their third part.
+PART_GRAPH = f"""{PART_TREE} UNION ALL SELECT p_partkey, p_name || ' ' || p_partkey || ' b', p_partkey // 4 FROM part WHERE p_partkey % 3 = 0 AND p_partkey > 9
+    UNION ALL SELECT p_partkey, p_name || ' ' || p_partkey || ' c' || n, p_partkey // 3 FROM part, (VALUES (1), (2)) t(n) WHERE p_partkey % 5 = 0 AND p_partkey > 9"""
+
+
+def _part_graph(t):
+    def more(mark, n, divisor):
+        held = t.part.where((F.col("p_partkey") % n == 0) & (F.col("p_partkey") > 9))
+        name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"), F.lit(mark))
+        return held.select(F.col("p_partkey").alias("id"), name.alias("name"), F.floor(F.col("p_partkey") / divisor).alias("parent"))
+
+    return _part_tree(t).union(more("b", 3, 4)).union(more("c1", 5, 3)).union(more("c2", 5, 3))
+
+
+@query(
+    "hierarchy_paths",
+    f"""WITH RECURSIVE nodes AS ({PART_GRAPH}), tree AS (
+          SELECT id, name, parent, CAST(NULL AS VARCHAR) AS parent_name, 0 AS level FROM nodes WHERE parent IS NULL
+          UNION ALL SELECT n.id, n.name, n.parent, tree.name, tree.level + 1 FROM nodes n JOIN tree ON n.parent = tree.id)
+        SELECT * FROM tree WHERE level > 0""",
+)
+def hierarchy_paths(spark, t):
+    """Every path to a part that lies in several assemblies."""
+    return joins.hierarchy(_part_graph(t), "id", "parent", "name")
+
+
 @query(
     "all_categories",
     f"""WITH tree AS ({PART_TREE})

@@ -58,3 +58,10 @@ def scratch(spark: SparkSession, label: str) -> str:
 def scratch_name(label: str) -> str:
     """A fresh catalog name for a table or view."""
     return f"{label}_{uuid.uuid4().hex[:12]}"
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that a run has staged and no longer reads."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

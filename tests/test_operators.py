@@ -17,7 +17,7 @@ from brightmere.sources import jdbc, messages, versions
 
 
 def test_quantiles_of_a_hot_group(spark):
-    """A group above the limit is narrowed, and still exact, for smooth and lumpy values."""
+    """Exact for smooth and lumpy values, whatever share of the rows a group holds."""
     drawn = spark.range(120_000).select(
         F.when(F.col("id") % 3 == 0, F.col("id") % 500).alias("k"),
         F.when(F.col("id") % 7 > 0, F.rand(1) * 1000).alias("smooth"),
@@ -27,7 +27,7 @@ def test_quantiles_of_a_hot_group(spark):
     drawn.write.parquet(path)
     df = spark.read.parquet(path)
     qs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    found = {r.k: r for r in quantiles(df, ["k"], ["smooth", "lumpy"], qs, hot=20_000).collect()}
+    found = {r.k: r for r in quantiles(df, ["k"], ["smooth", "lumpy"], qs).collect()}
     pdf = df.toPandas()
     groups = dict(list(pdf[pdf.k.notna()].groupby("k"))) | {None: pdf[pdf.k.isna()]}
     assert len(groups[None]) == 80_000 and len(found) == len(groups)
@@ -39,8 +39,40 @@ def test_quantiles_of_a_hot_group(spark):
 def test_quantiles_of_nothing(rows):
     df = rows([("a", None), ("b", 1.0)], "k STRING, v DOUBLE")
     assert values(quantiles(df, ["k"], ["v"], [0.5])) == [("a", None), ("b", [1.0])]
-    with pytest.raises(ValueError):
-        quantiles(df, ["k"], ["v"], [0.5], hot=10)
+    assert quantiles(df.where("false"), ["k"], ["v"], [0.5]).collect() == []
+
+
+def test_quantiles_of_odd_values_and_keys(rows):
+    """As Spark's percentile gives them: infinities, NaN, both zeros, tiny and negative values;
+    keys with missing parts stay apart."""
+    some = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, 1.0, 1.0000000000000002, -3.5]
+    data = [(None, "x", v) for v in some] + [("x", None, v) for v in some[3:]] + [("x", "x", 2.5), (None, None, 1.0), (None, None, 2.0)]
+    df = rows(data, "k STRING, l STRING, v DOUBLE")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    known = df.groupBy("k", "l").agg(F.percentile("v", qs).alias("v"))
+    assert str(values(quantiles(df, ["k", "l"], ["v"], qs))) == str(values(known))
+
+
+def test_weighted_quantiles_are_those_of_repeated_rows(spark):
+    df = spark.range(3_000).selectExpr("id % 3 AS k", "cast(id * 7919 % 1009 AS double) AS v", "id % 5 AS n")
+    repeated = df.selectExpr("k", "v", "explode(array_repeat(0, cast(n AS int)))")
+    qs = [0.01, 0.33, 0.5, 0.999]
+    assert values(quantiles(df.where("n > 0"), ["k"], ["v"], qs, weight="n")) == values(quantiles(repeated, ["k"], ["v"], qs))
+
+
+def test_quantiles_hold_no_group_and_run_nothing_early(spark):
+    """Building starts no job, and no buffer of the plan grows with a group: values are counted by
+    hash, sorted and summed up, and no window goes over the values of a whole group."""
+    df = spark.range(400_000).selectExpr("0 AS k", "cast(id * 7919 % 399989 AS double) / 7 AS v")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("built", "quantiles")
+    found = quantiles(df, ["k"], ["v"], [0.5, 0.9])
+    assert len(tracker.getJobIdsForGroup("built")) == 0
+    drawn = np.sort(np.arange(400_000) * 7919 % 399989 / 7)
+    assert np.allclose(found.first().v, np.quantile(drawn, [0.5, 0.9]), rtol=1e-12)
+    text = plan(found)
+    assert "percentile" not in text and "ObjectHashAggregate" not in text and "collect_" not in text
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_sketch_is_close(spark):
@@ -115,6 +147,40 @@ def test_hierarchy_ends_where_a_repeated_id_closes_a_cycle(rows):
     assert values(tree) == [(2, "a again", 3, "b", 3), (2, "a", 1, "root", 1), (3, "b", 2, "a", 2)]
 
 
+def recursion(data):
+    """What recursion with UNION ALL gives on a table without cycles."""
+    level, found, n = [(i, name) for i, up, name in data if up is None], [], 0
+    while level:
+        n += 1
+        made = [(i, name, up, above, n) for at, above in level for i, up, name in data if up == at]
+        found += made
+        level = [(i, name) for i, name, *_ in made]
+    return sorted(found, key=str)
+
+
+def test_hierarchy_keeps_every_path(rows):
+    """An id below several rows leads on from each of its levels."""
+    data = [(1, None, "root"), (3, 1, "c"), (5, 1, "e"), (5, 3, "e too"), (7, 5, "g"), (9, 7, "i"), (9, 1, "i"), (9, 1, "i")]
+    found = values(joins.hierarchy(rows(data, "id INT, up INT, name STRING"), "id", "up", "name"))
+    assert found == recursion(data)
+    assert [r for r in found if r[0] == 7] == [(7, "g", 5, "e too", 3), (7, "g", 5, "e", 2)]
+
+
+def test_hierarchy_stops_only_on_cycles(rows):
+    """Ids beside a cycle keep all their paths, the ids on it lead on once; the graph is random."""
+    import random
+
+    random.seed(6)
+    paths = [(0, None, "root")] + [(i, random.randrange(max(0, i - 6), i), f"n{i}") for i in range(1, 25) for _ in range(random.randint(1, 2))]
+    assert values(joins.hierarchy(rows(paths, "id INT, up INT, name STRING"), "id", "up", "name")) == recursion(paths)
+    tied = [(100, 0, "x"), (101, 100, "y"), (100, 101, "x"), (102, 101, "below")]
+    found = values(joins.hierarchy(rows(paths + tied, "id INT, up INT, name STRING"), "id", "up", "name"))
+    assert [r for r in found if r[0] < 100] == recursion(paths)
+    assert [r for r in found if r[0] >= 100] == [
+        (100, "x", 0, "root", 1), (100, "x", 101, "y", 3), (101, "y", 100, "x", 2), (102, "below", 101, "y", 3),
+    ]
+
+
 def test_hierarchy_of_nothing(rows):
     assert joins.hierarchy(rows([], "id INT, up INT, name STRING"), "id", "up", "name").count() == 0
 
@@ -616,6 +682,27 @@ def test_stages_of_two_applications_stay_apart(rows):
     assert counts == {("stage_throughput", "# StagesCompleted c-app-1 map"): 1, ("task_throughput", "#TasksCompleted c-ns join"): 1}
 
 
+def test_events_are_read_once_and_meet_as_counts(spark, rows):
+    """One scan for the counts of all events; repeated and late starts do not multiply; equal
+    ends of a key travel as one row."""
+    t = dt.datetime(2024, 1, 1)
+    later = t + dt.timedelta(hours=5)
+    started = [(later, observe.SUBMITTED, "a", "", "c", 1, "late", 0.0, None, None, None),
+               (t, observe.SUBMITTED, "a", "", "c", 1, "map", 0.0, None, None, None),
+               (None, observe.SUBMITTED, "a", "", "c", 1, "untimed", 0.0, None, None, None),
+               (t, observe.SUBMITTED, None, "", "c", 1, "no key", 0.0, None, None, None)]
+    tasks = [(later, observe.TASK_END, "a", "", "c", 1, None, None, None, "Success", 1.0)] * 5000
+    tasks += [(None, observe.TASK_END, "a", "", "c", 1, None, None, None, "Success", 1.0)] * 7
+    tasks += [(t, observe.TASK_END, None, "", "c", 1, None, None, None, "Success", 1.0)] * 3
+    path = scratch(spark, "log")
+    event_log(rows, started + tasks).write.parquet(path)
+    log = spark.read.parquet(path)
+    counts = observe.event_counts(log)
+    assert values(counts) == [("task_throughput", t, "#TasksCompleted c-a map", 5007)]
+    final = plan(counts).split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
 def test_all_saved_queries_are_there():
     # Two percentiles of one saved query are listed as two measures.
     named = [2, len(observe.TASK_P90) - 1, 6, len(observe.RATIOS), len(observe.COUNTERS), len(observe.GAUGES), len(observe.STREAM_P90)]

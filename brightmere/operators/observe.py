@@ -3,15 +3,17 @@
 Event rows follow ``EVENTS`` and metric rows ``METRICS``. Each family answers its saved
 queries in one pass over its input and returns them stacked, told apart by ``query``;
 ``only`` names the ones wanted. Times are binned by ``width``. Families that read one kind
-of row (counters, gauges, stream rates, hosts, executors) also take a stream.
+of row (counters, gauges, stream rates, hosts, executors) also take a stream; durations and
+counts of events, which tie ends to starts, take one by ``keep_counts`` and ``kept_counts``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from brightmere.functions.scalars import first_present, json_number
 from brightmere.operators.aggregates import bin_aggregate, bin_quantiles, text_contains
@@ -163,13 +165,13 @@ def _end(events: DataFrame, key: Column | None, query: Column | str, label: str
     )
 
 
-def _tied(events: DataFrame, entries: dict[str, list[Column]], width: str, others: Column | None = None) -> DataFrame:
-    """(query, time_bin, start, label, value, n): what rows of the log tell, each with the first
-    start of its key, equal ones counted.
+def _counted(events: DataFrame, entries: dict[str, list[Column]], width: str, others: Column | None = None) -> DataFrame:
+    """(key, query, label, value, at, n, start): what rows of the log tell, equal entries counted,
+    and the first start of each key as a row of its own.
 
     ``entries`` has the entries of a kind of event, ``others`` an array of further ones. The log is
-    read once: its reading tasks count equal entries and take the first start of each key. Only
-    counts and starts travel and meet, so a start never multiplies what is tied to it.
+    read once, and its reading tasks count and take the first starts. Such counts of parts of a log add
+    up to those of the whole: ``n`` by its sum, ``start`` by the least.
     """
     told = F.lit(None)
     for kind, made in reversed(entries.items()):
@@ -181,9 +183,17 @@ def _tied(events: DataFrame, entries: dict[str, list[Column]], width: str, other
     key = F.coalesce("e.key", F.lit(NO_KEY))
     epoch = F.lit("1970-01-01").cast(events.schema["time_generated"].dataType)
     own = F.coalesce(F.when(key == NO_KEY, F.col("time_generated")), epoch)
-    counted = rows.groupBy(
-        key.alias("key"), "e.query", "e.label", "e.value", F.window(own, width).getField("start").alias("at")
-    ).agg(F.count("e.query").alias("n"), F.min("e.start").alias("start"))
+    at = F.window(own, width).getField("start").alias("at")
+    return rows.groupBy(key.alias("key"), "e.query", "e.label", "e.value", at).agg(
+        F.count("e.query").alias("n"), F.min("e.start").alias("start")
+    )
+
+
+def _met(counted: DataFrame, width: str) -> DataFrame:
+    """(query, time_bin, start, label, value, n): counted entries with the first start of their key.
+
+    Only counts and starts travel and meet, so a start never multiplies what is tied to it.
+    """
     # Both conditions name both numbers, so that the two sides read one and the same shuffle.
     starts = counted.where("n = 0 AND start IS NOT NULL").select("key", "start")
     ends = counted.where("n > 0 AND start IS NULL").drop("start")
@@ -232,7 +242,11 @@ def duration_quantiles(
     exact: bool = True,
     stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
-    """Quantiles 10, 30, 50 and 90 of stage and job durations."""
+    """Quantiles 10, 30, 50 and 90 of stage and job durations. For a stream see ``keep_counts``."""
+    return _durations(_met(_duration_counts(events, width, only, stage_keys), width), exact)
+
+
+def _duration_counts(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
     chosen = _chosen(["stage_latency", "job_latency"], only)
     entries = {}
     if "stage_latency" in chosen:
@@ -243,7 +257,10 @@ def duration_quantiles(
         job = _key("job", JOB_KEYS)
         done = F.when(text_contains(F.col("job_result"), "JobSucceeded"), job)
         entries |= {JOB_START: [_begin(events, job)], JOB_END: [_end(events, done, "job_latency", None, F.col("completion"))]}
-    tied = _tied(events, entries, width)
+    return _counted(events, entries, width)
+
+
+def _durations(tied: DataFrame, exact: bool = True) -> DataFrame:
     took = F.when(F.col("query") == "job_latency", F.col("value") - F.col("start.submission")).otherwise(F.col("value"))
     rows = tied.select(
         "query", "time_bin", F.col("start.cluster").alias("cluster"), F.col("start.apptag").alias("apptag"),
@@ -309,18 +326,22 @@ def task_p90(
     return _stacked(found, labels)
 
 
+COUNTS = ["stage_throughput", "job_throughput", "job_errors", "task_errors", "stream_errors", "task_throughput"]
+
+
 def event_counts(
     events: DataFrame,
     width: str = MINUTE,
     only: list[str] | None = None,
     stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
-    """Numbers of finished and failed stages, jobs, tasks and stream errors."""
-    names = [
-        "stage_throughput", "job_throughput", "job_errors", "task_errors",
-        "stream_errors", "task_throughput",
-    ]
-    chosen = _chosen(names, only)
+    """Numbers of finished and failed stages, jobs, tasks and stream errors. For a stream see
+    ``keep_counts``."""
+    return _numbers(_met(_event_counts(events, width, only, stage_keys), width))
+
+
+def _event_counts(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
+    chosen = _chosen(COUNTS, only)
     begun, ended, job = _key("stage", stage_keys), _key("stage end", stage_keys), _key("job", JOB_KEYS)
     success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
     succeeded = F.coalesce(text_contains(F.col("job_result"), "JobSucceeded"), F.lit(False))
@@ -347,7 +368,10 @@ def event_counts(
     if "stream_errors" in chosen:
         is_error = text_contains(F.col("level"), "Error")
         errors = F.when(is_error, F.array(_end(events, None, "stream_errors", "progress_name")))
-    tied = _tied(events, entries, width, errors)
+    return _counted(events, entries, width, errors)
+
+
+def _numbers(tied: DataFrame) -> DataFrame:
     stage = F.col("start.stage_name")
     slices = {
         "stage_throughput": _text("# StagesCompleted ", *_app(), " ", F.col("label")),
@@ -358,11 +382,61 @@ def event_counts(
         "stream_errors": _text("CountExceptions", F.col("label")),
     }
     slice = F.lit(None).cast("string")
-    for name in chosen:
+    for name in COUNTS:
         slice = F.when(F.col("query") == name, slices[name]).otherwise(slice)
     return tied.groupBy("query", "time_bin", slice.alias("slice")).agg(F.sum("n").alias("value"))
 
 
+# Families that tie ends to starts, on streams: what counts, and what is made of the counts.
+TIED = {"duration_quantiles": (_duration_counts, _durations), "event_counts": (_event_counts, _numbers)}
+
+
+def keep_counts(
+    stream: DataFrame,
+    family: str,
+    path: str,
+    checkpoint: str,
+    width: str = MINUTE,
+    only: list[str] | None = None,
+    stage_keys: list[str] = STAGE_KEYS,
+    **trigger,
+) -> StreamingQuery:
+    """Count a stream of events for a family of ``TIED``, batch by batch, to a folder.
+
+    A batch stores its equal entries counted and its first starts. A batch that is replayed after
+    a failure replaces what it wrote. Starts and ends may come in any order and as late as they
+    will; none is dropped, and none waits in the memory of an executor.
+    """
+    count, _ = TIED[family]
+
+    def write(batch: DataFrame, number: int) -> None:
+        count(batch, width, only, stage_keys).write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def kept_counts(
+    spark: SparkSession,
+    family: str,
+    path: str,
+    width: str = MINUTE,
+    only: list[str] | None = None,
+    stage_keys: list[str] = STAGE_KEYS,
+) -> DataFrame:
+    """The rows of a family for all that ``keep_counts`` has stored with the same settings: those
+    of the batch form over the same events."""
+    count, made = TIED[family]
+    layout = count(spark.createDataFrame([], EVENTS), width, only, stage_keys).schema
+    parts = spark.read.schema(layout).parquet(path)
+    whole = parts.groupBy("key", "query", "label", "value", "at").agg(F.sum("n").alias("n"), F.min("start").alias("start"))
+    return made(_met(whole, width))
+
+
 def _if(name: str, chosen: list[str]) -> Column:
     """The name of a chosen query, else NULL."""
     return F.lit(name if name in chosen else None).cast("string")

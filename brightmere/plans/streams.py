@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from brightmere.operators import aggregates, observe
-from brightmere.plans.registry import query
+from brightmere.plans import monitoring
+from brightmere.plans.registry import SQL, query
 from brightmere.session import scratch
 from brightmere.streaming import streams
 
@@ -197,3 +200,30 @@ def stream_progress(spark, t):
     )
     names = observe.stream_p90(reports, "1 day").select("query").distinct()
     return names.withColumn("progress_name", F.lit("events")).join(totals, "progress_name")
+
+
+def _event_stream(spark, t):
+    """The event log of ``monitoring`` as a stream."""
+    tables = {
+        n: streams.file_stream(spark, t.folder, getattr(t, n).schema, pathGlobFilter=f"{n}.parquet") for n in ("orders", "lineitem", "events")
+    }
+    return monitoring.event_log(SimpleNamespace(**tables))
+
+
+def _kept(spark, t, family):
+    path = scratch(spark, family)
+    _finished(observe.keep_counts(_event_stream(spark, t), family, path, scratch(spark, "checkpoint"), monitoring.WIDE))
+    return observe.kept_counts(spark, family, path, monitoring.WIDE)
+
+
+@query("stream_obs_event_counts", SQL["obs_event_counts"])
+def stream_obs_event_counts(spark, t):
+    """The counts of a streamed log are those of the stored one."""
+    return _kept(spark, t, "event_counts")
+
+
+@query("stream_obs_duration_quantiles", SQL["obs_duration_quantiles"])
+def stream_obs_duration_quantiles(spark, t):
+    """The exact quantiles of a streamed log are those of the stored one."""
+    found = _kept(spark, t, "duration_quantiles")
+    return found.withColumns({n: F.round(n, 6) for n in ("p10", "p30", "p50", "p90")})

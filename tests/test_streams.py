@@ -209,3 +209,38 @@ def test_progress_is_kept(spark, landing):
         spark.streams.removeListener(log)
     found = {r.query for r in observe.stream_p90(log.read(), "1 hour").collect()}
     assert found == {"stream_trigger_latency", "stream_processed_rows", "stream_input_rows"}
+
+
+def test_streamed_families_give_the_rows_of_the_stored_log(spark, tmp_path):
+    """Starts and ends in any order over many batches, repeated and late starts; a batch that is
+    written again changes nothing."""
+    from brightmere.operators import observe
+
+    t = dt.datetime(2024, 1, 1)
+    hour = dt.timedelta(hours=1)
+    rows = []
+    for i in range(40):
+        app, at = f"a{i % 3}", t + i * hour / 7
+        rows += [
+            {"event": observe.COMPLETED, "stage_id": i, "stage_name": f"s{i % 4}", "stage_submission": 1.0 * i, "stage_completion": i * 2.5 + 1},
+            {"event": observe.TASK_END, "stage_id": i, "task_reason": "Success" if i % 5 else "Killed"},
+            {"event": observe.SUBMITTED, "stage_id": i, "stage_name": f"s{i % 4}"},
+            {"event": observe.SUBMITTED, "stage_id": i, "stage_name": "again"},
+            {"event": observe.JOB_END, "job_id": i, "completion": 3.0 * i, "job_result": "JobSucceeded" if i % 2 else "JobFailed"},
+            {"event": observe.JOB_START, "job_id": i, "submission": 1.0 * i, "call_site": f"site {i % 2}"},
+            {"event": "Log", "level": "ERROR", "progress_name": "p"},
+        ]
+        for n, row in enumerate(rows[-7:]):
+            row |= {"app_id": app, "cluster": "c", "time_generated": at + n * hour / 100}
+    log = spark.createDataFrame([], observe.EVENTS)
+    log = spark.createDataFrame([tuple(r.get(f.name) for f in log.schema) for r in rows], log.schema)
+    folder = str(tmp_path / "log")
+    log.repartition(7).write.parquet(folder)
+    stream = streams.file_stream(spark, folder, log.schema, files_per_trigger=1)
+    for family, batch in (("event_counts", observe.event_counts), ("duration_quantiles", observe.duration_quantiles)):
+        path = scratch(spark, family)
+        for checkpoint in ("c1", "c2"):  # the second run writes the same batches once more
+            run(observe.keep_counts(stream, family, path, scratch(spark, checkpoint), "1 hour"))
+        found = observe.kept_counts(spark, family, path, "1 hour")
+        assert values(found) == values(batch(log, "1 hour"))
+        assert found.count() > 5 and spark.read.parquet(path).select("_batch").distinct().count() == 7

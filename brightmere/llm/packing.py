@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from brightmere.llm.common import chunks, once, staged
 
 SCALE = 12  # bits of a quantum below one token
-UNITS = 300_000  # words whose ids a Python worker remembers
 
 TOKENS = "part int, doc_id bigint, source string, n bigint, begin bigint, ids binary"
 PIECES = (
@@ -36,28 +35,11 @@ PIECES = (
 )
 
 
-class Words(dict):
-    """Ids, as bytes, of texts that begin and end with a visible character."""
-
-    def __init__(self, encode, before: str):
-        super().__init__()
-        self.encode, self.before = encode, before
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= UNITS:
-            self.clear()
-        self[word] = made = np.array(self.encode(self.before + word), np.uint16).tobytes()
-        return made
-
-
 class Encoder:
     """Ids of whole texts by a byte-level BPE given as a JSON file of ``tokenizers``.
 
-    The pattern of such a vocabulary never joins a visible character with white space after it,
-    so a text is cut at single spaces and line ends, and the ids of each word (with its space)
-    are remembered. Texts with other runs of white space are encoded as a whole. Wherever a text
-    holds one of the file's added tokens (of several that begin there the longest), it is cut, and
-    the token's own id stands between the ids of the parts.
+    Texts are encoded whole. Wherever a text holds one of the file's added tokens (of several that
+    begin there the longest), it is cut, and the token's own id stands between the ids of the parts.
     """
 
     def __init__(self, path: str):
@@ -90,11 +72,6 @@ class Encoder:
         ranks = {bytes(code[c] for c in word): i for word, i in model["model"]["vocab"].items()}
         made = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.encode = made.encode_ordinary
-        self.first, self.later = Words(self.encode, ""), Words(self.encode, " ")
-
-    def line(self, line: str) -> bytes:
-        first, *rest = line.split(" ")
-        return self.first[first] + b"".join(map(self.later.__getitem__, rest))
 
     def ids(self, text: str) -> bytes:
         if not any(x in text for x in self.added):
@@ -105,12 +82,7 @@ class Encoder:
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without added tokens."""
-        lines = text.split("\n")
-        for line in lines:
-            # one kind of white space, single and inside a line only: else the whole text
-            if line.split() != line.split(" "):
-                return np.array(self.encode(text), np.uint16).tobytes()
-        return self.first["\n"].join(map(self.line, lines))
+        return np.array(self.encode(text), np.uint16).tobytes()
 
 
 def tokenise(docs: DataFrame, tokenizer: str, end: int = 1) -> DataFrame:

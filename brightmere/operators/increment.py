@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from brightmere.operators.joins import enrich
 from brightmere.operators.load import append_path
-from brightmere.sources import versions
+from brightmere.sources import layouts, versions
 
 # Fixed value: the mark of a table that was never copied.
 FIRST_MARK = dt.datetime(1900, 1, 1)
@@ -58,7 +58,8 @@ def hwm_copy(
 
     The increment is the partition of ``dst`` named after the old mark, and the mark is
     written last: a run that fails in between is repeated from the same mark and replaces
-    its own partition. ``col`` is a zone-less timestamp.
+    its own partition. ``col`` is a zone-less timestamp. A column of another type than in
+    earlier copies is refused before anything is written; new columns are not.
     """
     spark = src.sparkSession
     old = watermark(spark, marks, name)
@@ -68,6 +69,7 @@ def hwm_copy(
     if new is None:
         return old, old
     rows = beyond.where(F.col(col) <= F.lit(new).cast("timestamp_ntz"))
+    layouts.agree(rows, dst)
     rows.write.mode("overwrite").parquet(f"{dst}/{FROM_MARK}={old:%Y%m%dT%H%M%S%f}")
     _note(spark, marks, MARKS_LAYOUT, name, new)
     return old, new
@@ -75,7 +77,7 @@ def hwm_copy(
 
 def read_increments(spark: SparkSession, dst: str) -> DataFrame:
     """Everything copied to ``dst`` so far, with the columns of all copies (NULL where one lacks them)."""
-    return spark.read.option("mergeSchema", True).parquet(dst).drop(FROM_MARK)
+    return layouts.read_all(spark, dst, FROM_MARK)
 
 
 def filter_month_version(df: DataFrame, col: str, version: int) -> DataFrame:

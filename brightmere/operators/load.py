@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightmere.functions.calendar import FOREVER
-from brightmere.session import scratch, scratch_name
+from brightmere.session import remove_folders, scratch, scratch_name
 from brightmere.sources.files import identifier, read_csv, sql_text
 
 
@@ -205,8 +205,7 @@ def insert_only(df: DataFrame, table: str) -> None:
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system Spark can reach."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    remove_folders(spark, [path])
 
 
 def merge_files(

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brightmere.operators.load import by_partition
-from brightmere.session import scratch
+from brightmere.session import remove_folders, scratch
 from brightmere.sources import versions
 from brightmere.sources.files import identifier, sql_text
 
@@ -20,53 +20,50 @@ def keep_rows(df: DataFrame, ts: str, cutoff: dt.datetime) -> DataFrame:
     return df.where((F.col(ts) >= limit) | F.col(ts).isNull())
 
 
-def _same(listed: DataFrame, partitions: list[str]) -> tuple[DataFrame, Column]:
-    """Partitions to join with, and the condition; the NULL partition is one like the others."""
-    names = listed.select(*[F.col(p).alias(f"_{p}") for p in partitions])
-    return names, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partitions])
-
-
 def retain_rows(
     spark: SparkSession, table: str, ts: str, cutoff: dt.datetime, partitions: list[str]
 ) -> int:
     """Delete rows before ``cutoff`` from a partitioned table; returns how many.
 
-    Only partitions that hold such rows are rewritten. What they keep is staged, replaces
-    them partition by partition, and partitions that keep nothing are dropped at the end.
-    The list of affected partitions, not of rows, comes to the driver.
+    One pass over the times alone tells which partitions expire whole and which in part. The
+    former are dropped unread, in one statement. What the latter keep is staged and replaces
+    them; the staged rows go afterwards. Other partitions keep their files. The list of affected
+    partitions, not of rows, comes to the driver.
     """
     rows = spark.table(identifier(table))
     limit = F.lit(cutoff.isoformat(sep=" ")).cast(rows.schema[ts].dataType)
-    expired = rows.where(F.col(ts) < limit).groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n"))
-    staged_list = scratch(spark, "expired")
-    expired.write.parquet(staged_list)
-    affected = spark.read.schema(expired.schema).parquet(staged_list)
-    removed = affected.agg(F.sum("_n")).first()[0] or 0
-    if removed == 0:
+    zones = rows.groupBy(*partitions).agg(F.count_if(F.col(ts) < limit).alias("_old"), F.count(F.lit(1)).alias("_all"))
+    affected = zones.where("_old > 0").collect()
+    if not affected:
         return 0
-    staging = scratch(spark, "retained")
-    kept = keep_rows(rows, ts, cutoff).join(*_same(affected, partitions), "left_semi")
-    kept.write.parquet(staging)
-    staged = spark.read.schema(kept.schema).parquet(staging).select(*rows.columns)
-    arranged = by_partition(staged, *partitions)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        arranged.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    emptied = affected.join(*_same(staged.select(*partitions).distinct(), partitions), "left_anti")
-    for row in emptied.toLocalIterator():
-        spec = ", ".join(f"{p} = {sql_text(row[p])}" for p in partitions)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    return removed
+    mixed = [r for r in affected if r["_old"] < r["_all"]]
+    if mixed:
+        kept = keep_rows(rows.where(reduce(lambda a, b: a | b, [_is(r, partitions) for r in mixed])), ts, cutoff)
+        staging = scratch(spark, "retained")
+        kept.write.parquet(staging)
+        staged = spark.read.schema(kept.schema).parquet(staging).select(*rows.columns)
+        root = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+        writer = by_partition(staged, *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(root)
+        spark.catalog.refreshTable(table)
+        remove_folders(spark, [staging])
+    emptied = [r for r in affected if r["_old"] == r["_all"]]
+    if emptied:
+        specs = ", ".join("PARTITION (" + ", ".join(f"{p} = {sql_text(r[p])}" for p in partitions) + ")" for r in emptied)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    return sum(r["_old"] for r in affected)
+
+
+def _is(row: Row, partitions: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions])
 
 
 def retain_version(spark: SparkSession, root: str, ts: str, cutoff: dt.datetime) -> int:
-    """Commit a version without the rows before ``cutoff``, and remove the ones before it."""
-    version = versions.commit(keep_rows(versions.read_version(spark, root), ts, cutoff), root, "overwrite")
+    """Commit a version without the rows before ``cutoff`` and remove the ones before it; the
+    newest version. Commits whose zone does not reach ``cutoff`` are dropped unread, or stay."""
+    versions.retain(spark, root, ts, cutoff)
     versions.vacuum(spark, root)
-    return version
+    return versions.current_version(spark, root)
 
 
 def retention_plan(partitions: DataFrame, cutoff: dt.date) -> DataFrame:

@@ -186,7 +186,7 @@ def retention_versioned(spark, t):
     """A versioned table after retention: its rows, and the oldest version that is left."""
     root = scratch(spark, "versions")
     for batch in (F.year("o_orderdate") <= 1996, F.year("o_orderdate") > 1996):
-        versions.commit(t.orders.where(batch).select("o_orderkey", "o_orderdate"), root)
+        versions.commit(t.orders.where(batch).select("o_orderkey", "o_orderdate"), root, zones=["o_orderdate"])
     retention.retain_version(spark, root, "o_orderdate", CUTOFF)
     rows = versions.read_version(spark, root).agg(F.count(F.lit(1)).alias("n"))
     oldest = versions.history(spark, root).where("operation = 'vacuum'").select(F.col("version").alias("n"))

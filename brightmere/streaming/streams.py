@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
+from brightmere.sources import layouts
+
 # The limits of the filters.
 WARM, DEVICES, BOUND, LATE_SECONDS = 27, 1000, 100, 5
 
@@ -132,14 +134,16 @@ def split_by_limit(
 ) -> StreamingQuery:
     """Rows in bounds to one folder, the others (NULL too) to a second one.
 
-    A micro-batch that is replayed after a failure replaces the partitions it wrote before.
+    A micro-batch that is replayed after a failure replaces the partitions it wrote before. A
+    column of another type than in earlier batches is refused.
     """
+    agreed: set[str] = set()
 
     def write(batch: DataFrame, number: int) -> None:
         in_bounds = F.coalesce(within(col, limit), F.lit(False))
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         for path, rows in ((ok_path, kept.where(in_bounds)), (out_path, kept.where(~in_bounds))):
-            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+            _store(rows, path, number, agreed)
         kept.unpersist()
 
     return (
@@ -152,7 +156,16 @@ def split_by_limit(
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """What ``split_by_limit`` or ``keep_decoded`` wrote, with the columns of all batches."""
-    return spark.read.option("mergeSchema", True).parquet(path).drop(BATCH)
+    return layouts.read_all(spark, path, BATCH, "long")
+
+
+def _store(rows: DataFrame, path: str, number: int, agreed: set[str]) -> None:
+    """Write a micro-batch in place of what an earlier attempt wrote. The layout is agreed on once
+    for each path of a running query."""
+    if path not in agreed:
+        layouts.agree(rows, path)
+        agreed.add(path)
+    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
 
 
 def keep_decoded(
@@ -170,13 +183,14 @@ def keep_decoded(
     reports of the query under ``decode``. Each message is parsed once.
     """
     rest = [c for c in stream.columns if c not in schema.names]
+    agreed: set[str] = set()
 
     def write(batch: DataFrame, number: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         good = kept.select(*rest, F.inline("_record"))
         dead = kept.where(F.size("_record") == 0).drop("_record")
         for path, rows in ((good_path, good), (dead_path, dead)):
-            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+            _store(rows, path, number, agreed)
         kept.unpersist()
 
     decoded = stream.withColumn("_record", _readable(F.col("body"), schema, compat))

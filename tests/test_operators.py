@@ -406,6 +406,87 @@ def test_retention_touches_only_what_expires(spark, rows):
     assert retention.retain_rows(spark, table, "at", day(10), ["year"]) == 0
 
 
+def files(spark, root):
+    """The data files below a versioned folder."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/data").select("path")
+    return {r[0] for r in found.collect() if r[0].endswith(".parquet")}
+
+
+def touched(before, after):
+    return {f.split(f"{versions.VERSION}=")[1].split("/")[0] for f in before ^ after}
+
+
+def test_retention_leaves_no_trace(spark, rows):
+    """Partitions in one statement, no option changed, no staged rows left."""
+    table = scratch_name("kept")
+    data = [(n, p, day(n)) for n in range(1, 20) for p in (n // 3, 7)]
+    rows(data, "n INT, p INT, at TIMESTAMP_NTZ").write.partitionBy("p").option("path", scratch(spark, table)).saveAsTable(table)
+    options = spark.conf.getAll
+    said = []
+    sql = type(spark).sql
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark), "sql", lambda self, text, *a, **k: (said.append(text), sql(self, text, *a, **k))[1])
+        staged = []
+        patch.setattr(retention, "scratch", lambda s, label: staged.append(scratch(s, label)) or staged[-1])
+        assert retention.retain_rows(spark, table, "at", day(10), ["p"]) == 18
+    assert sum("DROP" in text for text in said) == 1 and spark.conf.getAll == options
+    assert len(staged) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(staged[0])
+    assert values(spark.table(table).select("n", "p")) == sorted([(n, p) for n, p, at in data if at >= day(10)], key=str)
+
+
+def test_retention_of_commits_by_their_zones(spark, rows):
+    """Commits that expire whole are not read, later ones keep their files, mixed ones are rewritten."""
+    root = scratch(spark, "versioned")
+    ddl = "n INT, at TIMESTAMP_NTZ"
+    parts = [[(1, day(1)), (2, day(2))], [(3, day(8)), (4, day(12))], [(5, day(15)), (6, None)], [(7, None)], [(8, day(3)), (9, None)], [(10, day(20))]]
+    for part in parts[:5]:
+        versions.commit(rows(part, ddl), root, zones=["at"])
+    versions.commit(rows(parts[5], ddl), root)  # without a zone
+    before = files(spark, root)
+    assert versions.retain(spark, root, "at", day(10)) == ([0], [1, 4, 5])
+    assert touched(before, files(spark, root)) == {"6"}
+    kept = [(4, day(12)), (5, day(15)), (6, None), (7, None), (9, None), (10, day(20))]
+    assert values(versions.read_version(spark, root)) == sorted(kept, key=str)
+    assert versions.read_version(spark, root, 5).count() == 10
+    assert versions.changes_since(spark, root, 5).count() == 1  # what was written again is no change
+    assert versions.retain(spark, root, "at", day(10)) == ([], [])
+    assert versions.vacuum(spark, root) == 6
+    assert touched(before, files(spark, root)) == {"0", "1", "4", "5", "6"}
+    assert values(versions.read_version(spark, root)) == sorted(kept, key=str)
+    with pytest.raises(ValueError):
+        versions.read_version(spark, root, 5)
+    versions.commit(rows([(11, day(30))], ddl), root, zones=["at"])
+    assert versions.retain(spark, root, "at", day(14)) == ([], [6])
+    assert versions.vacuum(spark, root) == 8 and versions.read_version(spark, root).count() == 6
+
+
+def test_ranges_skip_commits(spark, rows):
+    root = scratch(spark, "versioned")
+    for n in range(4):
+        versions.commit(rows([(10 * n, f"v{n}"), (10 * n + 5, None)], "n INT, t STRING"), root, zones=["N", "t"])
+    found = versions.read_version(spark, root, within=("n", 12, 20))
+    assert values(found) == [(15, None), (20, "v2")]
+    assert {f.split("=")[1].split("/")[0] for f in found.inputFiles()} >= {"1", "2"}
+    scanned = {r[0] for r in found.select(F.regexp_extract(F.input_file_name(), r"version=(\d+)", 1)).distinct().collect()}
+    assert scanned == {"1", "2"}
+    assert "isin" in plan(found).lower() or ">= 1" in plan(found)
+    assert values(versions.read_version(spark, root, within=("t", "v3", None))) == [(30, "v3")]
+    assert versions.read_version(spark, root, within=("n", 100, None)).count() == 0
+
+
+def test_copies_of_another_type_are_refused(spark, rows):
+    """Before a row is written, and the copies made so far stay readable."""
+    target, marks = scratch(spark, "target"), scratch(spark, "marks")
+    increment.hwm_copy(rows([(1, day(1))], "n INT, at TIMESTAMP_NTZ"), target, "at", marks, "t")
+    with pytest.raises(ValueError, match="n"):
+        increment.hwm_copy(rows([("two", day(2))], "n STRING, at TIMESTAMP_NTZ"), target, "at", marks, "t")
+    assert increment.watermark(spark, marks, "t") == day(1)
+    increment.hwm_copy(rows([(3, day(3), "new")], "n INT, at TIMESTAMP_NTZ, more STRING"), target, "at", marks, "t")
+    assert values(increment.read_increments(spark, target).select("n", "more")) == [(1, None), (3, "new")]
+
+
 def test_retention_in_the_null_partition(spark, rows):
     table = scratch_name("kept")
     data = [(1, None, day(1)), (2, None, day(20)), (3, "it's", day(1)), (4, "z", day(20))]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brightmere.functions.calendar import FOREVER
@@ -161,7 +161,8 @@ def convert(
 
     A value that does not convert fails the copy; with ``rejects`` its whole row goes there
     instead, as text and with the names of such columns in ``_failed``. Both folders are
-    replaced, so a repeated copy leaves the same rows. Returns the number of rejected rows.
+    replaced, so a repeated copy leaves the same rows. Returns the number of rejected rows, which
+    the copy itself counts; an input without any is read once.
     """
     rows = read_csv(spark, source, **dialect)
     if rejects is None:
@@ -177,11 +178,16 @@ def convert(
     names = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in casts.items()]
     judged = rows.withColumn("_failed", F.array_compact(F.array(*names)))
     bad = F.size("_failed") > 0
-    judged.where(bad).write.mode("overwrite").parquet(rejects)
-    judged.where(~bad).drop("_failed").withColumns(
+    seen = Observation()
+    counted = judged.observe(seen, F.count_if(bad).alias("rejected"))
+    counted.where(~bad).drop("_failed").withColumns(
         {c: F.col(c).try_cast(t) for c, t in casts.items()}
     ).write.mode("overwrite").parquet(target)
-    return spark.read.schema("_failed ARRAY<STRING>").parquet(rejects).count()
+    rejected = (seen.get or {}).get("rejected") or 0
+    # Only rows to reject cost another look at the input.
+    found = judged.where(bad) if rejected else spark.createDataFrame([], judged.schema)
+    found.write.mode("overwrite").parquet(rejects)
+    return rejected
 
 
 def save_reference(df: DataFrame, table: str, path: str | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +37,15 @@ def read_json(
     schema: StructType | str | None = None,
     multiline: bool = False,
     bad_path: str | None = None,
+    load_id: str | None = None,
 ) -> DataFrame:
     """JSON (lines, or one document per file with ``multiline``).
 
-    With ``bad_path`` the records that do not parse are appended there with their
-    source file (a pass over the input), and the returned frame holds only the others. Without a schema
-    Spark infers one, which costs a pass over the input.
+    With ``bad_path`` the records that do not parse are stored there with their source file (a
+    pass over the input), and the returned frame holds only the others. They lie in a partition
+    ``load_id=...`` of their own, which a repeated run of the same load replaces; a load without a
+    name is named after its path. Without a schema Spark infers one, which costs a pass over
+    the input.
     """
     reader = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
     if schema is None:
@@ -50,7 +54,8 @@ def read_json(
     if bad_path is None:
         return reader.schema(schema).json(path)
     good, bad = read_json_split(spark, path, schema, multiline)
-    bad.write.mode("append").json(bad_path)
+    name = load_id or hashlib.md5(path.encode()).hexdigest()
+    bad.write.mode("overwrite").json(f"{bad_path}/load_id={name}")
     return good
 
 

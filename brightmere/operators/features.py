@@ -8,6 +8,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 from pyspark.sql.window import Window
 
 from brightmere.functions.calendar import calendar_parts, hour_id
@@ -172,8 +173,18 @@ def register(
     stage: str = "Development",
     tags: dict[str, str] | None = None,
 ) -> int:
-    """Add a feature set to the registry folder; returns its version (now, in epoch seconds)."""
+    """Add a feature set to the registry folder; returns its version (now, in epoch seconds).
+
+    A version that the set already has is refused, also the one of the present second.
+    """
     version = int(time.time()) if version is None else version
+    try:
+        known = spark.read.schema(REGISTRY_LAYOUT).parquet(registry).where((F.col("name") == name) & (F.col("version") == version))
+        if not known.isEmpty():
+            raise ValueError(f"feature set {name!r} has a version {version} already")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
     row = (
         name, version, path, fmt, timestamp_column, json.dumps(layout.jsonValue()),
         index_columns, stage, tags or {},

@@ -484,12 +484,18 @@ def load_audit(spark, t):
        FROM customer, (VALUES ('interim.parking_bay'), ('malformed.parking_bay')) o(output) GROUP BY ALL""",
 )
 def lineage_edges(spark, t):
-    """The edges of a load, each with the rows its input had."""
-    outputs = ["interim.parking_bay", "malformed.parking_bay"]
-    path = scratch(spark, "lineage")
-    load.append_path(lineage.record(spark, ["orders", "customer"], outputs, "standardize", "load-1"), path)
+    """The edges of a load, read off the frames it wrote, each with the rows its input had."""
+    log = scratch(spark, "lineage")
+    named = t.orders.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    named.createOrReplaceTempView(view := scratch_name("named"))
+    for output, rows in (("interim.parking_bay", "o_orderkey % 3 > 0"), ("malformed.parking_bay", "o_orderkey % 3 = 0")):
+        lineage.write(spark.table(view).where(rows), f"{scratch(spark, 'out')}/{output}", "standardize", "load-1", log)
+    edges = spark.read.parquet(log).select(
+        F.regexp_extract("input", r"(\w+)\.parquet$", 1).alias("input"), "process",
+        F.regexp_extract("output", "[^/]+$", 0).alias("output"), "load_id",
+    )
     sizes = load.audit_counts(t.orders, "orders", "load-1").unionByName(
         load.audit_counts(t.customer, "customer", "load-1")
     )
     rows = sizes.select(F.col("filename").alias("input"), F.col("count").alias("input_rows"))
-    return spark.read.parquet(path).join(rows, "input")
+    return edges.join(rows, "input")

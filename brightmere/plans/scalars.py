@@ -260,26 +260,38 @@ def total_due(spark, t):
     return t.lineitem.select("l_orderkey", "l_linenumber", due.cast("double").alias("due"))
 
 
-@query(
-    "xml_extract",
-    """SELECT p_partkey, p_name AS "Summary", p_brand AS "Manufacturer", CAST(p_size AS VARCHAR) AS "NoOfYears",
-              p_name AS "BikeFrame", CASE WHEN p_size > 25 THEN p_type END AS "Material"
-       FROM part""",
-)
+# Every element of the catalogue in one document; part by part another one is missing.
+XML_SQL = ", ".join(f"""CASE WHEN p_size % {len(scalars.CATALOG_PATHS)} <> {i} THEN p_name || ' & {i}' END AS "{name}\"""" for i, name in enumerate(scalars.CATALOG_PATHS))
+
+
+def _catalog_document():
+    """The document of a part, with prefixed names as in the catalogue."""
+    tree = {}
+    for i, path in enumerate(scalars.CATALOG_PATHS.values()):
+        *frames, last = path.split("/")
+        at = tree
+        for frame in frames:
+            at = at.setdefault(frame, {})
+        at[last] = i
+    prefixes = {"p": "h", "Warranty": "wm", "Maintenance": "wm", "wheel": "wf", "saddle": "wf", "pedal": "wf", "BikeFrame": "wf", "crankset": "wf"}
+
+    def element(name, inner, of="p1"):
+        own = prefixes.get(name, of)
+        text = F.regexp_replace(F.concat("p_name", F.lit(f" & {inner}")), "&", "&amp;") if isinstance(inner, int) else F.concat(
+            *[element(n, x, own if own == "wm" else "p1") for n, x in inner.items()]
+        )
+        spaces = ' xmlns:p1="urn:model" xmlns:h="urn:html" xmlns:wm="urn:care" xmlns:wf="urn:bike"' if name == "ProductDescription" else ""
+        whole = F.concat(F.lit(f"<{own}:{name}{spaces}>"), text, F.lit(f"</{own}:{name}>"))
+        return F.when(F.col("p_size") % len(scalars.CATALOG_PATHS) != inner, whole).otherwise("") if isinstance(inner, int) else whole
+
+    return element("ProductDescription", tree["ProductDescription"])
+
+
+@query("xml_extract", f"SELECT p_partkey, {XML_SQL} FROM part")
 def xml_extract(spark, t):
-    """Parts as catalogue documents with prefixed names; some lack their material."""
-    material = F.when(F.col("p_size") > 25, F.concat(F.lit("<Material>"), "p_type", F.lit("</Material>"))).otherwise("")
-    document = F.concat(
-        F.lit('<p1:ProductDescription xmlns:p1="urn:model" xmlns:h="urn:html" xmlns:wm="urn:care" xmlns:wf="urn:bike">'),
-        F.lit("<p1:Summary><h:p>"), "p_name", F.lit("</h:p></p1:Summary>"),
-        F.lit("<p1:Manufacturer><p1:Name>"), "p_brand", F.lit("</p1:Name></p1:Manufacturer>"),
-        F.lit("<p1:Features><wm:Maintenance><wm:NoOfYears>"), F.col("p_size"),
-        F.lit("</wm:NoOfYears></wm:Maintenance><wf:BikeFrame><i>"), "p_name", F.lit("</i></wf:BikeFrame></p1:Features>"),
-        F.lit("<p1:Specifications>"), material, F.lit("</p1:Specifications></p1:ProductDescription>"),
-    )
-    wanted = ["Summary", "Manufacturer", "NoOfYears", "BikeFrame", "Material"]
-    paths = {name: scalars.CATALOG_PATHS[name] for name in wanted}
-    return scalars.xml_fields(t.part.select("p_partkey", document.alias("xml")), "xml", paths).drop("xml")
+    """All fields of parts as catalogue documents."""
+    documents = t.part.select("p_partkey", _catalog_document().alias("xml"))
+    return scalars.xml_fields(documents, "xml", scalars.CATALOG_PATHS).drop("xml")
 
 
 @query(

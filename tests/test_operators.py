@@ -548,6 +548,8 @@ def test_registry(spark, rows):
     layout = StructType.fromDDL("n INT, s STRING")
     assert features.register(spark, registry, "set", path, layout, "n", ["s"], "csv", version=3) == 3
     assert features.register(spark, registry, "set", path + "-none", layout, "n", ["s"], "csv", version=2) == 2
+    with pytest.raises(ValueError, match="version 2"):
+        features.register(spark, registry, "set", path, layout, "n", ["s"], "csv", version=2)
     assert features.read_feature_set(spark, registry, "set").schema == layout
     assert values(features.read_feature_set(spark, registry, "set", 3)) == [(1, "a")]
     with pytest.raises(KeyError):
@@ -821,3 +823,26 @@ def test_messages_are_parsed_once(rows):
 
     good, dead = streams.decode(rows([("{}",)], "body STRING"), get_schema("device_event"))
     assert plan(good).count("from_json") == 1 and plan(dead).count("from_json") == 1
+
+
+def test_lineage_is_what_a_frame_reads(spark, rows):
+    from brightmere.operators import lineage
+
+    left, right, target, log = (scratch(spark, n) for n in ("left", "right", "target", "log"))
+    table = scratch_name("kept")
+    rows([(1, "a"), (2, "b")], "n INT, t STRING").write.parquet(left)
+    rows([(1,)], "n INT").write.parquet(right)
+    rows([(2,)], "n INT").write.option("path", scratch(spark, table)).saveAsTable(table)
+    spark.read.parquet(left).where("n > 0").createOrReplaceTempView("left_view")
+    frame = spark.sql(f"SELECT * FROM left_view JOIN {table} USING (n)").cache().unionByName(
+        spark.read.parquet(right).withColumn("t", F.lit("c"))
+    ).unionByName(rows([(9, "made")], "n INT, t STRING"))
+    named = sorted([left, right, f"spark_catalog.default.{table}"])
+    assert sorted(x.removeprefix("file:") for x in lineage.inputs(frame)) == sorted(x.removeprefix("file:") for x in named)
+    assert lineage.write(frame, target, "join", "load-1", log) == lineage.inputs(frame)
+    edges = spark.read.parquet(log).collect()
+    assert {(e.input, e.process, e.output, e.load_id) for e in edges} == {(i, "join", target, "load-1") for i in lineage.inputs(frame)}
+    assert spark.read.parquet(target).count() == 3
+    with pytest.raises(Exception, match="already exists"):
+        lineage.write(frame, target, "join", "load-2", log, mode="error")
+    assert spark.read.parquet(log).where("load_id = 'load-2'").isEmpty()

@@ -8,6 +8,8 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightmere.operators import boosting
+
 # Parameters of the boosted trees.
 DEPTH, ROUNDS, RATE, SEED = 3, 100, 0.1, 13
 
@@ -18,13 +20,15 @@ def train_demand(
     family: str = "gbt",
     rounds: int = ROUNDS,
     features: list[str] | None = None,
-) -> PipelineModel:
+) -> PipelineModel | boosting.PoissonTrees:
     """Fit demand on every other column.
 
-    ``gbt`` is boosted trees on squared loss; ``poisson`` is a log-linear Poisson model.
-    Spark has no boosted trees with a Poisson objective; these are the two halves of it.
+    ``gbt`` is boosted trees on squared loss, ``poisson`` a log-linear Poisson model, both of
+    Spark's library; ``poisson_trees`` are boosted trees with the Poisson objective.
     """
     inputs = features or [c for c in df.columns if c != label]
+    if family == "poisson_trees":
+        return boosting.fit(df, label, inputs, rounds, DEPTH, RATE)
     assemble = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "prediction"}
     if family == "gbt":
@@ -32,11 +36,11 @@ def train_demand(
     elif family == "poisson":
         model = GeneralizedLinearRegression(family="poisson", link="log", regParam=1e-6, **common)
     else:
-        raise ValueError(f"family is gbt or poisson, not {family!r}")
+        raise ValueError(f"family is gbt, poisson or poisson_trees, not {family!r}")
     return Pipeline(stages=[assemble, model]).fit(df)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | boosting.PoissonTrees, df: DataFrame) -> DataFrame:
     """``df`` with the column ``prediction``."""
     return model.transform(df).drop("features")
 

@@ -221,3 +221,34 @@ def register_feature_set(spark, t):
         counts.append(stored.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name)))
     listed = spark.read.schema(features.REGISTRY_LAYOUT).parquet(registry).select("name", "version", "timestamp_column")
     return listed.join(counts[0].unionByName(counts[1]), "name")
+
+
+SHARE = f"('0x' || substr(md5(concat_ws('|', 13, {', '.join(KEYS)})), 1, 8))::BIGINT % 10000"
+
+
+@query(
+    "train_demand_trees",
+    f"""SELECT CASE WHEN {SHARE} < 8000 THEN 'train' ELSE 'test' END AS part, count(*) AS rows, true AS positive, CASE WHEN part = 'train' THEN true END AS better
+        FROM ({TRAINING}) GROUP BY part""",
+)
+def train_demand_trees(spark, t):
+    """Boosted trees with the Poisson objective, ten rounds of them: the rows of both parts, whether
+    all predictions are positive, and whether the deviance of the rows learned from is below that of
+    their mean."""
+    path = scratch(spark, "training")
+    _training(t).write.parquet(path)
+    train, test = features.split(spark.read.parquet(path), KEYS)
+    model = models.train_demand(train, family="poisson_trees", rounds=10)
+    parts = []
+    for part, rows in (("train", train), ("test", test)):
+        y, p = F.col("demand").cast("double"), F.col("prediction")
+        scored = models.score(model, rows)
+        # The deviance up to a term that has no prediction in it.
+        total = scored.agg(
+            F.count(F.lit(1)).alias("rows"), F.min(p > 0).alias("positive"), F.sum(p - y * F.log(p)).alias("deviance"),
+            F.avg(y).alias("mean"), F.sum(y).alias("sum"),
+        )
+        of_mean = F.col("rows") * F.col("mean") - F.col("sum") * F.log("mean")
+        better = F.when(F.lit(part) == "train", F.col("deviance") < of_mean)
+        parts.append(total.select(F.lit(part).alias("part"), "rows", "positive", better.alias("better")))
+    return parts[0].unionByName(parts[1])

@@ -86,12 +86,13 @@ ROLES = _set(
 )
 # Words of classes and ids that name no article.
 NAMES = _set(
-    "ad ads adsense adv advert advertisement advertisements advertising adverts alert alerts aside banner "
-    "breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright disclaimer disqus footer "
-    "form gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay pager "
-    "pagination popup popups promo promos promotion recommendations recommended related replies reply respond "
-    "search share sharing sidebar sidebars signin signup sitemap skip social sponsor sponsored sponsors submenu "
-    "subscribe subscription toolbar topbar widgets"
+    "ad adbox ads adsbygoogle adsense adslot adunit adv advert advertisement advertisements advertising "
+    "adverts alert alerts aside banner breadcrumb breadcrumbs comment commentlist comments consent cookie "
+    "cookies copyright disclaimer disqus footer form gdpr login masthead menu menubar modal nav navbar "
+    "navigation newsletter notice notices overlay pager pagination popup popups promo promos promotion "
+    "recommendations recommended related replies reply respond search share sharing sidebar sidebars signin "
+    "signup sitemap skip social sponsor sponsored sponsors submenu subscribe subscription toolbar topbar "
+    "widgets"
 )
 # Beside one of these such a word tells of the page and not of the element.
 ABOUT = _set("has no with without")

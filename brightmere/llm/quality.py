@@ -114,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     document): at most ``sample`` documents of each label, chosen by hash, texts whole; the bias
     is then moved to the shares that the labels have among all documents. Texts travel for the
     sample alone. Null texts are empty; rows without doc_id or with another label are left out;
-    with rows of one label only, that label's bias speaks; with none, the score is 0.5."""
+    with rows of one label only, that label's bias speaks; with none, the score is within a hundredth of 0.5."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     known = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").select("doc_id", F.col("label").cast("int"))
     known = staged(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")

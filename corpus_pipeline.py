@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the result is
 written as Parquet and read again for the next one. All but the last return the columns of
-``documents``. No stage has a SQL equivalent; tests hold the stages against brute force.
+``documents``. No stage has a SQL equivalent. The operators' tests hold what the stages do against
+brute force, round trips and held-out rows; the pipeline's own test looks at columns and windows.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -123,16 +124,7 @@ def standardize_events_bad(spark, t):
 )
 def parking_load(spark, t):
     """The whole load: standardised bays and sensors, three dimensions, facts; counted by status."""
-    bays, _ = standardize_parking_bay(_bays(t), "load-1", LOADED_ON)
-    sensors, _ = standardize_sensordata(_sensors(t), "load-1", LOADED_ON)
-
-    def empty(name):
-        return spark.createDataFrame([], get_schema(name))
-
-    bay = scd.process_dim_parking_bay(bays, empty("dw_dim_parking_bay"), "load-1", LOADED_ON)
-    place = scd.process_dim_location(sensors, empty("dw_dim_location"), "load-1", LOADED_ON)
-    marker = scd.process_dim_st_marker(sensors, empty("dw_dim_st_marker"), "load-1", LOADED_ON)
-    fact = process_fact_parking(sensors, bay, place, marker, "load-1", LOADED_ON)
+    fact, _ = _parking(spark, _bays(t), _sensors(t), _no_dims(spark), "load-1")
     unknown = F.lit("00000000-0000-0000-0000-000000000000")
     return fact.groupBy(
         "dim_date_id",
@@ -144,6 +136,58 @@ def parking_load(spark, t):
     ).agg(F.count(F.lit(1)).alias("facts"))
 
 
+def _no_dims(spark):
+    return [spark.createDataFrame([], get_schema(f"dw_dim_{n}")) for n in ("parking_bay", "location", "st_marker")]
+
+
+def _parking(spark, landed_bays, landed_sensors, dims, load_id):
+    """Facts and dimensions of a load upon the dimensions there were. Standardised rows and
+    dimensions are stored as they are made, and each later step reads them."""
+    path = scratch(spark, "parking")
+
+    def stored(rows, name):
+        rows.write.parquet(f"{path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    bays = stored(standardize_parking_bay(landed_bays, load_id, LOADED_ON)[0], "interim_bay")
+    sensors = stored(standardize_sensordata(landed_sensors, load_id, LOADED_ON)[0], "interim_sensor")
+    made = [
+        stored(scd.process_dim_parking_bay(bays, dims[0], load_id, LOADED_ON), "dim_bay"),
+        stored(scd.process_dim_location(sensors, dims[1], load_id, LOADED_ON), "dim_location"),
+        stored(scd.process_dim_st_marker(sensors, dims[2], load_id, LOADED_ON), "dim_marker"),
+    ]
+    return process_fact_parking(sensors, *made, load_id, LOADED_ON), made
+
+
+@query(
+    "parking_facts_reload",
+    """WITH bays AS (SELECT DISTINCT o_custkey, year(o_orderdate) <= 1993 AS early FROM orders
+                     WHERE o_orderstatus <> 'F' AND (year(o_orderdate) <= 1993 OR year(o_orderdate) >= 1996)),
+            sensors AS (SELECT *, CASE WHEN event_type <> 'view' THEN event_type END AS marker FROM events WHERE event_type <> 'error')
+       SELECT 'load-1' AS load_id, user_id NOT IN (SELECT o_custkey FROM bays WHERE early) AS bay_unknown, marker IS NULL AS marker_unknown,
+              count(*) AS facts, count(DISTINCT marker) AS markers
+       FROM sensors WHERE event_type <> 'purchase' AND user_id % 2 = 0 GROUP BY ALL
+       UNION ALL SELECT 'load-2', user_id NOT IN (SELECT o_custkey FROM bays), marker IS NULL, count(*), count(DISTINCT marker)
+       FROM sensors GROUP BY ALL""",
+)
+def parking_facts_reload(spark, t):
+    """Facts of two loads. The second finds dimensions that the first has filled: bays that only
+    the first brought are still known, new bays and markers are known from it on."""
+    year = F.year("o_orderdate")
+    dims, loads = _no_dims(spark), []
+    for number, orders, events in (
+        (1, t.orders.where(year <= 1993), t.events.where("event_type <> 'purchase' AND user_id % 2 = 0")),
+        (2, t.orders.where(year >= 1996), t.events),
+    ):
+        fact, dims = _parking(spark, _bay_rows(orders), _sensors(SimpleNamespace(events=events)), dims, f"load-{number}")
+        loads.append(fact)
+    unknown = F.lit("00000000-0000-0000-0000-000000000000")
+    marker = F.when(F.col("dim_st_marker_id") != unknown, F.col("dim_st_marker_id"))
+    return loads[0].unionByName(loads[1]).groupBy(
+        "load_id", (F.col("dim_parking_bay_id") == unknown).alias("bay_unknown"), marker.isNull().alias("marker_unknown")
+    ).agg(F.count(F.lit(1)).alias("facts"), F.countDistinct(marker).alias("markers"))
+
+
 FIRST, SECOND = "year(o_orderdate) <= 1997", "year(o_orderdate) >= 1995"
 GOOD = {x: f"SELECT * FROM ({TYPED.replace('FROM orders', f'FROM orders WHERE {x}')}) WHERE bay_id IS NOT NULL" for x in (FIRST, SECOND)}
 

@@ -43,9 +43,10 @@ def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
 
     One join per level, however deep the table is. Each level is written to the shared folder and
     read back, so a level neither repeats the joins above it nor depends on an executor that held
-    them. Only ids on a cycle that hangs on a root (or between two such) lead on from none but
-    the first level that reaches them, which brings every table to an end. Rows on a cycle alone
-    are reached by no root.
+    them. Levels meet by sorted shuffles: the size of a compressed file says little about that of
+    its rows in the driver's memory, which a broadcast would fill. Only ids on a cycle that hangs
+    on a root (or between two such) lead on from none but the first level that reaches them, which
+    brings every table to an end. Rows on a cycle alone are reached by no root.
     """
     spark = df.sparkSession
     path = scratch(spark, "hierarchy")
@@ -70,9 +71,9 @@ def hierarchy(df: DataFrame, id: str, parent: str, name: str) -> DataFrame:
         if turning is not None and level:
             reached = known.parquet(*[f"{path}/level={n}" for n in range(level)])
             spent = reached.join(turning, "id", "left_semi").select(F.col("id").alias("_up"))
-            above = above.join(spent, "_up", "left_anti")
+            above = above.join(spent.hint("merge"), "_up", "left_anti")
         level += 1
-        children = nodes.join(above, F.col("parent") == F.col("_up")).select(
+        children = nodes.join(above.hint("merge"), F.col("parent") == F.col("_up")).select(
             "id", "name", "parent", "parent_name"
         )
         children.write.parquet(f"{path}/level={level}")

@@ -185,6 +185,23 @@ def test_hierarchy_of_nothing(rows):
     assert joins.hierarchy(rows([], "id INT, up INT, name STRING"), "id", "up", "name").count() == 0
 
 
+def test_hierarchy_broadcasts_no_level(rows, monkeypatch):
+    """The files of a level are small beside its rows, which would fill the driver."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    stored, store = [], DataFrameWriter.parquet
+
+    def noted(self, *given, **named):
+        stored.append(plan(self._df))
+        return store(self, *given, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    data = [(1, None, "root"), (2, 1, "a"), (3, 2, "b")]
+    assert joins.hierarchy(rows(data, "id INT, up INT, name STRING"), "id", "up", "name").count() == 2
+    joined = [p for p in stored if "Join" in p]
+    assert joined and not any("Broadcast" in p for p in joined)
+
+
 def test_graph_path_drops_unlinked_nodes(rows):
     alarm = rows([(1, "hot"), (2, "cold"), (3, "unlinked")], "alarm INT, kind STRING")
     asset = rows([(10,), (11,)], "asset INT")

@@ -92,22 +92,36 @@ def fields(col: Column, sep: str, names: list[str]) -> list[Column]:
     return [split_part(col, sep, i).alias(name) for i, name in enumerate(names)]
 
 
+# A character that no XML document can hold, not even by its number.
+NO_XML = "\ufffe"
+# Java refuses an XPath expression of more than a hundred operators; a step by local name has five.
+XPATH_STEPS = 19
+
+
 def xml_fields(df: DataFrame, col: str, paths: dict[str, str]) -> DataFrame:
     """Add one text column per XML path; rows without a document are left out.
 
     A path is a list of element names, ``A/B/C``: matching is on local names, so a
     namespace prefix in the document does not matter, and the first match counts.
-    A missing element gives NULL.
+    A missing element gives NULL. Paths are looked up together, as many as an expression may
+    have, so that a document is parsed once for about six paths.
     """
-    def xpath(path: str) -> str:
-        steps = "".join(f"/*[local-name()='{step}']" for step in path.split("/"))
-        return f"({steps})[1]"
-
-    extracted = {
-        name: F.nullif(F.xpath_string(F.col(col), F.lit(xpath(path))), F.lit(""))
-        for name, path in paths.items()
-    }
-    return df.where(F.col(col).isNotNull()).withColumns(extracted)
+    present = df.where(F.col(col).isNotNull())
+    if not paths:
+        return present
+    together: list[list[str]] = [[]]
+    for steps in (path.split("/") for path in paths.values()):
+        if together[-1] and sum(p.count("/*") for p in together[-1]) + len(steps) > XPATH_STEPS:
+            together.append([])
+        # As a text, the nodes that a path finds are the first of them.
+        together[-1].append("".join(f"/*[local-name()='{step}']" for step in steps))
+
+    def texts(found: list[str]) -> Column:
+        whole = f"concat({f", '{NO_XML}', ".join(found)})" if len(found) > 1 else found[0]
+        return F.split(F.xpath_string(F.col(col), F.lit(whole)), NO_XML)
+
+    extracted = {name: F.nullif(F.get("_found", F.lit(i)), F.lit("")) for i, name in enumerate(paths)}
+    return present.withColumn("_found", F.concat(*map(texts, together))).withColumns(extracted).drop("_found")
 
 
 # The elements of a product catalogue description.

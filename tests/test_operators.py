@@ -642,6 +642,21 @@ def test_xml_without_document(rows):
     assert values(scalars.xml_fields(df, "doc", {"x": "r/x", "y": "r/y"}).select("id", "x", "y")) == [(2, "1", None)]
 
 
+def test_xml_paths_are_looked_up_together(rows):
+    """A document is parsed once for several paths: prefixes, the first match, texts of inner elements."""
+    doc = "<a:r xmlns:a='u'><a:x> 1 <b>b</b><!-- c --><![CDATA[<]]>&amp;</a:x><x>2</x><g/><g><h>z</h></g><e/></a:r>"
+    df = rows([(1, doc), (2, "<r><h>h</h></r>"), (3, ""), (4, None)], "id INT, doc STRING")
+    found = scalars.xml_fields(df, "doc", {"x": "r/x", "h": "r/g/h", "e": "r/e", "b": "r/x/b"})
+    assert values(found.drop("doc")) == [(1, " 1 b<&", "z", None, "b"), (2, None, None, None, None), (3, None, None, None, None)]
+    assert plan(found).count("XPathStringEvaluator") == 1
+    assert values(scalars.xml_fields(df, "doc", {"h": "r/h"}).select("id", "h")) == [(1, None), (2, "h"), (3, None)]
+    assert scalars.xml_fields(df, "doc", {}).columns == ["id", "doc"]
+    tall = "/".join(["r"] * 19)
+    many = {f"f{i}": path for i, path in enumerate(["r/h", *["r/no"] * 30, tall, "r/h"])}
+    found = scalars.xml_fields(df.where("id = 2"), "doc", many).first()
+    assert (found.f0, found.f1, found.f31, found.f32) == ("h", None, None, "h")
+
+
 @pytest.mark.parametrize(
     "text, masked",
     [

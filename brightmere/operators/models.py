@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,8 @@ def train_demand(
     """Fit demand on every other column.
 
     ``gbt`` is boosted trees on squared loss, ``poisson`` a log-linear Poisson model, both of
-    Spark's library; ``poisson_trees`` are boosted trees with the Poisson objective.
+    Spark's library; ``poisson_trees`` are boosted trees with the Poisson objective. Without
+    rows to learn from the model stays at its start: no tree, coefficients of zero.
     """
     inputs = features or [c for c in df.columns if c != label]
     if family == "poisson_trees":
@@ -32,11 +33,13 @@ def train_demand(
     assemble = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "prediction"}
     if family == "gbt":
-        model = GBTRegressor(maxDepth=DEPTH, maxIter=rounds, stepSize=RATE, seed=SEED, **common)
+        model, start = GBTRegressor(maxDepth=DEPTH, maxIter=rounds, stepSize=RATE, seed=SEED, **common), 0.0
     elif family == "poisson":
-        model = GeneralizedLinearRegression(family="poisson", link="log", regParam=1e-6, **common)
+        model, start = GeneralizedLinearRegression(family="poisson", link="log", regParam=1e-6, **common), 1.0
     else:
         raise ValueError(f"family is gbt, poisson or poisson_trees, not {family!r}")
+    if df.isEmpty():
+        return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {start}D AS prediction FROM __THIS__")]).fit(df)
     return Pipeline(stages=[assemble, model]).fit(df)
 
 

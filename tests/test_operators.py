@@ -583,6 +583,15 @@ def test_models_learn(spark, family):
         models.train_demand(df, family="tree")
 
 
+@pytest.mark.parametrize("family, expected", [("gbt", 0.0), ("poisson", 1.0), ("poisson_trees", 1.0)])
+def test_models_without_rows_stay_at_their_start(rows, family, expected):
+    layout = "x DOUBLE, demand BIGINT"
+    model = models.train_demand(rows([], layout), family=family)
+    assert models.score(model, rows([(2.0, 5)], layout)).collect() == [(2.0, 5, expected)]
+    found = models.regression_metrics(models.score(model, rows([], layout)), "demand", "prediction").collect()
+    assert found == [(0, None, None, None, None)]
+
+
 def test_metrics(rows):
     found = models.regression_metrics(rows([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0)], "y DOUBLE, p DOUBLE"), "y", "p").first()
     assert found.mae == 1.0 and found.mse == pytest.approx(5 / 3) and found.r2 == pytest.approx(1 - 5 / 8)

@@ -56,3 +56,15 @@ def test_only_the_wanted_events_are_read(spark):
 def test_unbounded_results_are_not_sorted_in_one_task(spark):
     text = plan(QUERIES["sort_multi"](spark, FOLDER))
     assert "rangepartitioning" in text and "SinglePartition" not in text
+
+
+def test_demand_of_hours_without_weather(spark, tmp_path):
+    """Each hour has a value above the weather's, so no hour is left to learn from or to score."""
+    events = "SELECT id AS event_id, TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, id) AS ts, id AS user_id, 'view' AS event_type, 250D AS value, '{\"k\": 1}' AS props FROM range(9)"
+    parts = "SELECT id AS p_partkey, 'x' AS p_name, 'Brand#2' AS p_brand, 'ECONOMY' AS p_type, 1 AS p_size, 1D AS p_retailprice FROM range(9)"
+    spark.sql(events).write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql(parts).write.parquet(f"{tmp_path}/part.parquet")
+    scored = QUERIES["score_demand"](spark, str(tmp_path))
+    assert scored.columns[-2:] == ["demand", "positive"] and scored.collect() == []
+    trained = QUERIES["train_demand"](spark, str(tmp_path)).select("family", "rows", "mae", "r2")
+    assert sorted(map(tuple, trained.collect())) == [("gbt", 0, None, None), ("poisson", 0, None, None)]

@@ -165,13 +165,11 @@ def _end(events: DataFrame, key: Column | None, query: Column | str, label: str
     )
 
 
-def _counted(events: DataFrame, entries: dict[str, list[Column]], width: str, others: Column | None = None) -> DataFrame:
-    """(key, query, label, value, at, n, start): what rows of the log tell, equal entries counted,
-    and the first start of each key as a row of its own.
+def _told(events: DataFrame, entries: dict[str, list[Column]], width: str, others: Column | None = None) -> DataFrame:
+    """The entries that rows of the log tell, see ``_added``.
 
     ``entries`` has the entries of a kind of event, ``others`` an array of further ones. The log is
-    read once, and its reading tasks count and take the first starts. Such counts of parts of a log add
-    up to those of the whole: ``n`` by its sum, ``start`` by the least.
+    read once, and only what the entries name of it.
     """
     told = F.lit(None)
     for kind, made in reversed(entries.items()):
@@ -184,9 +182,17 @@ def _counted(events: DataFrame, entries: dict[str, list[Column]], width: str, ot
     epoch = F.lit("1970-01-01").cast(events.schema["time_generated"].dataType)
     own = F.coalesce(F.when(key == NO_KEY, F.col("time_generated")), epoch)
     at = F.window(own, width).getField("start").alias("at")
-    return rows.groupBy(key.alias("key"), "e.query", "e.label", "e.value", at).agg(
-        F.count("e.query").alias("n"), F.min("e.start").alias("start")
-    )
+    return rows.select(key.alias("key"), "e.query", "e.label", "e.value", at, "e.start")
+
+
+def _added(entries: DataFrame) -> DataFrame:
+    """(key, query, label, value, at, start, n): equal entries counted, starts among them (n is 0).
+
+    The reading tasks count. Such counts of parts of a log add up to those of the whole. Starts are
+    keys here, of which ``_met`` takes the first: a least one taken in this place would have Spark
+    sort all entries, ends too.
+    """
+    return entries.groupBy("key", "query", "label", "value", "at", "start").agg(F.count("query").alias("n"))
 
 
 def _met(counted: DataFrame, width: str) -> DataFrame:
@@ -194,9 +200,9 @@ def _met(counted: DataFrame, width: str) -> DataFrame:
 
     Only counts and starts travel and meet, so a start never multiplies what is tied to it.
     """
-    # Both conditions name both numbers, so that the two sides read one and the same shuffle.
-    starts = counted.where("n = 0 AND start IS NOT NULL").select("key", "start")
-    ends = counted.where("n > 0 AND start IS NULL").drop("start")
+    # Conditions on the count alone, which is not known before the shuffle: both sides read the same one.
+    starts = counted.where("n = 0").groupBy("key").agg(F.min("start").alias("start"))
+    ends = counted.where("n > 0").drop("start")
     tied = ends.join(starts, "key", "left").where(F.col("start").isNotNull() | (F.col("key") == NO_KEY))
     time = F.when(F.col("start").isNull(), F.col("at")).otherwise(F.col("start.time_generated"))
     return tied.withColumn("time", time).select(
@@ -243,10 +249,10 @@ def duration_quantiles(
     stage_keys: list[str] = STAGE_KEYS,
 ) -> DataFrame:
     """Quantiles 10, 30, 50 and 90 of stage and job durations. For a stream see ``keep_counts``."""
-    return _durations(_met(_duration_counts(events, width, only, stage_keys), width), exact)
+    return _durations(_met(_added(_duration_entries(events, width, only, stage_keys)), width), exact)
 
 
-def _duration_counts(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
+def _duration_entries(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
     chosen = _chosen(["stage_latency", "job_latency"], only)
     entries = {}
     if "stage_latency" in chosen:
@@ -257,7 +263,7 @@ def _duration_counts(events: DataFrame, width: str, only: list[str] | None, stag
         job = _key("job", JOB_KEYS)
         done = F.when(text_contains(F.col("job_result"), "JobSucceeded"), job)
         entries |= {JOB_START: [_begin(events, job)], JOB_END: [_end(events, done, "job_latency", None, F.col("completion"))]}
-    return _counted(events, entries, width)
+    return _told(events, entries, width)
 
 
 def _durations(tied: DataFrame, exact: bool = True) -> DataFrame:
@@ -337,10 +343,10 @@ def event_counts(
 ) -> DataFrame:
     """Numbers of finished and failed stages, jobs, tasks and stream errors. For a stream see
     ``keep_counts``."""
-    return _numbers(_met(_event_counts(events, width, only, stage_keys), width))
+    return _numbers(_met(_added(_event_entries(events, width, only, stage_keys)), width))
 
 
-def _event_counts(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
+def _event_entries(events: DataFrame, width: str, only: list[str] | None, stage_keys: list[str]) -> DataFrame:
     chosen = _chosen(COUNTS, only)
     begun, ended, job = _key("stage", stage_keys), _key("stage end", stage_keys), _key("job", JOB_KEYS)
     success = F.coalesce(text_contains(F.col("task_reason"), "Success"), F.lit(False))
@@ -368,7 +374,7 @@ def _event_counts(events: DataFrame, width: str, only: list[str] | None, stage_k
     if "stream_errors" in chosen:
         is_error = text_contains(F.col("level"), "Error")
         errors = F.when(is_error, F.array(_end(events, None, "stream_errors", "progress_name")))
-    return _counted(events, entries, width, errors)
+    return _told(events, entries, width, errors)
 
 
 def _numbers(tied: DataFrame) -> DataFrame:
@@ -387,8 +393,8 @@ def _numbers(tied: DataFrame) -> DataFrame:
     return tied.groupBy("query", "time_bin", slice.alias("slice")).agg(F.sum("n").alias("value"))
 
 
-# Families that tie ends to starts, on streams: what counts, and what is made of the counts.
-TIED = {"duration_quantiles": (_duration_counts, _durations), "event_counts": (_event_counts, _numbers)}
+# Families that tie ends to starts, on streams: their entries, and what is made of the counts of them.
+TIED = {"duration_quantiles": (_duration_entries, _durations), "event_counts": (_event_entries, _numbers)}
 
 
 def keep_counts(
@@ -403,17 +409,18 @@ def keep_counts(
 ) -> StreamingQuery:
     """Count a stream of events for a family of ``TIED``, batch by batch, to a folder.
 
-    A batch stores its equal entries counted and its first starts. A batch that is replayed after
+    A batch stores its equal entries counted and its starts. A batch that is replayed after
     a failure replaces what it wrote. Starts and ends may come in any order and as late as they
     will; none is dropped, and none waits in the memory of an executor.
     """
-    count, _ = TIED[family]
+    told, _ = TIED[family]
 
     def write(batch: DataFrame, number: int) -> None:
-        count(batch, width, only, stage_keys).write.mode("overwrite").parquet(f"{path}/_batch={number}")
+        _added(batch).write.mode("overwrite").parquet(f"{path}/_batch={number}")
 
+    # Entries are made on the stream, as a batch holds every column of what it is given.
     return (
-        stream.writeStream.foreachBatch(write)
+        told(stream, width, only, stage_keys).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -430,11 +437,9 @@ def kept_counts(
 ) -> DataFrame:
     """The rows of a family for all that ``keep_counts`` has stored with the same settings: those
     of the batch form over the same events."""
-    count, made = TIED[family]
-    layout = count(spark.createDataFrame([], EVENTS), width, only, stage_keys).schema
-    parts = spark.read.schema(layout).parquet(path)
-    whole = parts.groupBy("key", "query", "label", "value", "at").agg(F.sum("n").alias("n"), F.min("start").alias("start"))
-    return made(_met(whole, width))
+    told, made = TIED[family]
+    layout = _added(told(spark.createDataFrame([], EVENTS), width, only, stage_keys)).schema
+    return made(_met(spark.read.schema(layout).parquet(path), width))
 
 
 def _if(name: str, chosen: list[str]) -> Column:

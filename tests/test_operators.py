@@ -592,6 +592,15 @@ def test_models_without_rows_stay_at_their_start(rows, family, expected):
     assert found == [(0, None, None, None, None)]
 
 
+def test_equal_entries_are_counted_without_sorting(spark):
+    """Ends are counted by hashes; a least start among them would have all entries sorted."""
+    log = spark.createDataFrame([], observe.EVENTS)
+    whole = plan(observe.event_counts(log))
+    lines = [line for line in whole.splitlines() if "Aggregate(" in line]
+    assert any("HashAggregate(" in line and "label" in line and "count(query" in line for line in lines)
+    assert not any("SortAggregate(" in line and "label" in line for line in lines)
+
+
 def test_metrics(rows):
     found = models.regression_metrics(rows([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0)], "y DOUBLE, p DOUBLE"), "y", "p").first()
     assert found.mae == 1.0 and found.mse == pytest.approx(5 / 3) and found.r2 == pytest.approx(1 - 5 / 8)

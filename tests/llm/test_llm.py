@@ -50,6 +50,28 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_components_of_few_and_of_many_links(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    edges = [tuple(map(int, e)) for e in rng.integers(0, 300, (220, 2))] * 2
+    edges += [(1000 + i, 1001 + i) for i in range(60)] + [(2000, i) for i in range(2001, 2100)] + [(-5, -4), (None, 3)]
+    near = {x: {x} for e in edges if e[0] is not None and e[0] != e[1] for x in e}
+    for a, b in edges:
+        if a is not None and a != b and near[a] is not near[b]:
+            near[a] |= near[b]
+            near |= dict.fromkeys(near[b], near[a])
+    links = common.staged(spark.createDataFrame(edges, "a bigint, b bigint"), "links")
+    context = spark.sparkContext
+    took = []
+    for few in (common.FEW_EDGES, 0, 100):
+        monkeypatch.setattr(common, "FEW_EDGES", few)
+        context.setJobGroup(f"components {few}", "")
+        rows = common.components(links).collect()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        took.append(len(context.statusTracker().getJobIdsForGroup(f"components {few}")))
+        assert len(rows) == len(near) and dict(map(tuple, rows)) == {x: min(all) for x, all in near.items()}
+    assert took[0] <= 5 < took[1]  # few links cost no rounds of shuffles
+
+
 # 1
 
 

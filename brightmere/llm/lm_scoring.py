@@ -49,6 +49,7 @@ BLOCKS = 32
 FLUSH = 300_000
 ROOT_TOKENS = 1 << 25  # training tokens up to which the tables have the sizes above
 HASHED = 1024  # hashes of the words of a bucket as contexts, at these sizes
+LONG = 16  # so many members of all runs are added at once
 TOKENS_A_ROW = 25  # that a task learns from at least
 
 
@@ -103,10 +104,44 @@ class Sizes:
         return self.outcomes + 1 + bucket(word) + TAILS * ((zlib.crc32(word) >> 8) % self.hashed)
 
     def outcome(self, context: np.ndarray) -> np.ndarray:
-        tail = (context - self.outcomes - 1) % TAILS + self.outcomes - TAILS
+        tail = split(context - self.outcomes - 1, TAILS)[1] + self.outcomes - TAILS
         return np.where(context > self.outcomes, tail, context)
 
 
+def split(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quotient and remainder; quotients by one number are fast, numpy's remainders are not."""
+    whole = x // n
+    return whole, x - whole * n
+
+
+def runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts ``rows``, equal ones as they came, the distinct rows, and where each begins."""
+    bits = len(rows).bit_length()
+    both = np.sort(rows << bits | np.arange(len(rows)))
+    rows = both >> bits
+    start = np.r_[0, np.flatnonzero(rows[1:] != rows[:-1]) + 1]
+    return both & (1 << bits) - 1, rows[start], start
+
+
+def sums(values: np.ndarray, order: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the runs of ``values`` in ``order`` that begin at ``start``, and the runs' numbers. Of wide
+    values the k-th members of all runs, the longest first, are added at once, those beyond ``LONG`` run by run."""
+    if values.shape[1] <= 4:
+        return np.stack([np.add.reduceat(x.take(order), start) for x in values.T], 1), np.arange(len(start))
+    size = np.diff(start, append=len(order))
+    less = len(order) - size
+    by = np.argsort(less.astype(np.uint16) if len(order) < 1 << 16 else less, kind="stable")
+    first, size = start[by], size[by]
+    out = values.take(order[first], 0)
+    longer = np.searchsorted(-size, -np.arange(LONG + 1)).tolist()  # runs of more than k members
+    for k in range(1, LONG):
+        n = longer[k]
+        out[:n] += values.take(order[first[:n] + k], 0)
+    for i in range(longer[LONG]):
+        out[i] += values.take(order[first[i] + LONG : first[i] + size[i]], 0).sum(0)
+    return out, by
+
+
 def tokens(text: str) -> list[bytes]:
     """The words of a text, A-Z in lower case, as UTF-8; white space is ASCII's. The end of the
     text, an empty word, is not among them."""
@@ -248,20 +283,20 @@ class Model:
     ROWS = Sizes().rows
 
     def __init__(self, bias: np.ndarray, weights: np.ndarray, sizes: Sizes = Sizes()):
-        self.weights, self.sizes = weights, sizes
-        self.bias = []  # of each level the log counts of the children (SIZE places) of each node
+        self.weights, self.sizes = np.ascontiguousarray(weights), sizes
+        self.bias = []  # of each level the log counts of the children of each node
         below = bias.astype(np.float32)  # log counts of outcomes
         for width in reversed(sizes.widths):
             below = below.reshape(-1, width)
-            self.bias.insert(0, np.pad(below, ((0, 0), (0, SIZE - width)), constant_values=-1e30))
+            self.bias.insert(0, below)
             top = below.max(1)
             below = np.log(np.exp(below - top[:, None]).sum(1)) + top
 
     def rows(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each level the node, the place among its children, and the rows."""
         sizes = self.sizes
-        outcome, context = triple % sizes.outcomes, triple // sizes.outcomes
-        before, skipped = context % sizes.contexts, context // sizes.contexts
+        context, outcome = split(triple, sizes.outcomes)
+        skipped, before = split(context, sizes.contexts)
         rarer = np.stack([np.where(x > sizes.start, x, 0) * 2 + i for i, x in enumerate((before, skipped))])
         before, skipped = sizes.outcome(before), sizes.outcome(skipped)
         context = (skipped * (sizes.start + 1) + before).astype(np.uint64)
@@ -272,28 +307,37 @@ class Model:
         for level, width in enumerate(sizes.widths):
             node, span = outcome // span, span // width
 
-            def hashed(x: np.ndarray, low: int, n: int) -> np.ndarray:
-                seed = (x * (2 * sizes.outcomes) + nodes + node).astype(np.uint64)
-                return ((seed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.int64) % n + low
+            def hashed(x: np.ndarray, low: int, n: int) -> np.ndarray:  # n: a power of two
+                seed = (x * (2 * sizes.outcomes) + (nodes + node)).view(np.uint64)
+                return ((seed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).view(np.int64) & n - 1) + low
 
             if level:
                 rows = hashed(three, free, MEMBERS * sizes.leaves)
             else:
-                rows = np.stack([before, sizes.start + 1 + skipped, 2 * (sizes.start + 1) + mixed % sizes.trigrams])
+                rows = np.stack([before, sizes.start + 1 + skipped, 2 * (sizes.start + 1) + split(mixed, sizes.trigrams)[1]])
             words = hashed(rarer, free + MEMBERS * sizes.leaves, RARER * sizes.leaves)
-            yield node, outcome // span % width, np.concatenate([rows, words])
+            yield node, split(outcome // span, width)[1], np.concatenate([rows, words])
             nodes *= width
 
     @staticmethod
     def soft(logit: np.ndarray) -> np.ndarray:
-        logit = np.exp(logit - logit.max(1, keepdims=True))
-        return logit / logit.sum(1, keepdims=True)
+        with np.errstate(over="ignore"):
+            made = np.exp(logit)
+        total = made @ np.ones(logit.shape[1], made.dtype)
+        if not (total.min() > 1e-3 and total.max() < 1e30):  # else the largest logit need not be taken off
+            made = np.exp(logit - logit.max(1, keepdims=True))
+            total = made.sum(1)
+        made /= total[:, None]
+        return made
 
     def parts(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each level the place, the rows and the probabilities of all places."""
-        w = self.weights
+        """For each level the place, the rows and the probabilities of a node's places."""
+        flat = self.weights.reshape(-1)
         for bias, (node, place, rows) in zip(self.bias, self.rows(triple)):
-            yield place, rows, self.soft(sum((w[x] for x in rows), bias[node]))
+            logit, width = bias.take(node, 0), bias.shape[1]
+            for x in rows:  # of a row only the places that the nodes of this level have
+                logit += self.weights.take(x, 0) if width == SIZE else flat.take(x[:, None] * SIZE + np.arange(width))
+            yield place, rows, self.soft(logit)
 
     def logs(self, triple: np.ndarray) -> np.ndarray:
         """log10 of the probability of each triple's outcome, a batch at a time."""
@@ -305,21 +349,25 @@ class Model:
 
     def learn(self, triple: np.ndarray, times: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
         """One descent over distinct triples, with steps scaled by each row's past gradients."""
-        random = np.random.default_rng(len(triple)).permutation(len(triple))
+        flat, random = self.weights.reshape(-1), np.random.default_rng(len(triple)).permutation(len(triple))
         for low in range(0, len(triple), BATCH):
-            some = random[low : low + BATCH]
+            some = np.sort(random[low : low + BATCH])
             n = times[some].astype(np.float32)
             for place, every, gap in list(self.parts(triple[some])):
                 gap[np.arange(len(some)), place] -= 1
                 gap *= n[:, None]
                 for rows in every:
-                    order = np.argsort(rows, kind="stable")
-                    start = np.flatnonzero(np.diff(rows[order], prepend=-1))
-                    slope = np.add.reduceat(gap[order], start, axis=0)
-                    row = rows[order[start]]
-                    touched[row] += np.add.reduceat(n[order], start)
-                    squares[row] += (slope * slope).mean(1)
-                    self.weights[row] -= (RATE / np.sqrt(squares[row] + 1.0))[:, None] * slope
+                    order, row, start = runs(rows)
+                    slope, by = sums(gap, order, start)
+                    row = row[by]
+                    touched[row] += np.add.reduceat(n.take(order), start)[by]
+                    square = squares[row] + np.einsum("ij,ij->i", slope, slope) / np.float32(SIZE)
+                    squares[row] = square
+                    slope *= (RATE / np.sqrt(square + 1.0))[:, None]
+                    if gap.shape[1] == SIZE:
+                        self.weights[row] = self.weights.take(row, 0) - slope
+                    else:
+                        flat[row[:, None] * SIZE + np.arange(gap.shape[1])] -= slope
 
 
 def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:

@@ -309,6 +309,43 @@ def test_lm_beats_unigrams_and_adds_up(spark, docs):
     assert words.total == sum(len(plain(r["text"])) for r in docs.select("text").collect())
 
 
+def test_lm_descent_by_hand(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BATCH", 500)
+    rng = np.random.default_rng(5)
+    sizes = lm_scoring.Sizes(2, 4)  # the third level has nodes of two places
+    bias = rng.normal(size=sizes.outcomes)
+    bias[::7] = -40  # logits far from 0
+    model = lm_scoring.Model(bias, rng.normal(size=(sizes.rows, lm_scoring.SIZE)).astype(np.float32), sizes)
+    model.bias[0] += 200
+    words = np.minimum(rng.zipf(1.3, (1200, 3)), sizes.contexts - 1)  # some rows many times, most once
+    triple = np.unique((words[:, 0] * sizes.contexts + words[:, 1]) * sizes.outcomes + words[:, 2] % sizes.outcomes)
+    times = rng.integers(1, 9, len(triple))
+    weights, squares, touched = (np.zeros(x) for x in ((sizes.rows, lm_scoring.SIZE), sizes.rows, sizes.rows))
+    weights += model.weights
+    order = np.random.default_rng(len(triple)).permutation(len(triple))
+    for low in range(0, len(triple), 500):
+        some, steps = order[low : low + 500], []
+        for bias, (node, place, rows) in zip(model.bias, model.rows(triple[some])):
+            width = bias.shape[1]
+            logit = bias[node].astype(float) + sum(weights[x, :width] for x in rows)
+            gap = np.exp(logit - logit.max(1, keepdims=True))
+            gap /= gap.sum(1, keepdims=True)
+            gap[np.arange(len(some)), place] -= 1
+            steps.append((rows, gap * times[some][:, None]))
+        for rows, gap in steps:
+            for x in rows:
+                slope = np.zeros_like(weights)
+                np.add.at(slope[:, : gap.shape[1]], x, gap)
+                np.add.at(touched, x, times[some])
+                squares += (slope * slope).mean(1)
+                weights -= 0.5 / np.sqrt(squares + 1)[:, None] * slope
+    found = [np.zeros(sizes.rows, np.float32) for _ in range(2)]
+    model.learn(triple, times, *found)
+    assert np.allclose(model.weights, weights, atol=1e-4) and np.allclose(found[0], squares, rtol=1e-3, atol=1e-4)
+    assert np.array_equal(found[1], touched)
+    assert [x.shape[1] for x in model.bias] == sizes.widths  # no work on places that no node has
+
+
 def test_lm_tables_grow_with_the_tokens(spark, docs, monkeypatch):
     rng = np.random.default_rng(2)
     for leaves in (2, 32, 64):  # three levels, a full third one, four levels

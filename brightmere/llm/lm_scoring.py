@@ -20,13 +20,12 @@ frequent words travel as a table of bounded size; the counts of all other words
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +48,9 @@ BLOCKS = 32
 FLUSH = 300_000
 ROOT_TOKENS = 1 << 25  # training tokens up to which the tables have the sizes above
 HASHED = 1024  # hashes of the words of a bucket as contexts, at these sizes
+SCORED = 1 << 12  # triples scored at once
 LONG = 16  # so many members of all runs are added at once
+LONGER = 64
 TOKENS_A_ROW = 25  # that a task learns from at least
 
 
@@ -101,7 +102,12 @@ class Sizes:
 
     def context(self, word: bytes) -> int:
         """The context, and by ``outcome`` the bucket, of a word that is no outcome."""
-        return self.outcomes + 1 + bucket(word) + TAILS * ((zlib.crc32(word) >> 8) % self.hashed)
+        return int(self.hashes([word])[0])
+
+    def hashes(self, words: Sequence[bytes]) -> np.ndarray:
+        """``context`` of each of the words."""
+        tail = np.array([zlib.crc32(w[-2:]) for w in words], np.int64) % TAILS
+        return self.outcomes + 1 + tail + TAILS * ((np.array([zlib.crc32(w) for w in words], np.int64) >> 8) % self.hashed)
 
     def outcome(self, context: np.ndarray) -> np.ndarray:
         tail = split(context - self.outcomes - 1, TAILS)[1] + self.outcomes - TAILS
@@ -116,16 +122,20 @@ def split(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts ``rows``, equal ones as they came, the distinct rows, and where each begins."""
-    bits = len(rows).bit_length()
-    both = np.sort(rows << bits | np.arange(len(rows)))
+    low, bits = int(rows.min()), len(rows).bit_length()
+    rows = rows - low
+    if int(rows.max()) >> 32 - bits == 0:  # half as wide numbers are sorted in half the time
+        rows = rows.astype(np.uint32)
+    both = np.sort(rows << bits | np.arange(len(rows), dtype=rows.dtype))
     rows = both >> bits
     start = np.r_[0, np.flatnonzero(rows[1:] != rows[:-1]) + 1]
-    return both & (1 << bits) - 1, rows[start], start
+    return (both & (1 << bits) - 1).astype(np.int64), rows[start].astype(np.int64) + low, start
 
 
 def sums(values: np.ndarray, order: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the runs of ``values`` in ``order`` that begin at ``start``, and the runs' numbers. Of wide
-    values the k-th members of all runs, the longest first, are added at once, those beyond ``LONG`` run by run."""
+    values the k-th members of all runs, the longest first, are added at once, those beyond ``LONG`` apart
+    and of runs above ``LONGER`` run by run."""
     if values.shape[1] <= 4:
         return np.stack([np.add.reduceat(x.take(order), start) for x in values.T], 1), np.arange(len(start))
     size = np.diff(start, append=len(order))
@@ -133,19 +143,35 @@ def sums(values: np.ndarray, order: np.ndarray, start: np.ndarray) -> tuple[np.n
     by = np.argsort(less.astype(np.uint16) if len(order) < 1 << 16 else less, kind="stable")
     first, size = start[by], size[by]
     out = values.take(order[first], 0)
-    longer = np.searchsorted(-size, -np.arange(LONG + 1)).tolist()  # runs of more than k members
+    longer = np.searchsorted(-size, -np.arange(LONGER + 1)).tolist()  # runs of more than k members
     for k in range(1, LONG):
         n = longer[k]
         out[:n] += values.take(order[first[:n] + k], 0)
-    for i in range(longer[LONG]):
-        out[i] += values.take(order[first[i] + LONG : first[i] + size[i]], 0).sum(0)
+    few, n = longer[LONGER], longer[LONG]
+    rest = values.take(order[first[:n] + LONG], 0)
+    for i in range(few):
+        rest[i] = values.take(order[first[i] + LONG : first[i] + size[i]], 0).sum(0)
+    for k in range(LONG + 1, LONGER):
+        if (m := longer[k]) == few:
+            break
+        rest[few:m] += values.take(order[first[few:m] + k], 0)
+    out[:n] += rest
     return out, by
 
 
-def tokens(text: str) -> list[bytes]:
-    """The words of a text, A-Z in lower case, as UTF-8; white space is ASCII's. The end of the
-    text, an empty word, is not among them."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of texts, A-Z in lower case; white space is ASCII's. Of each word its text and its
+    place among the distinct words, and these, as UTF-8. The end of a text is not among them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    found = lists.flatten().dictionary_encode()
+    at, names = found.indices.to_numpy(zero_copy_only=False), found.dictionary.cast(pa.binary())
+    none = pc.index(names, pa.scalar(b"", pa.binary())).as_py()  # beside white space at the ends of a text
+    if none >= 0:
+        names = pa.concat_arrays([names[:none], names[none + 1 :]])
+        owner, at = owner[at != none], at[at != none]
+        at = at - (at > none)
+    return owner, at, names
 
 
 def bucket(word: bytes) -> int:
@@ -156,21 +182,26 @@ def counted(texts: DataFrame) -> DataFrame:
     """(token binary, n) over all texts, ends included; summed in the tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held, times, n = [], [], 0
 
-        def out() -> pa.RecordBatch:
-            made = [pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(made, ["token", "n"])
+        def met() -> pa.RecordBatch:
+            found = pa.concat_arrays(held).dictionary_encode()
+            total = np.bincount(found.indices.to_numpy(), np.concatenate(times)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([found.dictionary, pa.array(total)], ["token", "n"])
 
         for batch in chunks(batches, "text"):
-            for text in batch.column(0).to_pylist():
-                held.update(tokens(text))
-            held[b""] += batch.num_rows
-            if len(held) > FLUSH:
-                yield out()
-                held.clear()
+            _, at, names = tokens(batch.column(0))
+            held += [names, pa.array([b""], pa.binary())]
+            times += [np.bincount(at, minlength=len(names)), [batch.num_rows]]
+            n += len(names) + 1
+            if n > 2 * FLUSH:
+                made = met()
+                held, times, n = [made.column(0)], [made.column(1).to_numpy()], made.num_rows
+                if n > FLUSH:
+                    yield made
+                    held, times, n = [], [], 0
         if held:
-            yield out()
+            yield met()
 
     return texts.mapInArrow(run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -186,13 +217,10 @@ class Vocabulary:
     tail_v: np.ndarray  # distinct tokens of each bucket
     sizes: Sizes
 
-    def table(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
-
     def contexts(self) -> np.ndarray:
         """Of each of the words, by which its outcome is known too."""
-        tail = [self.sizes.context(w) for w in self.words[self.sizes.words :]]
-        return np.array([*range(1, min(self.sizes.words, len(self.words)) + 1), *tail], np.uint32)
+        tail = self.sizes.hashes(self.words[self.sizes.words :])
+        return np.r_[1 : min(self.sizes.words, len(self.words)) + 1, tail].astype(np.uint32)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -227,39 +255,51 @@ ENCODED = (
     "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, tail_logs double, "
     "contexts binary, rare array<binary>, times array<int>"
 )
+ENCODED_NAMES = [x.split()[0] for x in ENCODED.split(", ")]
+
+
+def coder(words: Vocabulary) -> Callable[[pa.Array], list[pa.Array]]:
+    """From texts to the columns of ``ENCODED`` after the first three. Words are looked up once for all texts."""
+    table, context, logs = pa.array(words.words, pa.binary()), words.contexts(), np.log10(words.counts + 1.0)
+    sizes, end = words.sizes, float(np.log10(words.ends + 1))
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        owner, at, names = tokens(texts)
+        place = pc.index_in(names, table).fill_null(-1).to_numpy()
+        have = place >= 0
+        out, log, tail = np.zeros(len(names), np.uint32), np.zeros(len(names)), np.zeros(len(names))
+        out[have], log[have] = context[place[have]], logs[place[have]]
+        tail[place >= sizes.words] = log[place >= sizes.words]
+        out[~have] = sizes.hashes(names.filter(pa.array(~have)).to_numpy(zero_copy_only=False))
+        size = np.bincount(owner, minlength=len(texts))
+        every = np.zeros(len(at) + len(texts), np.uint32)  # with the ends
+        every[np.arange(len(at)) + owner] = out[at]
+        ends = np.r_[0, 4 * np.cumsum(size + 1)].astype(np.int32)
+        contexts = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(every)])
+        rare = ~have[at]
+        pair, times = np.unique(owner[rare] * len(names) + at[rare], return_counts=True)
+        of, which = np.divmod(pair, max(1, len(names)))
+        start = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=len(texts)))].astype(np.int32))
+        known = size - np.bincount(owner[rare], minlength=len(texts)) + (words.ends > 0)
+        return [
+            pa.array(size + 1), pa.array(known), pa.array(np.bincount(owner, log[at], len(texts)) + end),
+            pa.array(np.bincount(owner, tail[at], len(texts)).astype(float)), contexts,
+            pa.ListArray.from_arrays(start, names.take(pa.array(which))),
+            pa.ListArray.from_arrays(start, pa.array(times.astype(np.int32))),
+        ]
+
+    return run
 
 
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """Each text as contexts, by which its outcomes are known, with the sums that its frequent words give and its rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, context, logs = words.table(), words.contexts(), np.log10(words.counts + 1.0)
-        sizes = words.sizes
-        end, row = float(np.log10(words.ends + 1)), TaskContext.get().partitionId() << 40
+        code, row = coder(words), TaskContext.get().partitionId() << 40
         for batch in chunks(batches, "text"):
-            made = []
-            for text in batch.column(2).to_pylist():
-                found = tokens(text)
-                at = np.fromiter(map(table.get, found, repeat(-1)), np.int64, len(found))
-                out = np.zeros(len(found) + 1, np.uint32)
-                have = at >= 0
-                out[:-1][have] = context[at[have]]
-                rare: dict[bytes, int] = {}
-                for i in np.flatnonzero(~have).tolist():
-                    word = found[i]
-                    out[i] = sizes.context(word)
-                    rare[word] = rare.get(word, 0) + 1
-                log = logs[at[have]]
-                made.append((row, len(out), int(have.sum()) + (words.ends > 0), float(log.sum()) + end,
-                             float(log[at[have] >= sizes.words].sum()), out.tobytes(), list(rare), list(rare.values())))
-                row += 1
-            key, n, known, log, tail, out, rare, times = zip(*made)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), batch.column(0), batch.column(1), pa.array(n, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(log, pa.float64()), pa.array(tail, pa.float64()),
-                 pa.array(out, pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
-                ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "tail_logs", "contexts", "rare", "times"],
-            )
+            key = pa.array(np.arange(row, row + batch.num_rows))
+            yield pa.RecordBatch.from_arrays([key, *batch.columns[:2], *code(batch.column(2))], ENCODED_NAMES)
+            row += batch.num_rows
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, ENCODED)
 
@@ -320,54 +360,61 @@ class Model:
             nodes *= width
 
     @staticmethod
-    def soft(logit: np.ndarray) -> np.ndarray:
+    def soft(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """In proportion to the probabilities, and their sums."""
         with np.errstate(over="ignore"):
             made = np.exp(logit)
         total = made @ np.ones(logit.shape[1], made.dtype)
         if not (total.min() > 1e-3 and total.max() < 1e30):  # else the largest logit need not be taken off
             made = np.exp(logit - logit.max(1, keepdims=True))
             total = made.sum(1)
-        made /= total[:, None]
-        return made
+        return made, total
 
-    def parts(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each level the place, the rows and the probabilities of a node's places."""
-        flat = self.weights.reshape(-1)
+    def parts(self, triple: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level the place as one of all places, the rows, and as ``soft`` has them the
+        probabilities of a node's places."""
         for bias, (node, place, rows) in zip(self.bias, self.rows(triple)):
             logit, width = bias.take(node, 0), bias.shape[1]
-            for x in rows:  # of a row only the places that the nodes of this level have
-                logit += self.weights.take(x, 0) if width == SIZE else flat.take(x[:, None] * SIZE + np.arange(width))
-            yield place, rows, self.soft(logit)
+            table = self.weights.reshape(-1, width)  # of a row only the places that the nodes of this level have
+            for x in rows:
+                logit += table.take(x * (SIZE // width), 0)
+            place += np.arange(0, logit.size, width)
+            yield place, rows, *self.soft(logit)
 
     def logs(self, triple: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each triple's outcome, a batch at a time."""
+        """log10 of the probability of each triple's outcome, some at a time that a core's cache holds."""
         out = np.zeros(len(triple))
-        for low in range(0, len(triple), BATCH):
-            for place, _, found in self.parts(triple[low : low + BATCH]):
-                out[low : low + BATCH] += np.log10(found[np.arange(len(place)), place])
+        for low in range(0, len(triple), SCORED):
+            for place, _, found, total in self.parts(triple[low : low + SCORED]):
+                out[low : low + SCORED] += np.log10(found.reshape(-1)[place] / total)
         return out
 
     def learn(self, triple: np.ndarray, times: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
         """One descent over distinct triples, with steps scaled by each row's past gradients."""
-        flat, random = self.weights.reshape(-1), np.random.default_rng(len(triple)).permutation(len(triple))
+        random = np.random.default_rng(len(triple)).permutation(len(triple))
         for low in range(0, len(triple), BATCH):
             some = np.sort(random[low : low + BATCH])
-            n = times[some].astype(np.float32)
-            for place, every, gap in list(self.parts(triple[some])):
-                gap[np.arange(len(some)), place] -= 1
-                gap *= n[:, None]
+            n, steps = times[some].astype(np.float32), []
+            several = np.flatnonzero(n != 1)
+            for place, every, gap, total in self.parts(triple[some]):
+                gap /= total[:, None]
+                gap.reshape(-1)[place] -= 1
+                gap[several] *= n[several, None]
+                steps.append((every, gap))
+            every = np.concatenate([x.reshape(-1) for x, _ in steps])
+            np.add.at(touched, every, np.tile(n, len(every) // len(n)).astype(touched.dtype))
+            for every, gap in steps:
+                table = self.weights.reshape(-1, gap.shape[1])
                 for rows in every:
                     order, row, start = runs(rows)
                     slope, by = sums(gap, order, start)
                     row = row[by]
-                    touched[row] += np.add.reduceat(n.take(order), start)[by]
                     square = squares[row] + np.einsum("ij,ij->i", slope, slope) / np.float32(SIZE)
                     squares[row] = square
-                    slope *= (RATE / np.sqrt(square + 1.0))[:, None]
-                    if gap.shape[1] == SIZE:
-                        self.weights[row] = self.weights.take(row, 0) - slope
-                    else:
-                        flat[row[:, None] * SIZE + np.arange(gap.shape[1])] -= slope
+                    slope *= (-RATE / np.sqrt(square + 1.0))[:, None]
+                    row *= SIZE // gap.shape[1]
+                    slope += table.take(row, 0)
+                    table[row] = slope
 
 
 def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
@@ -400,7 +447,7 @@ def train(rows: DataFrame, words: Vocabulary) -> Model:
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
             model = Model(bias, np.zeros((sizes.rows, SIZE), np.float32) if begin is None else begin.copy(), sizes)
-            squares, touched = (np.zeros(sizes.rows, np.float32) for _ in range(2))
+            squares, touched = np.zeros(sizes.rows, np.float32), np.zeros(sizes.rows)  # counts beyond 2^24 stay exact
             held, n = [], 0
             for _, texts in texts_of(batches, 0):
                 held += [x.copy() for x in texts]

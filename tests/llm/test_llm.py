@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -346,6 +347,41 @@ def test_lm_descent_by_hand(monkeypatch):
     assert [x.shape[1] for x in model.bias] == sizes.widths  # no work on places that no node has
 
 
+def test_lm_words_are_looked_up_once(monkeypatch):
+    """Each distinct word of a run of texts is coded once, whatever its number of places."""
+    sizes, hashes, seen = lm_scoring.Sizes(1, 4), lm_scoring.Sizes.hashes, []
+    monkeypatch.setattr(lm_scoring.Sizes, "hashes", lambda self, x: seen.extend(x) or hashes(self, x))
+    words = [*(b"w%d" % i for i in range(sizes.words)), b"dog", "\u00e9".encode()]  # the last two are no outcomes
+    table = {w.decode(): i for i, w in enumerate(words)}
+    counts = np.arange(len(words), 0, -1) + 5
+    code = lm_scoring.coder(lm_scoring.Vocabulary(words, counts, 3, 0, 0, np.zeros(64), np.zeros(64), sizes))
+    seen.clear()
+    texts = ["", " \n", "W1 zzz Dog w0", " ZZZ zzz\x0byyy\x0c\x1c\t", "\u00c9 \u00e9 yyy\x85 yyy " * 50, "\x00 dog"]
+    made = list(zip(*(x.to_pylist() for x in code(pa.array(["x", *texts, "x"]).slice(1, len(texts))))))
+    assert sorted(seen) == sorted({w.encode() for x in texts for w in plain(x)[:-1] if w not in table})
+    for text, (n, known, logs, tails, contexts, rare, times) in zip(texts, made, strict=True):
+        found = plain(text)[:-1]
+        log = [math.log10(counts[table[w]] + 1) for w in found if w in table]
+        assert (n, known) == (len(found) + 1, len(log) + 1) and logs == pytest.approx(sum(log) + math.log10(4))
+        assert tails == pytest.approx(sum(math.log10(counts[table[w]] + 1) for w in found if w in ("dog", "\u00e9")))
+        codes = [table[w] + 1 if table.get(w, sizes.words) < sizes.words else sizes.context(w.encode()) for w in found]
+        assert np.frombuffer(contexts, np.uint32).tolist() == [*codes, 0]
+        assert dict(zip(rare, times)) == Counter(w.encode() for w in found if w not in table)
+
+
+def test_lm_runs_of_rows():
+    rng = np.random.default_rng(3)
+    for low, high in ((0, 9), (0, 100), (7, 1 << 17), (1 << 40, (1 << 40) + 9), (0, 1 << 40)):
+        rows = rng.integers(low, high, 3000)
+        rows[::3] = rows[0]
+        order, row, start = lm_scoring.runs(rows)
+        assert np.array_equal(order, np.argsort(rows, kind="stable")) and np.array_equal(row, np.unique(rows))
+        values = rng.integers(0, 99, (3000, 8)).astype(np.float32)
+        found, by = lm_scoring.sums(values, order, start)
+        for i in range(8):
+            assert np.array_equal(found[:, i], np.bincount(np.unique(rows, return_inverse=True)[1], values[:, i])[by])
+
+
 def test_lm_tables_grow_with_the_tokens(spark, docs, monkeypatch):
     rng = np.random.default_rng(2)
     for leaves in (2, 32, 64):  # three levels, a full third one, four levels
